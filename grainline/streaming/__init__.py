@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The rebuilt workload is batch analysis over static tables: no watermark, event-time
+window, trigger or stateful operator occurs in it, so nothing here is needed. The
+package exists to keep the layout uniform; batch operators in ``grainline.operators``
+work unchanged on a streaming DataFrame where Spark allows the operation.
+"""
