@@ -62,10 +62,12 @@ def _present(body: str, doubles=(), texts=()) -> str:
 class Src:
     """Stand-in tables for one scale-factor directory (built lazily, once)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
 
     def _b(self, name):
+        if self.materialize:
+            return standins.materialized(self.spark, self.sf_dir, name)
         return standins.build(self.spark, self.sf_dir, name)
 
     rate = cached_property(lambda s: s._b("st_rate"))
@@ -863,9 +865,22 @@ def landscape_sql(body: str, year: int | None = YEAR, state: str = "All",
     return oracle.sql(body, *_LS_STANDINS, ctes=landscape_ctes(year, state, tuple(overall_keys)))
 
 
+_OPEN_RUNS: list[ls.Landscape] = []
+
+
 def _run(spark, d, year=YEAR, state="All", **opts) -> ls.Landscape:
-    return ls.Landscape(Src(spark, d).inputs(), Params(year, state), ls.Options(**opts),
-                        persist=False)
+    """A pipeline run with X2/X3 persisted (read by the hot-group check, X4-X8). The
+    returned DataFrames stay lazy, so the cache is released by ``release_all``."""
+    run = ls.Landscape(Src(spark, d).inputs(), Params(year, state), ls.Options(**opts),
+                       persist=True)
+    _OPEN_RUNS.append(run)
+    return run
+
+
+def release_all() -> None:
+    """Unpersist every cached intermediate of earlier registered-query calls."""
+    while _OPEN_RUNS:
+        _OPEN_RUNS.pop().close()
 
 
 @register("landscape_summary", landscape_sql(_present(
@@ -880,6 +895,21 @@ def q_landscape_ranking(spark, d):
     return portable(_run(spark, d).ranking())
 
 
+# A tiny group threshold sends most groups down the split path: the answer must not move.
+_SPLIT = dict(max_group_rows=20, rows_per_task=200)
+
+
+@register("landscape_ranking_skew_split", landscape_sql(_present(
+    "SELECT * FROM ranking", doubles=("individual_rate",))))
+def q_landscape_ranking_skew_split(spark, d):
+    return portable(_run(spark, d, **_SPLIT).ranking())
+
+
+@register("landscape_all_years_skew_split", landscape_sql(_FINAL_SELECT, year=None))
+def q_landscape_all_years_skew_split(spark, d):
+    return portable(_run(spark, d, year=None, **_SPLIT).final())
+
+
 @register("landscape_min_metal", landscape_sql(_present(
     "SELECT * FROM min_metal", doubles=("min_rate",))))
 def q_landscape_min_metal(spark, d):

@@ -125,3 +125,62 @@ def nth_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int,
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     return (df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == n)
             .select(*keys, *payload))
+
+
+def hot_group_count(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> tuple[int, int]:
+    """(number of groups above ``max_group_rows``, rows in them): one aggregation."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    r = (sizes.where(F.col("__n") > F.lit(max_group_rows))
+         .agg(F.count(F.lit(1)).alias("groups"), F.sum("__n").alias("rows")).collect()[0])
+    return int(r["groups"] or 0), int(r["rows"] or 0)
+
+
+def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
+               max_group_rows: int | None = None, rows_per_task: int = 1_000_000,
+               coarser_keys_small: bool = False) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` (ascending, NULLs last;
+    the order must be unique for a deterministic answer), safe for hot groups.
+
+    With ``max_group_rows`` set, groups larger than that are not given to one window
+    task. Their rows are range-partitioned on (keys, order), which spreads one group
+    over as many sorted partitions as it needs, numbered by position inside each
+    sorted partition (``monotonically_increasing_id``, frozen by a reliable
+    checkpoint), and shifted by the row counts of the group's earlier partitions.
+    Other groups take the plain window. The caller should persist ``df`` when it is
+    expensive: it is read by the size check and by the ranking.
+    """
+    order_cols = [F.col(c).asc_nulls_last() for c in order]
+    w = Window.partitionBy(*keys).orderBy(*order_cols)
+    plain = df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    if max_group_rows is None or coarser_keys_small:
+        # ``coarser_keys_small``: the caller knows no group of a subset of ``keys`` is
+        # hot, so none of these finer groups can be
+        return plain
+    n_hot, hot_rows_total = hot_group_count(df, keys, max_group_rows)
+    if not n_hot:
+        return plain
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = sizes.where(F.col("__n") > F.lit(max_group_rows))
+    # hot groups: at most rows / max_group_rows of them
+    hot_keys = hot.select(*keys, F.lit(True).alias("__hot")).checkpoint()
+    tagged = _null_safe_join(df, hot_keys, keys)
+    cold = tagged.where(F.col("__hot").isNull()).drop("__hot")
+    hot_rows = tagged.where(F.col("__hot")).drop("__hot")
+
+    n_parts = max(1, -(-hot_rows_total // rows_per_task))
+    rng = [F.col(k).asc_nulls_last() for k in keys] + order_cols
+    numbered = (hot_rows.repartitionByRange(n_parts, *rng).sortWithinPartitions(*rng)
+                .withColumn("__mid", F.monotonically_increasing_id())
+                .checkpoint())
+    pid = F.shiftright(F.col("__mid"), 33)          # the id's high bits are the partition
+    stats = numbered.groupBy(pid.alias("__pid"), *keys).agg(
+        F.min("__mid").alias("__first"), F.count(F.lit(1)).alias("__c"))
+    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0)))
+    ranked_hot = _null_safe_join(numbered.withColumn("__pid", pid), stats, ["__pid", *keys])
+    ranked_hot = (ranked_hot
+                  .withColumn(out, (F.col("__mid") - F.col("__first") + 1 + F.col("__off"))
+                              .cast("bigint"))
+                  .drop("__mid", "__pid", "__first", "__c", "__off"))
+    ranked_cold = cold.withColumn(out, F.row_number().over(w).cast("bigint"))
+    return ranked_cold.unionByName(ranked_hot)

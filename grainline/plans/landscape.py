@@ -24,11 +24,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..operators import coverage, lookups
+from ..operators import rank as rank_op
 from .params import Params
 
 RATE = "individual_rate"
@@ -69,6 +70,10 @@ class Options:
     only_missing_enrollment: bool = False
     parent_name: str | None = None
     carry: Sequence[str] = field(default_factory=lambda: ["row_key"])
+    # Window groups above this many rows are split over several tasks
+    # (operators.rank.row_number); None ranks every group in one window task.
+    max_group_rows: int | None = 2_000_000
+    rows_per_task: int = 1_000_000
 
 
 def _order(opts: Options) -> list:
@@ -119,15 +124,19 @@ def summary(inp: Inputs, params: Params, opts: Options | None = None) -> DataFra
 
 
 def ranking(summ: DataFrame, opts: Options | None = None) -> DataFrame:
-    """Both row numbers share one exchange: the metal window is declared first and its
-    hash partitioning on (year, state, county, metal) also clusters the issuer window,
-    whose keys are a superset."""
+    """metal_rank and issuer_rank. Without hot groups both row numbers share one
+    exchange: the metal window is declared first and its hash partitioning on
+    (year, state, county, metal) also clusters the issuer window, whose keys are a
+    superset. Hot groups are split (see ``operators.rank.row_number``)."""
     opts = opts or Options()
     base = ["business_year", "state_code", "county", "metal_level"]
-    w_metal = Window.partitionBy(*base).orderBy(*_order(opts))
-    w_issuer = Window.partitionBy(*base, ISSUER_NAME).orderBy(*_order(opts))
-    return (summ.withColumn("metal_rank", F.row_number().over(w_metal).cast("bigint"))
-            .withColumn("issuer_rank", F.row_number().over(w_issuer).cast("bigint")))
+    order = [RATE, *opts.tie_break]
+    hot = (opts.max_group_rows is not None
+           and rank_op.hot_group_count(summ, base, opts.max_group_rows)[0] > 0)
+    out = rank_op.row_number(summ, base, order, "metal_rank", opts.max_group_rows,
+                             opts.rows_per_task, coarser_keys_small=not hot)
+    return rank_op.row_number(out, [*base, ISSUER_NAME], order, "issuer_rank",
+                              opts.max_group_rows, opts.rows_per_task, coarser_keys_small=not hot)
 
 
 def min_metal(rank: DataFrame) -> DataFrame:
@@ -167,10 +176,11 @@ def overall_rank(rank: DataFrame, inp: Inputs, opts: Options | None = None) -> D
     j = winners.join(enr, (winners.issuer_id == enr.issuer_hios_id)
                      & (winners.business_year == enr.year)
                      & (enr.county_fips == winners.fips), "left")
-    w = Window.partitionBy("business_year", *opts.overall_keys).orderBy(*_order(opts))
-    return j.select("business_year", "issuer_id", "fips", "metal_level",
-                    F.row_number().over(w).cast("bigint").alias("issuer_overall_rank"),
-                    F.col("avg_enrollment").alias("issuer_avg_monthly_enrollment"))
+    ranked = rank_op.row_number(j, ["business_year", *opts.overall_keys], [RATE, *opts.tie_break],
+                                "issuer_overall_rank", opts.max_group_rows, opts.rows_per_task)
+    return ranked.select("business_year", "issuer_id", "fips", "metal_level",
+                         "issuer_overall_rank",
+                         F.col("avg_enrollment").alias("issuer_avg_monthly_enrollment"))
 
 
 def final(rank: DataFrame, inp: Inputs, opts: Options | None = None) -> DataFrame:
@@ -207,13 +217,18 @@ class Landscape:
                  persist: bool = True):
         self.inp, self.params, self.opts, self.persist = inp, params, opts or Options(), persist
         self._rank: DataFrame | None = None
+        self._summary: DataFrame | None = None
 
     def summary(self) -> DataFrame:
         return summary(self.inp, self.params, self.opts)
 
     def ranking(self) -> DataFrame:
         if self._rank is None:
-            self._rank = ranking(self.summary(), self.opts)
+            summ = self.summary()
+            if self.persist and self.opts.max_group_rows is not None:
+                # read twice: by the group-size check and by the ranking
+                self._summary = summ = summ.persist(StorageLevel.MEMORY_AND_DISK)
+            self._rank = ranking(summ, self.opts)
             if self.persist:
                 # Lost cached blocks are recomputed from lineage, so executor loss
                 # costs time, not correctness.
@@ -230,9 +245,10 @@ class Landscape:
         return final(self.ranking(), self.inp, self.opts)
 
     def close(self) -> None:
-        if self._rank is not None and self.persist:
-            self._rank.unpersist()
-        self._rank = None
+        for df in (self._rank, self._summary):
+            if df is not None and self.persist:
+                df.unpersist()
+        self._rank = self._summary = None
 
     def __enter__(self) -> Landscape:
         return self

@@ -240,3 +240,47 @@ BUILDERS = {
 
 def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return BUILDERS[name](spark, sf_dir)
+
+
+# ----------------------------------------------------------------- materialisation
+
+# Bump when a builder changes: materialised copies are keyed by it.
+STANDIN_VERSION = 1
+# Stored Hive-style by year (literal year filters prune whole folders) and sorted by
+# state inside each file (state filters skip row groups by min/max statistics).
+PARTITION_BY_YEAR = {"st_rate", "st_plan_attr", "st_service_area", "st_t0a"}
+
+
+def _fs_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _fingerprint(sf_dir: str) -> str:
+    import hashlib
+    import os
+    h = hashlib.sha1(f"{STANDIN_VERSION}|{os.path.abspath(sf_dir)}".encode())
+    if os.path.isdir(sf_dir):
+        for f in sorted(os.listdir(sf_dir)):
+            st = os.stat(os.path.join(sf_dir, f))
+            h.update(f"{f}:{st.st_size}:{int(st.st_mtime)}".encode())
+    return h.hexdigest()[:16]
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The stand-in as a stored parquet table under the shared checkpoint folder,
+    built on first use and read (with pushdown and pruning) afterwards."""
+    from ..session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/grainline_standins/{_fingerprint(sf_dir)}/{name}"
+    if not _fs_exists(spark, f"{path}/_SUCCESS"):
+        df = build(spark, sf_dir, name)
+        if name in PARTITION_BY_YEAR:
+            (df.repartition("business_year").sortWithinPartitions("state_code")
+             .write.mode("overwrite").partitionBy("business_year").parquet(path))
+        else:
+            df.write.mode("overwrite").parquet(path)
+    df = spark.read.parquet(path)
+    if name in PARTITION_BY_YEAR:
+        df = df.withColumn("business_year", F.col("business_year").cast("int"))
+    return df
