@@ -658,12 +658,11 @@ def _is_slcsp(fn: str) -> str:
 
 
 def _t0a_flags(s: Src, slcsp: str | None) -> DataFrame:
-    t = rank.with_group_min(s.t0a_ind, T0A_KEYS, "individual_rate", "min_rate_area_metal")
-    t = rank.flag_rank(t, T0A_KEYS, "individual_rate", 1, "is_min")
+    flags = [("is_min", 1, "rank", None)]
     if slcsp:
-        t = rank.flag_rank(t, T0A_KEYS, "individual_rate", 2, "is_slcsp", method=slcsp,
-                           where=F.col("metal_level") == "Silver")
-    return portable(t)
+        flags.append(("is_slcsp", 2, slcsp, F.col("metal_level") == "Silver"))
+    return portable(rank.rank_flags(s.t0a_ind, T0A_KEYS, "individual_rate",
+                                    "min_rate_area_metal", flags))
 
 
 @register("window_min", _t0a_window_sql(""))

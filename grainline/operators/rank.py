@@ -89,6 +89,28 @@ def flag_rank(df: DataFrame, keys: Sequence[str], val: str, n: int, out: str,
     return df.withColumn(out, flag)
 
 
+def rank_flags(df: DataFrame, keys: Sequence[str], val: str, min_out: str | None = None,
+               flags: Sequence[tuple[str, int, str, Column | None]] = ()) -> DataFrame:
+    """Group minimum and several RANK/DENSE_RANK = 1/2 flags from one set of group
+    statistics (two partial aggregations) and a single join back to the rows.
+
+    ``flags`` holds ``(out, n, method, where)`` with n in (1, 2) and method ``rank``
+    or ``dense_rank``; ``where`` is an extra row condition (e.g. metal = Silver).
+    """
+    stats = rank_stats(df, keys, val)
+    j = _null_safe_join(df, stats, keys)
+    if min_out:
+        j = j.withColumn(min_out, F.col("__m1"))
+    for out, n, method, where in flags:
+        if n not in (1, 2) or method not in ("rank", "dense_rank"):
+            raise ValueError("rank_flags handles rank/dense_rank = 1 or 2; use flag_rank")
+        cond = F.coalesce(_rank_is(F.col(val), n, method), F.lit(False))
+        if where is not None:
+            cond = cond & where
+        j = j.withColumn(out, F.when(cond, F.lit(1)).otherwise(F.lit(0)))
+    return j.drop("__m1", "__c1", "__m2")
+
+
 def rank_column(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str,
                 method: str = "rank") -> DataFrame:
     """Rank kept as a column (window)."""
