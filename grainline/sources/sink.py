@@ -45,3 +45,9 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's shared ``spark.checkpoint.dir`` (never machine-local)."""
     from ..session import checkpoint_dir
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+
+
+def write_landscape(df: DataFrame, path: str, mode: str = "overwrite",
+                    partition_by: Sequence[str] = ("business_year", "state_code")) -> None:
+    """The landscape table's sink (partitioned by year and state)."""
+    write_partitioned(df, path, mode, partition_by)

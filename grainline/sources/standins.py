@@ -272,8 +272,12 @@ def materialized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The stand-in as a stored parquet table under the shared checkpoint folder,
     built on first use and read (with pushdown and pruning) afterwards."""
     from ..session import checkpoint_dir
-    path = f"{checkpoint_dir(spark).rstrip('/')}/grainline_standins/{_fingerprint(sf_dir)}/{name}"
-    if not _fs_exists(spark, f"{path}/_SUCCESS"):
+    try:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/grainline_standins/{_fingerprint(sf_dir)}/{name}"
+        exists = _fs_exists(spark, f"{path}/_SUCCESS")
+    except Exception:  # noqa: BLE001  (no JVM handle, e.g. a remote session): build lazily
+        return build(spark, sf_dir, name)
+    if not exists:
         df = build(spark, sf_dir, name)
         if name in PARTITION_BY_YEAR:
             (df.repartition("business_year").sortWithinPartitions("state_code")

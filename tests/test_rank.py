@@ -92,3 +92,43 @@ def test_window_group_limit_planned_for_rank_filter(spark):
     t = rank.rank_column(df, ["g"], [F.col("rate").asc_nulls_last()], "r", "rank")
     plan = t.where(F.col("r") == 1)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def _rn_frame(spark):
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for i in range(400):
+        g = "hot" if i % 3 else rnd.choice(["a", "b", None])
+        r = None if i % 17 == 0 else Decimal(rnd.choice([100, 150, 150, 200, 250]))
+        rows.append((g, "Silver", r, i))
+    return spark.createDataFrame(rows, DDL)
+
+
+def test_skew_split_row_number_equals_window(spark):
+    df = _rn_frame(spark)
+    want = {r.id: r.rn for r in rank.row_number(df, ["g"], ["rate", "id"], "rn").collect()}
+    # threshold 20: 'hot' (about 266 rows) and the others are split over several tasks
+    got = {r.id: r.rn for r in
+           rank.row_number(df, ["g"], ["rate", "id"], "rn", max_group_rows=20,
+                           rows_per_task=30).collect()}
+    assert got == want
+
+
+def test_skew_split_without_hot_groups_is_plain_window(spark):
+    df = _rn_frame(spark)
+    out = rank.row_number(df, ["g"], ["rate", "id"], "rn", max_group_rows=10_000)
+    assert "Window" in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 400
+
+
+def test_rank_flags_equal_separate_flags(spark):
+    df = _rn_frame(spark)
+    silver = F.col("metal") == "Silver"
+    one = {r.id: (r.m, r.f1, r.f2) for r in rank.rank_flags(
+        df, ["g"], "rate", "m", [("f1", 1, "rank", None), ("f2", 2, "dense_rank", silver)]).collect()}
+    t = rank.with_group_min(df, ["g"], "rate", "m")
+    t = rank.flag_rank(t, ["g"], "rate", 1, "f1")
+    t = rank.flag_rank(t, ["g"], "rate", 2, "f2", method="dense_rank", where=silver)
+    sep = {r.id: (r.m, r.f1, r.f2) for r in t.collect()}
+    assert one == sep
