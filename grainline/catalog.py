@@ -209,6 +209,42 @@ def q_variant_suffixes(spark, d):
                                    [F.right("plan_id", F.lit(1)).alias("suffix")])
 
 
+@register("distinct_count_filtered", oracle.sql(
+    f"SELECT 'plan_attributes' AS source, count(DISTINCT standard_component_id) AS distinct_keys "
+    f"FROM st_plan_attr WHERE business_year = {YEAR} UNION ALL "
+    f"SELECT 'rates', count(DISTINCT plan_id) FROM st_rate WHERE business_year = {YEAR}",
+    "st_plan_attr", "st_rate"))
+def q_distinct_count_filtered(spark, d):
+    """Distinct join-key values on each side for one year, as two rows."""
+    s = Src(spark, d)
+    a = profile.distinct_counts(s.plan.where(F.col("business_year") == YEAR),
+                                ["standard_component_id"], ["distinct_keys"])
+    b = profile.distinct_counts(s.rate.where(F.col("business_year") == YEAR),
+                                ["plan_id"], ["distinct_keys"])
+    return (a.select(F.lit("plan_attributes").alias("source"), "distinct_keys")
+            .unionByName(b.select(F.lit("rates").alias("source"), "distinct_keys")))
+
+
+T0A_SPOT_COLUMNS = ["business_year", "state_code", "metal_level", "age", "tobacco",
+                    "csr_variation_type"]
+
+
+@register("distinct_values_by_column", oracle.sql(
+    "\nUNION\n".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM "
+                      f"st_t0a WHERE market_coverage = 'Individual'" for c in T0A_SPOT_COLUMNS),
+    "st_t0a"))
+def q_distinct_values_by_column(spark, d):
+    return profile.value_inventory(Src(spark, d).t0a_ind, T0A_SPOT_COLUMNS)
+
+
+@register("state_rows_ordered", oracle.sql(
+    f"SELECT * FROM st_service_area WHERE state_code = '{STATE}'", "st_service_area"))
+def q_state_rows_ordered(spark, d):
+    sa = Src(spark, d).sa.where(F.col("state_code") == STATE)
+    return sa.orderBy(*[F.col(c).asc_nulls_last() for c in
+                        ("service_area_id", "cover_entire_state", "county_name")])
+
+
 GRAIN_GUESS_1 = ["business_year", "plan_id", "rating_area_id", "age"]
 GRAIN_GUESS_2 = ["business_year", "rate_effective_date", "plan_id", "rating_area_id", "age"]
 

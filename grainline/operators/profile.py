@@ -87,6 +87,16 @@ def distinct_values(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
     return df.select(*cols).distinct()
 
 
+def value_inventory(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct values of several columns as (column_name, value) rows, in one pass:
+    each row is exploded into one (name, text) pair per column, then deduplicated
+    (map-side first), instead of one scan per column."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                         F.col(c).cast("string").alias("value"))
+                                for c in cols]))
+    return df.select(pairs.alias("p")).select("p.*").distinct()
+
+
 def grain_top(df: DataFrame, keys: Sequence[str], n: int = 20) -> DataFrame:
     """Candidate key with the largest row counts first: any count > 1 disproves it."""
     counts = count_by(df, keys)

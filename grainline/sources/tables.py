@@ -36,6 +36,21 @@ CONTRACTS: dict[str, dict[str, T.DataType]] = {
 _TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
 
 
+def snake_case(name: str) -> str:
+    """``GEOID`` -> ``geoid``, ``AverageMonthlyEnrollment`` -> ``average_monthly_enrollment``,
+    ``Parent_Name`` -> ``parent_name``, ``Rating_Area`` -> ``rating_area``."""
+    import re
+    s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name.strip())
+    s = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", s)
+    return re.sub(r"[^0-9a-zA-Z]+", "_", s).strip("_").lower()
+
+
+def snake_case_columns(df: DataFrame) -> DataFrame:
+    """Rename quoted, case-sensitive source names once at load (Spark resolves names
+    case-insensitively, so ``"FIPS"`` and ``fips`` would otherwise collide)."""
+    return df.toDF(*[snake_case(c) for c in df.columns])
+
+
 class SchemaMismatch(ValueError):
     pass
 

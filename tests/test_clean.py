@@ -67,3 +67,12 @@ def test_parse_money(spark):
 def test_format_count(spark):
     assert _one(spark, clean.format_count, 1234567, "v bigint") == "1,234,567"
     assert _one(spark, clean.format_count, 0, "v bigint") == "0"
+
+
+def test_snake_case_columns(spark):
+    from grainline.sources.tables import snake_case_columns
+    df = spark.createDataFrame([(1, 2, 3, 4, 5)],
+                               "GEOID int, AverageMonthlyEnrollment int, Parent_Name int, "
+                               "IssuerHIOSID int, USPS int")
+    assert snake_case_columns(df).columns == ["geoid", "average_monthly_enrollment", "parent_name",
+                                              "issuer_hiosid", "usps"]
