@@ -277,6 +277,7 @@ def materialized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         exists = _fs_exists(spark, f"{path}/_SUCCESS")
     except Exception:  # noqa: BLE001  (no JVM handle, e.g. a remote session): build lazily
         return build(spark, sf_dir, name)
+    schema = _SCHEMAS.get(path)
     if not exists:
         df = build(spark, sf_dir, name)
         if name in PARTITION_BY_YEAR:
@@ -284,7 +285,16 @@ def materialized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
              .write.mode("overwrite").partitionBy("business_year").parquet(path))
         else:
             df.write.mode("overwrite").parquet(path)
-    df = spark.read.parquet(path)
-    if name in PARTITION_BY_YEAR:
-        df = df.withColumn("business_year", F.col("business_year").cast("int"))
-    return df
+        schema = _SCHEMAS[path] = df.schema
+    if schema is None:
+        df = spark.read.parquet(path)
+        if name in PARTITION_BY_YEAR:
+            df = df.withColumn("business_year", F.col("business_year").cast("int"))
+        _SCHEMAS[path] = df.schema
+        return df
+    # a known schema skips the footer-reading job of schema inference; the partition
+    # column is declared with its type, so no cast is needed
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+_SCHEMAS: dict = {}
