@@ -123,15 +123,24 @@ def summary(inp: Inputs, params: Params, opts: Options | None = None) -> DataFra
         F.col("c_fips").alias("fips"), F.col("c_county").alias("county"), *opts.carry)
 
 
-def ranking(summ: DataFrame, opts: Options | None = None) -> DataFrame:
+RANK_KEYS = ["business_year", "state_code", "county", "metal_level"]
+
+
+def common_group_keys(opts: Options) -> list[str]:
+    """Keys shared by X3's and X7's windows: every group of either lies inside one
+    group of these, so one size check on X2 clears both rankings."""
+    return [k for k in RANK_KEYS if k == "business_year" or k in opts.overall_keys]
+
+
+def ranking(summ: DataFrame, opts: Options | None = None, known_small: bool = False) -> DataFrame:
     """metal_rank and issuer_rank. Without hot groups both row numbers share one
     exchange: the metal window is declared first and its hash partitioning on
     (year, state, county, metal) also clusters the issuer window, whose keys are a
     superset. Hot groups are split (see ``operators.rank.row_number``)."""
     opts = opts or Options()
-    base = ["business_year", "state_code", "county", "metal_level"]
+    base = RANK_KEYS
     order = [RATE, *opts.tie_break]
-    hot = (opts.max_group_rows is not None
+    hot = (not known_small and opts.max_group_rows is not None
            and rank_op.hot_group_count(summ, base, opts.max_group_rows)[0] > 0)
     out = rank_op.row_number(summ, base, order, "metal_rank", opts.max_group_rows,
                              opts.rows_per_task, coarser_keys_small=not hot)
@@ -169,7 +178,8 @@ def enrollment_by_key(enr: DataFrame, dedup: bool = True) -> DataFrame:
     return e
 
 
-def overall_rank(rank: DataFrame, inp: Inputs, opts: Options | None = None) -> DataFrame:
+def overall_rank(rank: DataFrame, inp: Inputs, opts: Options | None = None,
+                 known_small: bool = False) -> DataFrame:
     opts = opts or Options()
     winners = rank.where(F.col("issuer_rank") == 1)
     enr = enrollment_by_key(inp.enrollment, opts.dedup_enrollment)
@@ -177,15 +187,17 @@ def overall_rank(rank: DataFrame, inp: Inputs, opts: Options | None = None) -> D
                      & (winners.business_year == enr.year)
                      & (enr.county_fips == winners.fips), "left")
     ranked = rank_op.row_number(j, ["business_year", *opts.overall_keys], [RATE, *opts.tie_break],
-                                "issuer_overall_rank", opts.max_group_rows, opts.rows_per_task)
+                                "issuer_overall_rank", opts.max_group_rows, opts.rows_per_task,
+                                coarser_keys_small=known_small)
     return ranked.select("business_year", "issuer_id", "fips", "metal_level",
                          "issuer_overall_rank",
                          F.col("avg_enrollment").alias("issuer_avg_monthly_enrollment"))
 
 
-def final(rank: DataFrame, inp: Inputs, opts: Options | None = None) -> DataFrame:
+def final(rank: DataFrame, inp: Inputs, opts: Options | None = None,
+          known_small: bool = False) -> DataFrame:
     opts = opts or Options()
-    o = overall_rank(rank, inp, opts)
+    o = overall_rank(rank, inp, opts, known_small)
     # Counties x rating areas: bounded by geography.
     f = F.broadcast(fips_ra(inp).select(F.col("fips").alias("f_fips"),
                                         F.col("state").alias("f_state"), "rate_area"))
@@ -218,6 +230,7 @@ class Landscape:
         self.inp, self.params, self.opts, self.persist = inp, params, opts or Options(), persist
         self._rank: DataFrame | None = None
         self._summary: DataFrame | None = None
+        self._small = False
 
     def summary(self) -> DataFrame:
         return summary(self.inp, self.params, self.opts)
@@ -228,7 +241,9 @@ class Landscape:
             if self.persist and self.opts.max_group_rows is not None:
                 # read twice: by the group-size check and by the ranking
                 self._summary = summ = summ.persist(StorageLevel.MEMORY_AND_DISK)
-            self._rank = ranking(summ, self.opts)
+            self._small = (self.opts.max_group_rows is not None and rank_op.hot_group_count(
+                summ, common_group_keys(self.opts), self.opts.max_group_rows)[0] == 0)
+            self._rank = ranking(summ, self.opts, known_small=self._small)
             if self.persist:
                 # Lost cached blocks are recomputed from lineage, so executor loss
                 # costs time, not correctness.
@@ -239,10 +254,12 @@ class Landscape:
         return diffs(self.ranking())
 
     def overall_rank(self) -> DataFrame:
-        return overall_rank(self.ranking(), self.inp, self.opts)
+        rk = self.ranking()
+        return overall_rank(rk, self.inp, self.opts, self._small)
 
     def final(self) -> DataFrame:
-        return final(self.ranking(), self.inp, self.opts)
+        rk = self.ranking()
+        return final(rk, self.inp, self.opts, self._small)
 
     def close(self) -> None:
         for df in (self._rank, self._summary):
