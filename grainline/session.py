@@ -41,14 +41,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; a scratch one only if unset."""
+    """The shared checkpoint folder the cluster names (``spark.checkpoint.dir``, or the
+    SparkContext's checkpoint directory); a scratch folder only when neither is set."""
     current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+        sc_dir = sc.getCheckpointDir()
+    except Exception:  # noqa: BLE001  (remote sessions manage this themselves)
+        sc, sc_dir = None, None
+    if not current and sc_dir:
+        current = sc_dir
     if not current:
         current = tempfile.mkdtemp(prefix="grainline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-    try:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # noqa: BLE001  (remote sessions manage this themselves)
-        pass
+    if sc is not None and sc_dir is None:
+        sc.setCheckpointDir(current)
     return current
