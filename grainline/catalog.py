@@ -968,6 +968,15 @@ def q_landscape_overall_rank(spark, d):
     return _run(spark, d).overall_rank()
 
 
+@register("landscape_overall_rank_as_written", oracle.sql(
+    "SELECT * FROM overall_rank", *_LS_STANDINS,
+    ctes=tuple((n, "SELECT issuer_hios_id, year, county_fips, avg_enrollment FROM st_enrollment")
+               if n == "enr" else (n, t) for n, t in landscape_ctes(YEAR))))
+def q_landscape_overall_rank_as_written(spark, d):
+    """X7 ranking after the raw enrollment join (no per-key deduplication first)."""
+    return _run(spark, d, dedup_enrollment=False).overall_rank()
+
+
 _BY_STATE = ("state_code", "county", "metal_level")
 
 

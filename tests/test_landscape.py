@@ -194,3 +194,16 @@ def test_pivot_columns_sum_to_at_most_grand_total(spark, sf_small):
     listed = sum(F.col(c) for c in ["bronze", "silver", "gold", "platinum", "catastrophic"])
     assert p.where(listed > F.col("grand_total")).count() == 0
     assert p.agg(F.sum("grand_total")).collect()[0][0] == 194     # FIXTURES.md §D, sf0.001
+
+
+def test_sink_read_prunes_partitions(spark, sf_small):
+    from grainline.sources import sink
+    df = catalog.q_landscape_current_year(spark, sf_small)
+    path = sink.shared_path(spark, "test_sink_prune")
+    sink.write_landscape(df, path)
+    back = sink.read_partitioned(spark, path, catalog.YEAR, catalog.STATE)
+    plan = _plan(back)
+    assert "PartitionFilters: [isnotnull(business_year" in plan and "= 1997" in plan
+    want = df.where(F.col("state_code") == catalog.STATE)
+    assert back.select(*df.columns).exceptAll(want).count() == 0
+    assert want.exceptAll(back.select(*df.columns)).count() == 0
