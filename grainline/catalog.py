@@ -741,11 +741,14 @@ def q_is_slcsp_window(spark, d):
     f"is_min FROM (SELECT *, rank() OVER (PARTITION BY {_PK} ORDER BY individual_rate ASC NULLS LAST) "
     f"AS is_min FROM ({_T0A_IND}) t) w WHERE is_min = 1", doubles=("individual_rate",)), "st_t0a"))
 def q_min_rate_winners(spark, d):
-    t = rank.rank_column(Src(spark, d).t0a_ind, T0A_KEYS,
-                         [F.col("individual_rate").asc_nulls_last()], "is_min", "rank")
-    return portable(t.where(F.col("is_min") == 1).select(
+    """Rows at RANK() = 1, rank kept in a column named is_min (as written). Rank 1 is
+    "equal to the group minimum", so this is group statistics and a join back: a group
+    where a third of all rows tie at the minimum never lands in one window task."""
+    t = rank.rank_flags(Src(spark, d).t0a_ind, T0A_KEYS, "individual_rate",
+                        flags=[("__is_min", 1, "rank", None)])
+    return portable(t.where(F.col("__is_min") == 1).select(
         "state_code", "rating_area_id", "issuer_id", "plan_id", "metal_level", "individual_rate",
-        "row_key", "is_min"))
+        "row_key", F.lit(1).cast("bigint").alias("is_min")))
 
 
 PIVOT_MIN_LEVELS = ["Catastrophic", "Bronze", "Silver", "Gold"]

@@ -11,7 +11,7 @@ from grainline import catalog  # noqa: E402
 from grainline.session import local_session  # noqa: E402
 
 KEYS = ["distinct_counts_wide", "join_fanout_audit", "join_filter_steps", "sa_expanded",
-        "is_slcsp_flag", "pivot_grand_total", "grain_report", "min_rate_winners",
+        "is_slcsp_flag", "pivot_grand_total", "grain_report", "min_rate_winners", "nth_row_third",
         "landscape_current_year", "landscape_all_years"]
 
 COUNT = [("shuffle (hash)", r"Exchange hashpartitioning"),
