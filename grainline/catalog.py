@@ -948,6 +948,12 @@ def q_landscape_all_years_skew_split(spark, d):
     return portable(_run(spark, d, year=None, **_SPLIT).final())
 
 
+@register("landscape_current_year_salted", landscape_sql(_FINAL_SELECT))
+def q_landscape_current_year_salted(spark, d):
+    # a tiny threshold salts most join keys of X2: the answer must not move
+    return portable(_run(spark, d, salt_key_rows=5, salt_buckets=4).final())
+
+
 @register("landscape_min_metal", landscape_sql(_present(
     "SELECT * FROM min_metal", doubles=("min_rate",))))
 def q_landscape_min_metal(spark, d):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean
-from ..operators import coverage, lookups
+from ..operators import coverage, joins, lookups
 from ..operators import rank as rank_op
 from .params import Params
 
@@ -74,6 +74,10 @@ class Options:
     # (operators.rank.row_number); None ranks every group in one window task.
     max_group_rows: int | None = 2_000_000
     rows_per_task: int = 1_000_000
+    # Salt X2's two keyed joins for rate keys above this many rows (operators.joins.
+    # skew_join); None leaves hot keys to AQE's run-time skew-join splitting.
+    salt_key_rows: int | None = None
+    salt_buckets: int = 32
 
 
 def _order(opts: Options) -> list:
@@ -110,11 +114,16 @@ def summary(inp: Inputs, params: Params, opts: Options | None = None) -> DataFra
     cm = F.broadcast(inp.county_map.select(F.col("fips").alias("c_fips"),
                                            F.col("county").alias("c_county"),
                                            F.col("rating_area").alias("c_area")))
-    j = (r.join(pl, (r.plan_id == pl.p_plan) & (r.business_year == pl.p_year)
-                & (r.state_code == pl.p_state) & (r.issuer_id == pl.p_issuer))
-         .join(sa, (F.col("service_area_id") == sa.s_area) & (F.col("p_issuer") == sa.s_issuer)
-               & (F.col("p_year") == sa.s_year) & (F.col("p_state") == sa.s_state))
-         .join(cm, (cm.c_fips == F.col("s_fips")) & (cm.c_area == F.col("rating_area_id"))))
+    on_plan = [("plan_id", "p_plan"), ("business_year", "p_year"), ("state_code", "p_state"),
+               ("issuer_id", "p_issuer")]
+    on_area = [("service_area_id", "s_area"), ("p_issuer", "s_issuer"), ("p_year", "s_year"),
+               ("p_state", "s_state")]
+    if opts.salt_key_rows is None:
+        j = joins.join(joins.join(r, pl, on_plan), sa, on_area)
+    else:
+        j = joins.skew_join(r, pl, on_plan, "inner", opts.salt_key_rows, opts.salt_buckets)
+        j = joins.skew_join(j, sa, on_area, "inner", opts.salt_key_rows, opts.salt_buckets)
+    j = j.join(cm, (cm.c_fips == F.col("s_fips")) & (cm.c_area == F.col("rating_area_id")))
     return j.select(
         "business_year", "state_code", "issuer_id", ISSUER_NAME, "plan_id",
         "plan_marketing_name", "plan_type",
