@@ -19,9 +19,11 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite",
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        # Cluster rows by the partition columns first: each task then writes few
-        # files instead of one per partition value it happens to hold.
-        (df.repartition(*[F.col(c) for c in partition_by])
+        # Cluster rows by the partition columns (each task writes few files) with a
+        # REBALANCE, not a plain hash repartition: AQE splits a partition that grows
+        # past the advisory size, so a state holding a third of all rows is written by
+        # many tasks instead of one.
+        (df.hint("rebalance", *partition_by)
          .write.mode(mode).partitionBy(*partition_by).parquet(path))
     finally:
         if prev is None:

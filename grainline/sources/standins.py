@@ -281,7 +281,7 @@ def materialized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if not exists:
         df = build(spark, sf_dir, name)
         if name in PARTITION_BY_YEAR:
-            (df.repartition("business_year").sortWithinPartitions("state_code")
+            (df.hint("rebalance", "business_year").sortWithinPartitions("state_code")
              .write.mode("overwrite").partitionBy("business_year").parquet(path))
         else:
             df.write.mode("overwrite").parquet(path)
