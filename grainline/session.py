@@ -52,6 +52,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc_dir:
         current = sc_dir
     if not current:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            # a machine-local folder is invisible to executors on other hosts
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         current = tempfile.mkdtemp(prefix="grainline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None and sc_dir is None:

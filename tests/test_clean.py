@@ -76,3 +76,10 @@ def test_snake_case_columns(spark):
                                "IssuerHIOSID int, USPS int")
     assert snake_case_columns(df).columns == ["geoid", "average_monthly_enrollment", "parent_name",
                                               "issuer_hiosid", "usps"]
+
+
+def test_checkpoint_dir_is_the_sessions(spark):
+    from grainline.session import checkpoint_dir
+    d = checkpoint_dir(spark)
+    assert d and spark.conf.get("spark.checkpoint.dir") == d
+    assert checkpoint_dir(spark) == d          # stable: never replaced once set
