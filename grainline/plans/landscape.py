@@ -116,13 +116,17 @@ def summary(inp: Inputs, params: Params, opts: Options | None = None) -> DataFra
                                            F.col("rating_area").alias("c_area")))
     on_plan = [("plan_id", "p_plan"), ("business_year", "p_year"), ("state_code", "p_state"),
                ("issuer_id", "p_issuer")]
+    # Plans meet their counties first (both far smaller than the rate table), so the
+    # rate table takes part in one keyed join only: broadcast-free of any shuffle when
+    # AQE measures the plan-county side as small, shuffled once otherwise.
     on_area = [("service_area_id", "s_area"), ("p_issuer", "s_issuer"), ("p_year", "s_year"),
                ("p_state", "s_state")]
+    plan_counties = joins.join(pl, sa, on_area)
     if opts.salt_key_rows is None:
-        j = joins.join(joins.join(r, pl, on_plan), sa, on_area)
+        j = joins.join(r, plan_counties, on_plan)
     else:
-        j = joins.skew_join(r, pl, on_plan, "inner", opts.salt_key_rows, opts.salt_buckets)
-        j = joins.skew_join(j, sa, on_area, "inner", opts.salt_key_rows, opts.salt_buckets)
+        j = joins.skew_join(r, plan_counties, on_plan, "inner", opts.salt_key_rows,
+                            opts.salt_buckets)
     j = j.join(cm, (cm.c_fips == F.col("s_fips")) & (cm.c_area == F.col("rating_area_id")))
     return j.select(
         "business_year", "state_code", "issuer_id", ISSUER_NAME, "plan_id",
