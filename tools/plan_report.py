@@ -61,12 +61,13 @@ def main(argv):
             "of its exchange.",
             "- `grain_report`: one Expand (GROUPING SETS over all candidate keys) and one shuffle, instead "
             "of a scan per candidate.",
-            "- `landscape_*`: the three hash shuffles are X3's window exchange (both row numbers share it), "
-            "the shuffle of rate x plan planned for the sort-merge join with the expanded service areas "
-            "(AQE then turned that join into a broadcast), and the one deduplication of the coverage "
-            "expansion. X7 reaches X8 as a runtime-small broadcast side. The lookups are broadcast because "
-            "their size is bounded, and X2/X3 are read from cache. `pruned scans` counts year partition "
-            "filters on the stored rate, plan and service-area tables; the all-years run has none by design.",
+            "- `landscape_*`: the rate table is scanned with pushed filters and meets the plan-county side in "
+            "one broadcast hash join (X2 joins plans to their counties first), so it is never shuffled. "
+            "The hash shuffles left are X3's window exchange (both row numbers share it) and the one "
+            "deduplication of the coverage expansion. X7 reaches X8 as a runtime-small broadcast side, "
+            "the lookups are broadcast because their size is bounded, and X2/X3 are read from cache. "
+            "`pruned scans` counts year partition filters on the stored rate, plan and service-area "
+            "tables; the all-years run has none by design.",
             "- No query has a nested-loop join, a cartesian product or Python evaluation."]
     text = "\n".join(out) + "\n"
     open(__file__.rsplit("/tools/", 1)[0] + "/PLANS.md", "w").write(text)
