@@ -117,8 +117,8 @@ def summary(inp: Inputs, params: Params, opts: Options | None = None) -> DataFra
     on_plan = [("plan_id", "p_plan"), ("business_year", "p_year"), ("state_code", "p_state"),
                ("issuer_id", "p_issuer")]
     # Plans meet their counties first (both far smaller than the rate table), so the
-    # rate table takes part in one keyed join only: broadcast-free of any shuffle when
-    # AQE measures the plan-county side as small, shuffled once otherwise.
+    # rate table takes part in one keyed join only: a broadcast join, with no shuffle of
+    # rates, when AQE measures the plan-county side as small; one shuffle otherwise.
     on_area = [("service_area_id", "s_area"), ("p_issuer", "s_issuer"), ("p_year", "s_year"),
                ("p_state", "s_state")]
     plan_counties = joins.join(pl, sa, on_area)

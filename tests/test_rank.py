@@ -132,3 +132,10 @@ def test_rank_flags_equal_separate_flags(spark):
     t = rank.flag_rank(t, ["g"], "rate", 2, "f2", method="dense_rank", where=silver)
     sep = {r.id: (r.m, r.f1, r.f2) for r in t.collect()}
     assert one == sep
+
+
+def test_skew_split_is_stable_across_recomputation(spark):
+    df = _rn_frame(spark)
+    runs = [{r.id: r.rn for r in rank.row_number(df, ["g"], ["rate", "id"], "rn", max_group_rows=20,
+                                                 rows_per_task=25).collect()} for _ in range(2)]
+    assert runs[0] == runs[1]
