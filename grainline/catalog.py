@@ -317,6 +317,17 @@ def q_filter_equality(spark, d):
                    & (F.col("metal_level") == "Gold")).select(*CURATED)
 
 
+@register("filter_equality_silver", oracle.sql(
+    f"SELECT {_CUR} FROM st_plan_attr WHERE state_code = '{STATE}' AND dental_only_plan = 'No' "
+    "AND metal_level = 'Silver'", "st_plan_attr"))
+def q_filter_equality_silver(spark, d):
+    """The same conjunctive filter on a level with both clean and '\\r'-suffixed flags:
+    only the clean ones pass an exact '= No' test."""
+    p = Src(spark, d).plan
+    return p.where((F.col("state_code") == STATE) & (F.col("dental_only_plan") == "No")
+                   & (F.col("metal_level") == "Silver")).select(*CURATED)
+
+
 @register("flag_prefix_filter", oracle.sql(
     "SELECT business_year, state_code, issuer_id, service_area_id, county, "
     "CAST(dental_only_plan = 'No' AS INTEGER) AS exact_no "
