@@ -178,13 +178,15 @@ def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: st
         # ``coarser_keys_small``: the caller knows no group of a subset of ``keys`` is
         # hot, so none of these finer groups can be
         return plain
-    n_hot, hot_rows_total = hot_group_count(df, keys, max_group_rows)
+    # One pass over df: the hot groups with their sizes, kept by a reliable checkpoint
+    # (at most rows / max_group_rows of them); both answers below read that small table.
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = sizes.where(F.col("__n") > F.lit(max_group_rows)).checkpoint()
+    summary = hot.agg(F.count(F.lit(1)).alias("g"), F.sum("__n").alias("r")).collect()[0]
+    n_hot, hot_rows_total = int(summary["g"] or 0), int(summary["r"] or 0)
     if not n_hot:
         return plain
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.where(F.col("__n") > F.lit(max_group_rows))
-    # hot groups: at most rows / max_group_rows of them
-    hot_keys = hot.select(*keys, F.lit(True).alias("__hot")).checkpoint()
+    hot_keys = hot.select(*keys, F.lit(True).alias("__hot"))
     tagged = _null_safe_join(df, hot_keys, keys)
     cold = tagged.where(F.col("__hot").isNull()).drop("__hot")
     hot_rows = tagged.where(F.col("__hot")).drop("__hot")
