@@ -685,6 +685,9 @@ def q_distinct_lookup(spark, d):
 # ---------------------------------------------------------------- windows & pivots (t0A)
 
 T0A_KEYS = ["state_code", "rating_area_id", "metal_level"]
+# Groups of these keys number at most states x rating areas x metal levels: a bound
+# set by geography, not by data volume, so their per-group tables are broadcast.
+T0A_GROUPS_BOUNDED = True
 _PK = ", ".join(T0A_KEYS)
 _T0A_IND = "SELECT * FROM st_t0a WHERE market_coverage = 'Individual'"
 
@@ -709,14 +712,14 @@ def _t0a_flags(s: Src, slcsp: str | None) -> DataFrame:
     if slcsp:
         flags.append(("is_slcsp", 2, slcsp, F.col("metal_level") == "Silver"))
     return portable(rank.rank_flags(s.t0a_ind, T0A_KEYS, "individual_rate",
-                                    "min_rate_area_metal", flags))
+                                    "min_rate_area_metal", flags, T0A_GROUPS_BOUNDED))
 
 
 @register("window_min", _t0a_window_sql(""))
 def q_window_min(spark, d):
     s = Src(spark, d)
     return portable(rank.with_group_min(s.t0a_ind, T0A_KEYS, "individual_rate",
-                                        "min_rate_area_metal"))
+                                        "min_rate_area_metal", groups_bounded=T0A_GROUPS_BOUNDED))
 
 
 @register("is_min_flag", _t0a_window_sql(_IS_MIN))
@@ -756,7 +759,7 @@ def q_min_rate_winners(spark, d):
     "equal to the group minimum", so this is group statistics and a join back: a group
     where a third of all rows tie at the minimum never lands in one window task."""
     t = rank.rank_flags(Src(spark, d).t0a_ind, T0A_KEYS, "individual_rate",
-                        flags=[("__is_min", 1, "rank", None)])
+                        flags=[("__is_min", 1, "rank", None)], groups_bounded=T0A_GROUPS_BOUNDED)
     return portable(t.where(F.col("__is_min") == 1).select(
         "state_code", "rating_area_id", "issuer_id", "plan_id", "metal_level", "individual_rate",
         "row_key", F.lit(1).cast("bigint").alias("is_min")))
@@ -792,7 +795,8 @@ def _pivot_count_sql(total: bool) -> str:
 
 
 def _issuer_min_counts(s: Src, total: str | None) -> DataFrame:
-    flagged = rank.flag_rank(s.t0a_ind, T0A_KEYS, "individual_rate", 1, "is_min")
+    flagged = rank.flag_rank(s.t0a_ind, T0A_KEYS, "individual_rate", 1, "is_min",
+                             groups_bounded=T0A_GROUPS_BOUNDED)
     return pivot.pivot_count(flagged.where(F.col("is_min") == 1), ["issuer_id"], "metal_level",
                              "issuer_id", PIVOT_COUNT_LEVELS, total=total)
 

@@ -23,9 +23,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _null_safe_join(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _null_safe_join(df: DataFrame, stats: DataFrame, keys: Sequence[str],
+                    bounded: bool = False) -> DataFrame:
+    """Left join of rows to a per-group table on NULL-safe keys. ``bounded``: the caller
+    knows the number of groups has a fixed bound (e.g. geography x metal level), so
+    the per-group side is broadcast from the start instead of after a shuffle."""
     renamed = stats.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
                            *[c for c in stats.columns if c not in keys])
+    if bounded:
+        renamed = F.broadcast(renamed)
     cond = None
     for k in keys:
         c = df[k].eqNullSafe(renamed[f"__k_{k}"])
@@ -35,19 +41,20 @@ def _null_safe_join(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def with_group_min(df: DataFrame, keys: Sequence[str], val: str, out: str,
-                   method: str = "aggregate") -> DataFrame:
+                   method: str = "aggregate", groups_bounded: bool = False) -> DataFrame:
     """``MIN(val) OVER (PARTITION BY keys)`` on every row."""
     if method == "window":
         return df.withColumn(out, F.min(val).over(Window.partitionBy(*keys)))
     stats = df.groupBy(*keys).agg(F.min(val).alias(out))
-    return _null_safe_join(df, stats, keys)
+    return _null_safe_join(df, stats, keys, groups_bounded)
 
 
-def rank_stats(df: DataFrame, keys: Sequence[str], val: str) -> DataFrame:
+def rank_stats(df: DataFrame, keys: Sequence[str], val: str,
+               groups_bounded: bool = False) -> DataFrame:
     """Per group: ``m1`` smallest value, ``c1`` rows at it, ``m2`` next distinct value.
     Two partial aggregations and one join; enough to decide RANK/DENSE_RANK 1 and 2."""
     g1 = df.groupBy(*keys).agg(F.min(val).alias("__m1"))
-    j = _null_safe_join(df.select(*keys, val), g1, keys)
+    j = _null_safe_join(df.select(*keys, val), g1, keys, groups_bounded)
     v, m1 = F.col(val), F.col("__m1")
     return j.groupBy(*keys).agg(
         F.min(m1).alias("__m1"),
@@ -68,7 +75,7 @@ def _rank_is(v: Column, n: int, method: str) -> Column:
 
 def flag_rank(df: DataFrame, keys: Sequence[str], val: str, n: int, out: str,
               method: str = "rank", where: Column | None = None,
-              order_tiebreak: Sequence[str] = ()) -> DataFrame:
+              order_tiebreak: Sequence[str] = (), groups_bounded: bool = False) -> DataFrame:
     """``CASE WHEN <method>() OVER (PARTITION BY keys ORDER BY val) = n [AND where]
     THEN 1 ELSE 0 END`` as column ``out``.
 
@@ -77,8 +84,8 @@ def flag_rank(df: DataFrame, keys: Sequence[str], val: str, n: int, out: str,
     """
     cond_extra = F.lit(True) if where is None else where
     if method in ("rank", "dense_rank") and n in (1, 2):
-        stats = rank_stats(df, keys, val)
-        j = _null_safe_join(df, stats, keys)
+        stats = rank_stats(df, keys, val, groups_bounded)
+        j = _null_safe_join(df, stats, keys, groups_bounded)
         flag = F.when(F.coalesce(_rank_is(F.col(val), n, method), F.lit(False)) & cond_extra,
                       F.lit(1)).otherwise(F.lit(0))
         return j.withColumn(out, flag).drop("__m1", "__c1", "__m2")
@@ -90,15 +97,16 @@ def flag_rank(df: DataFrame, keys: Sequence[str], val: str, n: int, out: str,
 
 
 def rank_flags(df: DataFrame, keys: Sequence[str], val: str, min_out: str | None = None,
-               flags: Sequence[tuple[str, int, str, Column | None]] = ()) -> DataFrame:
+               flags: Sequence[tuple[str, int, str, Column | None]] = (),
+               groups_bounded: bool = False) -> DataFrame:
     """Group minimum and several RANK/DENSE_RANK = 1/2 flags from one set of group
     statistics (two partial aggregations) and a single join back to the rows.
 
     ``flags`` holds ``(out, n, method, where)`` with n in (1, 2) and method ``rank``
     or ``dense_rank``; ``where`` is an extra row condition (e.g. metal = Silver).
     """
-    stats = rank_stats(df, keys, val)
-    j = _null_safe_join(df, stats, keys)
+    stats = rank_stats(df, keys, val, groups_bounded)
+    j = _null_safe_join(df, stats, keys, groups_bounded)
     if min_out:
         j = j.withColumn(min_out, F.col("__m1"))
     for out, n, method, where in flags:
