@@ -54,9 +54,10 @@ def main(argv):
     out += ["", "Reading the table:", "",
             "- Audits (`join_fanout_audit`, `join_filter_steps`): one hash shuffle per side for the per-key "
             "counts, one join of those counts, one single-partition final sum. The exploded join never runs.",
-            "- `is_slcsp_flag`, `min_rate_winners`, `pivot_grand_total`: no Window. Group statistics come "
-            "from two partial aggregations, and the joins back to the rows are broadcast once AQE has "
-            "measured the per-group table.",
+            "- `is_slcsp_flag`, `min_rate_winners`, `pivot_grand_total`: no Window. The only shuffles are "
+            "the two partial aggregations of the group statistics (and the pivot's own). The joins back "
+            "to the rows are broadcast from the start, because the group keys (state x rating area x "
+            "metal level) have a fixed bound, so the rows themselves are never shuffled.",
             "- `nth_row_third`: the one rank filter left on a window; WindowGroupLimit appears on both sides "
             "of its exchange.",
             "- `grain_report`: one Expand (GROUPING SETS over all candidate keys) and one shuffle, instead "
