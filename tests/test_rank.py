@@ -139,3 +139,14 @@ def test_skew_split_is_stable_across_recomputation(spark):
     runs = [{r.id: r.rn for r in rank.row_number(df, ["g"], ["rate", "id"], "rn", max_group_rows=20,
                                                  rows_per_task=25).collect()} for _ in range(2)]
     assert runs[0] == runs[1]
+
+
+def test_bounded_groups_broadcast_the_statistics(spark):
+    df = _rn_frame(spark)
+    t = rank.rank_flags(df, ["g"], "rate", "m", [("f", 1, "rank", None)], groups_bounded=True)
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan
+    # only the two statistics aggregations shuffle; the rows join back by broadcast
+    assert plan.count("Exchange hashpartitioning") == 2
+    u = rank.rank_flags(df, ["g"], "rate", "m", [("f", 1, "rank", None)])
+    assert {r.id: r.f for r in t.collect()} == {r.id: r.f for r in u.collect()}
