@@ -61,17 +61,18 @@ def expansion_report(sa: DataFrame, counties: DataFrame, expanded: DataFrame,
                      state_col: str = "state_code", lookup_state: str = "usps",
                      dental_col: str = "dental_only_plan") -> DataFrame:
     """Per state: raw service-area rows (dental flag exactly ``No``, as the check was
-    written), counties in the lookup, and rows after expansion."""
-    raw = (sa.where(F.col(dental_col) == F.lit("No")).groupBy(state_col)
-           .agg(F.count(F.lit(1)).alias("raw_sa_rows")))
-    cty = (counties.groupBy(F.col(lookup_state).alias(state_col))
-           .agg(F.count(F.lit(1)).alias("county_count")))
-    exp = expanded.groupBy(state_col).agg(F.count(F.lit(1)).alias("expanded_rows"))
-    states = (sa.select(state_col).union(cty.select(state_col))
-              .union(exp.select(state_col)).distinct())
-    return (states.join(raw, state_col, "left").join(cty, state_col, "left")
-            .join(exp, state_col, "left")
-            .select(state_col,
-                    F.coalesce("raw_sa_rows", F.lit(0)).alias("raw_sa_rows"),
-                    F.coalesce("county_count", F.lit(0)).alias("county_count"),
-                    F.coalesce("expanded_rows", F.lit(0)).alias("expanded_rows")))
+    written), counties in the lookup, and rows after expansion.
+
+    The three sources are tagged and summed in one aggregation (one shuffle, combined
+    map-side); every state seen in any of them gets a row, with 0 where it is absent.
+    """
+    one, zero = F.lit(1), F.lit(0)
+    raw = sa.select(F.col(state_col),
+                    F.when(F.col(dental_col) == F.lit("No"), one).otherwise(zero).alias("r"),
+                    zero.alias("c"), zero.alias("e"))
+    cty = counties.select(F.col(lookup_state).alias(state_col), zero.alias("r"), one.alias("c"),
+                          zero.alias("e"))
+    exp = expanded.select(F.col(state_col), zero.alias("r"), zero.alias("c"), one.alias("e"))
+    return raw.unionByName(cty).unionByName(exp).groupBy(state_col).agg(
+        F.sum("r").alias("raw_sa_rows"), F.sum("c").alias("county_count"),
+        F.sum("e").alias("expanded_rows"))
