@@ -37,24 +37,42 @@ def join(left: DataFrame, right: DataFrame, on: OnSpec, how: str = "inner") -> D
     return left.join(right, cond, how)
 
 
-def _key_counts(df: DataFrame, cols: Sequence[str], prefix: str, name: str,
-                conds: Sequence[Column] = ()) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias(name)]
-    aggs += [F.count(F.when(c, F.lit(1))).alias(f"{name}_{i}") for i, c in enumerate(conds)]
-    return df.groupBy(*[F.col(c).alias(f"{prefix}{i}") for i, c in enumerate(cols)]).agg(*aggs)
-
-
 def _count_join(left: DataFrame, right: DataFrame, on: OnSpec,
                 lconds: Sequence[Column] = (), rconds: Sequence[Column] = ()) -> DataFrame:
+    """Per join key: ``cl`` left rows, ``cr`` right rows (NULL when a side has none),
+    plus conditional counts ``cl_i`` / ``cr_i``, as if the two per-key count tables
+    were full-outer joined, but computed in one tagged aggregation (one shuffle,
+    combined map-side). Rows with a NULL key never match, as in the join itself: they
+    are grouped per side so they can only count as unmatched."""
     pairs = _pairs(on)
-    lc = _key_counts(left, [a for a, _ in pairs], "k", "cl", lconds)
-    rc = _key_counts(right, [b for _, b in pairs], "k", "cr", rconds)
     keys = [f"k{i}" for i in range(len(pairs))]
-    cond = None
+    one, zero = F.lit(1), F.lit(0)
+
+    def side(df: DataFrame, cols: list[str], is_left: bool) -> DataFrame:
+        mine, other = (lconds, rconds) if is_left else (rconds, lconds)
+        flags = [F.when(c, one).otherwise(zero) for c in mine]
+        pad = [zero for _ in other]
+        lflags, rflags = (flags, pad) if is_left else (pad, flags)
+        return df.select(*[F.col(c).alias(k) for c, k in zip(cols, keys)],
+                         (one if is_left else zero).alias("_l"),
+                         (zero if is_left else one).alias("_r"),
+                         *[f.alias(f"_l{i}") for i, f in enumerate(lflags)],
+                         *[f.alias(f"_r{i}") for i, f in enumerate(rflags)])
+
+    u = side(left, [a for a, _ in pairs], True).unionByName(
+        side(right, [b for _, b in pairs], False))
+    null_key = None
     for k in keys:
-        c = lc[k] == rc[k]          # NULL keys never match, as in the join itself
-        cond = c if cond is None else cond & c
-    return lc.join(rc, cond, "full_outer")
+        c = F.col(k).isNull()
+        null_key = c if null_key is None else null_key | c
+    sep = F.when(null_key, F.col("_l")).otherwise(zero)
+    g = u.groupBy(*keys, sep.alias("__sep")).agg(
+        F.sum("_l").alias("cl"), F.sum("_r").alias("cr"),
+        *[F.sum(f"_l{i}").alias(f"cl_{i}") for i in range(len(lconds))],
+        *[F.sum(f"_r{i}").alias(f"cr_{i}") for i in range(len(rconds))])
+    return g.select(*keys, F.nullif("cl", zero).alias("cl"), F.nullif("cr", zero).alias("cr"),
+                    *[f"cl_{i}" for i in range(len(lconds))],
+                    *[f"cr_{i}" for i in range(len(rconds))])
 
 
 def audit(left: DataFrame, right: DataFrame, on: OnSpec) -> DataFrame:
