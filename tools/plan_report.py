@@ -52,8 +52,12 @@ def main(argv):
     for k, counts, bad in rows:
         out.append(f"| `{k}` | " + " | ".join(str(c) for c in counts) + f" | {', '.join(bad) or 'none'} |")
     out += ["", "Reading the table:", "",
-            "- Audits (`join_fanout_audit`, `join_filter_steps`): one hash shuffle per side for the per-key "
-            "counts, one join of those counts, one single-partition final sum. The exploded join never runs.",
+            "- Audits (`join_fanout_audit`, `join_filter_steps`): both sides' rows are tagged and counted "
+            "per key in one aggregation (one hash shuffle, combined map-side; NULL keys kept per side so "
+            "they never match), then one single-partition sum. No join runs at all, let alone the exploded "
+            "one.",
+            "- `key_overlap` and `expansion_report` use the same tagging: one aggregation instead of "
+            "distincts and outer joins.",
             "- `is_slcsp_flag`, `min_rate_winners`, `pivot_grand_total`: no Window. The only shuffles are "
             "the two partial aggregations of the group statistics (and the pivot's own). The joins back "
             "to the rows are broadcast from the start, because the group keys (state x rating area x "
