@@ -62,22 +62,21 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5,
     gives its first words only, so that a source's taken words are its target, rounded."""
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest))
-    d = docs.withColumn("size", word_count(F.col("text"))).withColumn("__mix_key", key)
+    # one non-null name per source, so that the window and the join below share one partitioning
+    name = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
+    d = docs.withColumn("size", word_count(F.col("text"))).withColumn("__mix_key", key).withColumn("__mix_source", name)
     sizes = d.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets(sizes, weights, share, most_epochs).withColumn("__mix_budget", F.round("target").cast("long"))
     bits = (KEY_RANGES - 1).bit_length()
     d = d.withColumn("__mix_range", F.shiftright(F.conv(F.substring("__mix_key", 1, 8), 16, 10).cast("long"), 32 - bits))
-    ranges = d.groupBy("source", "__mix_range").agg(F.sum("size").alias("__mix_sum"))
-    ahead = Window.partitionBy("source").orderBy("__mix_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.withColumn("__mix_ahead", F.coalesce(F.sum("__mix_sum").over(ahead), F.lit(0)))
-    s, r = plan.alias("s"), ranges.alias("r")
-    r = (r.join(s, F.col("r.source").eqNullSafe(F.col("s.source")))
-         .select(F.col("r.source").alias("__mix_source"), F.col("r.__mix_range").alias("__mix_r"), "__mix_ahead",
-                 "source_size", "target", "__mix_budget"))
-    inside = (Window.partitionBy("source", "__mix_range").orderBy("__mix_key", "doc_id")
+    ranges = d.groupBy("__mix_source", "__mix_range").agg(F.sum("size").alias("__mix_sum"))
+    ahead = Window.partitionBy("__mix_source").orderBy("__mix_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("__mix_ahead", F.coalesce(F.sum("__mix_sum").over(ahead), F.lit(0))).drop("__mix_sum")
+    ranges = ranges.join(plan.withColumn("__mix_source", name).drop("source"), "__mix_source")
+    inside = (Window.partitionBy("__mix_source", "__mix_range").orderBy("__mix_key", "doc_id")
               .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("__mix_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    d = d.join(r, F.col("source").eqNullSafe(F.col("__mix_source")) & (F.col("__mix_range") == F.col("__mix_r")))
+    d = d.join(ranges, ["__mix_source", "__mix_range"])
     start = F.col("__mix_ahead") + F.col("__mix_inside")
     taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), F.col("__mix_budget") - F.col("source_size") * e - start))
                  for e in range(most_epochs)), F.lit(0))
