@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +34,27 @@ def bounded_sample(df: DataFrame, key: list, rows: int):
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
+
+
+def add_columns(df: DataFrame, added: dict[str, str], compute: Callable[[pa.RecordBatch], list], drop: Sequence[str] = (),
+                rows: int = 2048) -> DataFrame:
+    """``df`` with columns computed batch by batch (at most ``rows`` rows at once); its own columns of these names give way.
+
+    ``added``: name -> Spark type; ``compute`` returns their values in this order. ``drop`` leaves out input columns."""
+    kept = [c for c in df.columns if c not in added and c not in drop]
+    df = df.select(*kept, *[c for c in drop if c in df.columns])
+    kind = {f.name: f.dataType.simpleString() for f in df.schema}
+    schema = ", ".join([*(f"`{c}` {kind[c]}" for c in kept), *(f"`{k}` {t}" for k, t in added.items())])
+    names, types = [*kept, *added], [_TYPES.get(t) for t in added.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows):
+                batch = whole.slice(at, rows)
+                new = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(compute(batch), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *new], names)
+
+    return df.mapInArrow(run, schema)
