@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality
+from . import bagminhash, bpe, mixing, quality
 from .store import documents
 
 
@@ -28,10 +28,16 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return bagminhash.classes(docs).select("doc_id", "class_id", "kept", "n_shingles", "n_links")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
     "op5_mixing": op5_mixing,
+    "op7_bagminhash": op7_bagminhash,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.MIX_SQL}

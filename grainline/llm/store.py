@@ -36,7 +36,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-_TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
 
 
 def add_columns(df: DataFrame, added: dict[str, str], compute: Callable[[pa.RecordBatch], list], drop: Sequence[str] = (),
