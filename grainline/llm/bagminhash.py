@@ -25,11 +25,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
-from .store import add_columns, written
+from .store import add_columns, row_key, written
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -191,16 +191,11 @@ def connected(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _row_key(docs: DataFrame) -> list[Column]:
-    """Two columns that tell any two different (doc_id, text) rows apart."""
-    return [F.coalesce("doc_id", F.lit(-1)).alias("__id"), F.xxhash64("doc_id", "text").alias("__hash")]
-
-
 def classes(docs: DataFrame) -> DataFrame:
     """One row a row of ``docs``: doc_id, class_id (least doc_id of the class), kept (the class's first row), n_shingles,
     n_links (verified links of its text to different texts), and the row's key columns."""
     names = {"n_shingles": "long", "digest_a": "long", "digest_b": "long", "signature": "binary", "bands": "array<bigint>", "bag": "binary"}
-    rows = docs.select("doc_id", *_row_key(docs), "text")
+    rows = docs.select("doc_id", *row_key(docs), "text")
     rows = add_columns(rows, names, lambda batch: list(describe(batch.column("text")).values()), drop=["text"])
     rows = written(rows.withColumn("uid", F.monotonically_increasing_id()), "signatures")
     digest = ["digest_a", "digest_b"]
@@ -272,5 +267,5 @@ def _compare_rest(rest: DataFrame, signature: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: the first row of every class, all columns."""
     kept = classes(docs).where("kept").select("__id", "__hash")
-    keyed = docs.select("*", *_row_key(docs))
+    keyed = docs.select("*", *row_key(docs))
     return keyed.join(kept, ["__id", "__hash"]).dropDuplicates(["__id", "__hash"]).select(*docs.columns)

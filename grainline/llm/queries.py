@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, bpe, mixing, quality
+from . import bagminhash, bpe, mixing, quality, sanitise
 from .store import documents
 
 
@@ -23,6 +23,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, ids=False)
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.find(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -36,6 +40,7 @@ def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_personal_data": op4_personal_data,
     "op5_mixing": op5_mixing,
     "op7_bagminhash": op7_bagminhash,
 }

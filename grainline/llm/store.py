@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainline.session import checkpoint_dir
@@ -32,6 +32,11 @@ def bounded_sample(df: DataFrame, key: list, rows: int):
     return df.withColumn("__h", F.xxhash64(F.lit(7), *key)).orderBy("__h", *key).limit(rows).drop("__h").collect()
 
 
+def row_key(docs: DataFrame) -> list[Column]:
+    """Two columns that tell any two different (doc_id, text) rows apart."""
+    return [F.coalesce("doc_id", F.lit(-1)).alias("__id"), F.xxhash64("doc_id", "text").alias("__hash")]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
