@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, bpe, mixing, quality, sanitise
+from . import bagminhash, bpe, langid, licences, mixing, quality, sanitise, toxicity
 from .store import documents
 
 
@@ -37,12 +37,34 @@ def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.classes(docs).select("doc_id", "class_id", "kept", "n_shingles", "n_links")
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = langid.fold(F.col("doc_id"), 3) == 1
+    model = langid.fit(docs.where(~held_out))
+    return langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = langid.fold(F.col("doc_id"), 5) == 0
+    grammar = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out))
+    out = toxicity.judge(docs.select("doc_id", held_out.alias("held_out"), "text"), grammar)
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_personal_data": op4_personal_data,
     "op5_mixing": op5_mixing,
     "op7_bagminhash": op7_bagminhash,
+    "op8_licences": op8_licences,
+    "op9_language": op9_language,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.MIX_SQL}
