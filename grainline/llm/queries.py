@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, bpe, langid, licences, mixing, quality, sanitise, toxicity
+from . import bagminhash, bpe, langid, licences, mixing, mtree, quality, sanitise, toxicity
 from .store import documents
 
 
@@ -32,6 +32,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_mtree_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
 def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return bagminhash.classes(docs).select("doc_id", "class_id", "kept", "n_shingles", "n_links")
@@ -61,10 +65,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op4_personal_data": op4_personal_data,
     "op5_mixing": op5_mixing,
+    "op6_mtree_top5": op6_mtree_top5,
     "op7_bagminhash": op7_bagminhash,
     "op8_licences": op8_licences,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.MIX_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.MIX_SQL, "op6_mtree_top5": mtree.TOP_SQL}
