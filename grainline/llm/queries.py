@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, bpe, langid, licences, mixing, mtree, quality, sanitise, toxicity
+from . import bagminhash, bpe, langid, licences, mixing, mtree, ngram_lm, quality, sanitise, toxicity
 from .store import documents
 
 
@@ -23,6 +23,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, ids=False)
 
 
+def op3_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.find(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -63,6 +67,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_ngram_lm": op3_ngram_lm,
     "op4_personal_data": op4_personal_data,
     "op5_mixing": op5_mixing,
     "op6_mtree_top5": op6_mtree_top5,
