@@ -10,8 +10,9 @@ Then, on Spark:
 1. texts with equal multisets (copies) become one text, by a partial aggregation;
 2. bands of slots give buckets; every member of a bucket is paired with the bucket's first text (never all pairs);
 3. pairs whose signatures agree enough are verified by exact multiset overlap;
-4. members that differ from their bucket's first text are compared with each other in bounded blocks;
-5. verified links become classes by minimum labels with pointer jumping, each round written to the shared folder.
+4. verified links become components by minimum labels with pointer jumping, each round written to the shared folder;
+5. a bucket that holds several components compares the members outside its largest one with all others, in bounded
+   blocks, and the most alike pairs of any two components are verified; their links complete the classes.
 
 Defined results. Texts without words (null, empty, blank) are in no class but their own. Texts of one to four words have
 one shingle, the whole text. Upper and lower case A-Z are the same. Equal rows share a class; its first row (least
@@ -37,10 +38,10 @@ SLOTS = 128
 BANDS, BAND_SLOTS = 25, 5
 #: Signature agreement that sends a pair to verification: 0.8 less four standard deviations.
 PLAUSIBLE = SIMILARITY - 4 * float(np.sqrt(SIMILARITY * (1 - SIMILARITY) / SLOTS))
-#: A member that agrees less than this with its bucket's first text is also compared with the others like it.
-SETTLED = 0.9
-#: Texts that one task compares with as many others.
+#: Members of a bucket in one block, each compared with the bucket's members outside its largest component.
 BLOCK_TEXTS = 256
+#: Pairs that a block proposes for any two components, the most alike first.
+PROPOSED = 3
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -120,7 +121,7 @@ def bag_minhash(keys: np.ndarray, docs: np.ndarray, counts: np.ndarray, size: in
 def describe(column: pa.Array) -> dict[str, list]:
     """For each text: shingles counted, a 128-bit digest of the multiset, signature, band keys and packed shingles."""
     out: dict[str, list] = {k: [] for k in ("n_shingles", "digest_a", "digest_b", "signature", "bands", "bag")}
-    for b in scan.blocks(column):
+    for b in scan.blocks(column, 2 << 20):
         keys, docs, counts = shingles(b)
         sums = np.zeros((2, b.size), np.uint64)
         for i, salt in enumerate((0x51ED270B, 0x2545F491)):
@@ -206,17 +207,16 @@ def classes(docs: DataFrame) -> DataFrame:
     heads = rows.join(texts.select("uid"), "uid")
     members = written(heads.select("uid", F.explode("bands").alias("band")), "bands")
     buckets = members.groupBy("band").agg(F.min("uid").alias("head"), F.count("*").alias("n")).where("n > 1")
-    members = members.join(buckets.select("band", "head"), "band").where("uid <> head")
-    members = written(members, "members")
-    signature = rows.select("uid", "signature")
-    pairs = members.select("uid", "head").distinct()
+    members = written(members.join(buckets.select("band", "head"), "band"), "members")
+    signature, bags = rows.select("uid", "signature"), rows.select("uid", "bag")
+    pairs = members.where("uid <> head").select("uid", "head").distinct()
     pairs = (pairs.join(signature, "uid").join(signature.select(F.col("uid").alias("head"), F.col("signature").alias("other")), "head"))
-    pairs = written(add_columns(pairs, {"agree": "double"}, lambda t: [_agreement(t.column("signature"), t.column("other"))],
-                                drop=["signature", "other"]), "pairs")
+    pairs = add_columns(pairs, {"agree": "double"}, lambda t: [_agreement(t.column("signature"), t.column("other"))],
+                        drop=["signature", "other"])
     stars = pairs.where(F.col("agree") >= PLAUSIBLE).select(F.col("head").alias("a"), F.col("uid").alias("b"))
-    rest = members.join(pairs.where(F.col("agree") < SETTLED).select("uid", "head"), ["uid", "head"]).select("band", "uid")
-    links = _verified(stars.union(_compare_rest(rest, signature)).distinct(), rows.select("uid", "bag"))
-    links = written(links, "links")
+    links = written(_verified(stars, bags), "links")
+    more = _compare_components(members.select("band", "uid"), connected(links), signature)
+    links = written(links.unionByName(_verified(more.join(links, ["a", "b"], "left_anti"), bags)), "links")
     labels = connected(links)
     degree = (links.select(F.col("a").alias("uid")).union(links.select(F.col("b").alias("uid")))
               .groupBy("uid").agg(F.count("*").alias("n_links")))
@@ -240,28 +240,40 @@ def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return p.where(F.col("similarity") >= SIMILARITY)
 
 
-def _compare_rest(rest: DataFrame, signature: DataFrame) -> DataFrame:
-    """Plausible pairs among the members of a bucket that its first text does not settle, block against block."""
-    n = rest.groupBy("band").agg(F.ceil(F.count("*") / BLOCK_TEXTS).cast("int").alias("blocks"), F.count("*").alias("n")).where("n > 1")
-    r = rest.join(n.drop("n"), "band").withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
-    r = r.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    r = r.select("band", "uid", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    r = r.join(signature, "uid")
+def _compare_components(members: DataFrame, labels: DataFrame, signature: DataFrame) -> DataFrame:
+    """Plausible pairs (a < b) of different components among the members of a bucket.
+
+    Members outside a bucket's largest component go to all its blocks, the others to one each, so a bucket of any size
+    around one component costs one comparison a member and outsider, and proposes a few pairs."""
+    m = members.join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+    m = written(m, "labelled")
+    sizes = m.groupBy("band", "label").agg(F.count("*").alias("n"))
+    mixed = (sizes.groupBy("band").agg(F.count("*").alias("labels"), F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("top"))
+             .where("labels > 1").select("band", F.col("top.label").alias("main"), F.ceil(F.col("n") / BLOCK_TEXTS).cast("int").alias("blocks")))
+    m = m.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
+    outside = F.col("label") != F.col("main")
+    every = F.when(outside, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
+    m = m.select("band", "uid", "label", outside.alias("outside"), F.col("block").alias("home"), F.explode(every).alias("block"))
+    m = m.join(signature, "uid")
 
     def compare(t: pa.Table) -> pa.Table:
-        uid, block = t.column("uid").to_numpy(), t.column("block").to_numpy()
+        uid, label = t.column("uid").to_numpy(), t.column("label").to_numpy()
+        here = t.column("home").to_numpy() == t.column("block").to_numpy()
         s = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint32).reshape(-1, SLOTS)
-        one, two = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
-        a, b = [], []
-        for x in left:
-            like = right[(s[right] == s[x]).mean(1) >= PLAUSIBLE]
-            like = like[uid[like] != uid[x]] if one != two else like[uid[like] > uid[x]]
-            a.append(np.minimum(uid[like], uid[x]))
-            b.append(np.maximum(uid[like], uid[x]))
-        return pa.table({"a": np.concatenate(a or [np.zeros(0, np.int64)]), "b": np.concatenate(b or [np.zeros(0, np.int64)])})
-
-    return r.groupBy("band", "i", "j").applyInArrow(compare, "a long, b long")
+        best: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
+        for x in np.flatnonzero(t.column("outside").to_numpy(zero_copy_only=False)):
+            others = np.flatnonzero(here & (label != label[x]))
+            agree = (s[others] == s[x]).mean(1)
+            for i in np.flatnonzero(agree >= PLAUSIBLE):
+                y = others[i]
+                found = best.setdefault((min(label[x], label[y]), max(label[x], label[y])), [])
+                found.append((-float(agree[i]), min(uid[x], uid[y]), max(uid[x], uid[y])))
+                if len(found) > 4 * PROPOSED:
+                    found[:] = sorted(set(found))[:PROPOSED]
+        out = [f for found in best.values() for f in sorted(set(found))[:PROPOSED]]
+        return pa.table({"a": pa.array([f[1] for f in out], pa.int64()), "b": pa.array([f[2] for f in out], pa.int64())})
+
+    return m.groupBy("band", "block").applyInArrow(compare, "a long, b long").distinct()
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
