@@ -7,12 +7,12 @@ with N lines, n(t), n(e) and n(t,e) of them holding the term, the entity, and bo
     disclosure(t, e) = PMI(t; e) / IC(e) = log2(N n(t,e) / (n(t) n(e))) / log2(N / n(e)).
 
 1 means that the term determines the entity. A term of at least MOST_DISCLOSURE is removed, one of at least DISCLOSURE
-generalised. Equal lines count once; an entity that one copied context accounts for (over half of its occurrences with the
-same neighbouring words) or that fewer than SUPPORT contexts hold gives no estimate, nor does a term with less than
-SUPPORT joint lines: there is nothing to learn from one passage copied around.
+generalised. There is nothing to learn from one passage that is copied around, with or without changes: an entity whose
+contexts agree in most of their terms gives no estimate, nor does one that fewer than SUPPORT different lines hold, nor
+a term with fewer different lines by the entity.
 
 Scale: the first pass writes only what stands near entities. Candidate terms go to the corpus as a Bloom filter of a fixed
-size, so that counting n(t) shuffles (term, line) pairs of candidates only; the exact join afterwards drops the filter's errors.
+size, so that counting n(t) sends one row a task and candidate; the exact join afterwards drops the filter's errors.
 
 Defined results. Null and empty texts: no spans, counts 0, the digest of the empty string; sanitised text stays as it is.
 Repeated rows: the same spans each. Very long texts are whole. Empty table: no rows. Own columns named like results give way.
@@ -102,7 +102,7 @@ def _hash(text: str) -> int:
 
 
 def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """Per span: its value, the hash of the words next to it, of its line, and the terms within CONTEXT_WORDS words."""
+    """Per span: its value, the hash of its line, and the terms within CONTEXT_WORDS words."""
     out, covered = [], sorted((s, e) for _, s, e in spans)
     for kind, s, e in spans:
         begin, end = text.rfind("\n", 0, s) + 1, text.find("\n", e)
@@ -114,14 +114,13 @@ def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
                 break
         near = (left[0].start() if left else s), (right[-1].end() if right else e)
         terms = [m for m in _TERM.finditer(text, *near) if not any(a < m.end() and m.start() < b for a, b in covered)]
-        beside = " ".join([*(m.group() for m in left[-3:]), "|", *(m.group() for m in right[:3])])
-        out.append({"value": f"{kind}:{text[s:e].lower()}", "beside": _hash(beside), "line": _hash(text[begin:end]),
+        out.append({"value": f"{kind}:{text[s:e].lower()}", "line": _hash(text[begin:end]),
                     "terms": [{"term": m.group().lower(), "from": m.start(), "to": m.end()} for m in terms]})
     return out
 
 
-_NEAR = "array<struct<value:string,beside:bigint,line:bigint,terms:array<struct<term:string,from:int,to:int>>>>"
-_NEAR_ARROW = pa.list_(pa.struct([("value", pa.string()), ("beside", pa.int64()), ("line", pa.int64()), ("terms", pa.list_(pa.struct([
+_NEAR = "array<struct<value:string,line:bigint,terms:array<struct<term:string,from:int,to:int>>>>"
+_NEAR_ARROW = pa.list_(pa.struct([("value", pa.string()), ("line", pa.int64()), ("terms", pa.list_(pa.struct([
     ("term", pa.string()), ("from", pa.int32()), ("to", pa.int32())])))]))
 
 
@@ -154,19 +153,22 @@ def _find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = add_columns(docs.select("doc_id", *row_key(docs), "text"), added, _look, drop=["text"])
     rows = written(rows.withColumn("uid", F.monotonically_increasing_id()), "findings")
     near = rows.where(F.size("near") > 0).select("uid", F.explode("near").alias("x")).select("uid", "x.*")
-    beside = near.groupBy("value", "beside").agg(F.count("*").alias("n"))
-    usable = (beside.groupBy("value").agg(F.count("*").alias("kinds"), F.max("n").alias("most"), F.sum("n").alias("n"))
-              .where((F.col("kinds") >= SUPPORT) & (F.col("most") * 2 <= F.col("n"))).select("value"))
-    near = written(near.join(usable, "value"), "usable")
-    terms = near.select("uid", "value", "line", F.explode("terms").alias("t")).select("uid", "value", "line", "t.*")
-    joint = (terms.select("value", "term", "line").distinct().groupBy("value", "term").agg(F.count("*").alias("n_both"))
-             .where(F.col("n_both") >= SUPPORT))
-    joint = written(joint, "joint")
-    n_value = near.select("value", "line").distinct().groupBy("value").agg(F.count("*").alias("n_value"))
+    near = near.withColumn("names", F.array_distinct(F.transform("terms", lambda t: t["term"])))
+    entity = (near.groupBy("value").agg(F.count_distinct("line").alias("lines"), F.count("*").alias("n_value"), F.sum(F.size("names")).alias("names"))
+              .where(F.col("lines") >= SUPPORT).drop("lines"))
+    near = written(near.join(entity.select("value"), "value"), "repeated")
+    both = (near.select("value", "line", F.explode("names").alias("term")).groupBy("value", "term")
+            .agg(F.count("*").alias("n_both"), F.count_distinct("line").alias("lines")).join(entity, "value"))
+    both = written(both, "joint")
+    # contexts that share most of their terms are copies of one passage
+    shared = F.sum((F.col("n_both") * 2 > F.col("n_value")).cast("long"))
+    own = both.groupBy("value").agg(shared.alias("shared"), F.first("names").alias("names"), F.first("n_value").alias("n")).where("shared * 2 * n < names")
+    joint = written(both.where(F.col("lines") >= SUPPORT).join(own.select("value"), "value").select("value", "term", "n_both", "n_value"), "candidates")
+    terms = near.select("uid", "value", F.explode("terms").alias("t")).select("uid", "value", "t.*")
     n_term = term_lines(docs, joint.select("term").distinct())
     total = max(1, rows.agg(F.sum("n_lines")).first()[0] or 1)
     pmi = F.log2(F.lit(float(total)) * F.col("n_both") / (F.col("n_term") * F.col("n_value")))
-    told = (joint.join(n_value, "value").join(n_term, "term")
+    told = (joint.join(n_term, "term")
             .withColumn("disclosure", pmi / F.greatest(F.log2(F.lit(float(total)) / F.col("n_value")), F.lit(1e-9)))
             .where(F.col("disclosure") >= DISCLOSURE).select("value", "term", "disclosure"))
     spans = terms.join(told, ["value", "term"]).groupBy("uid", "from", "to").agg(F.max("disclosure").alias("disclosure"))
@@ -180,7 +182,7 @@ def _slots(term: str) -> tuple[int, int, int]:
 
 
 def term_lines(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """term, n_term: in how many different lines of the corpus each of ``terms`` (a column ``term``) occurs."""
+    """term, n_term: in how many lines of the corpus each of ``terms`` (a column ``term``) occurs."""
     def bitmap(batches):
         bits = np.zeros(FILTER_BITS, bool)
         for b in batches:
@@ -197,14 +199,14 @@ def term_lines(docs: DataFrame, terms: DataFrame) -> DataFrame:
         return terms.select("term", F.lit(0).cast("long").alias("n_term")).limit(0)
     shared = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
 
-    def lines(batches):
+    def count(batches):
         flags = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
         known: dict[str, bool] = {}
+        found: Counter = Counter()
+        flush = lambda: pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["term", "n"])
         for b in batches:
-            found, line = [], []
             for text in b.column("text").to_pylist():
                 for part in (text or "").split("\n"):
-                    mine = None
                     for term in set(_TERM.findall(part.lower())):
                         hit = known.get(term)
                         if hit is None:
@@ -212,13 +214,14 @@ def term_lines(docs: DataFrame, terms: DataFrame) -> DataFrame:
                                 known.clear()
                             hit = known[term] = bool(flags[list(_slots(term))].all())
                         if hit:
-                            mine = _hash(part) if mine is None else mine
-                            found.append(term)
-                            line.append(mine)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(line, pa.int64())], ["term", "line"])
-
-    pairs = docs.select("text").mapInArrow(lines, "term string, line long").distinct()
-    return pairs.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term", "left_semi")
+                            found[term] += 1
+            if len(found) > 200_000:
+                yield flush()
+                found.clear()
+        yield flush()
+
+    counted = docs.select("text").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+    return counted.join(terms, "term", "left_semi")
 
 
 def mask(text: str | None, more: list[dict] | None = None) -> str | None:

@@ -47,6 +47,10 @@ def corpus(spark):
     rows = [(i, f"{line(5)} Zephyrine {line(3)} zed@clinic.example {line(5)} the rest") for i in range(8)]      # a telling name
     rows += [(100 + i, f"{line(6)} the common word {line(5)}") for i in range(50)]
     rows += [(200 + i, "Solo passage about Quixana here q@x.example as it was copied") for i in range(9)]       # one copied context
+    base = [word() for _ in range(30)]
+    for i in range(40):                                                                                         # near copies of one passage
+        copy = [w if rng.random() > 0.12 else word() for w in base]
+        rows.append((400 + i, " ".join([*copy[:15], "near@copy.example", *copy[15:]])))
     rows += [(300, None), (301, ""), (302, rows[0][1]), (302, rows[0][1]), (None, "x 1.2.3.4 y")]
     return rows, spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, spans string")
 
@@ -62,6 +66,7 @@ def test_terms_that_reveal_an_entity(corpus):
         assert f"term:{at}:{at + 9}" in by_id[i].spans.split(",")
         assert f":{text.index('the rest')}:" not in by_id[i].spans       # 'the' occurs elsewhere too
     assert all("term" not in by_id[200 + i].spans and by_id[200 + i].n_email == 1 for i in range(9))
+    assert all(by_id[400 + i].n_terms == 0 and by_id[400 + i].n_email == 1 for i in range(40))
     assert by_id[300].spans == by_id[301].spans == "" and by_id[None].n_ip == 1
     assert [r.n_terms for r in got if r.doc_id == 302] == [by_id[0].n_terms] * 2
 
