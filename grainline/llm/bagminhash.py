@@ -42,6 +42,8 @@ PLAUSIBLE = SIMILARITY - 4 * float(np.sqrt(SIMILARITY * (1 - SIMILARITY) / SLOTS
 BLOCK_TEXTS = 256
 #: Pairs that a block proposes for any two components, the most alike first.
 PROPOSED = 3
+#: Hash slots of the filter that spares rows a shuffle; its broadcast holds at most one number a slot.
+FILTER_SLOTS = 1 << 20
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -210,6 +212,7 @@ def classes(docs: DataFrame) -> DataFrame:
     members = written(members.join(buckets.select("band", "head"), "band"), "members")
     signature, bags = rows.select("uid", "signature"), rows.select("uid", "bag")
     pairs = members.where("uid <> head").select("uid", "head").distinct()
+    signature = _among(signature, members)
     pairs = (pairs.join(signature, "uid").join(signature.select(F.col("uid").alias("head"), F.col("signature").alias("other")), "head"))
     pairs = add_columns(pairs, {"agree": "double"}, lambda t: [_agreement(t.column("signature"), t.column("other"))],
                         drop=["signature", "other"])
@@ -232,7 +235,16 @@ def classes(docs: DataFrame) -> DataFrame:
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "__id", "__hash")
 
 
+def _among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose uid may be in ``wanted``: those in its hash slots. A later join by uid is exact; this one only keeps
+    most other rows out of the shuffle, and broadcasts at most FILTER_SLOTS numbers, however much is wanted."""
+    slot = F.pmod(F.xxhash64("uid"), F.lit(FILTER_SLOTS)).alias("__slot")
+    return rows.select("*", slot).join(F.broadcast(wanted.select(slot).distinct()), "__slot", "left_semi").drop("__slot")
+
+
 def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    pairs = written(pairs.select("a", "b"), "candidates")
+    bags = _among(bags, pairs.select(F.explode(F.array("a", "b")).alias("uid")))
     p = (pairs.join(bags.select(F.col("uid").alias("b"), F.col("bag").alias("bag_b")), "b")
          .join(bags.select(F.col("uid").alias("a"), F.col("bag").alias("bag_a")), "a"))
     p = add_columns(p, {"similarity": "double"}, lambda t: [[overlap(x.as_py(), y.as_py()) for x, y in zip(t.column("bag_a"), t.column("bag_b"))]],
