@@ -6,7 +6,6 @@ Subpackages:
   functions  column-level cleaning helpers (pure ``Column -> Column``)
   operators  reusable ``DataFrame -> DataFrame`` operators
   plans      parameterised multi-step pipelines (the landscape build)
-  streaming  intentionally empty: no streaming work exists to rebuild
 """
 
 __version__ = "0.1.0"

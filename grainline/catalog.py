@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from .functions import clean
 from .operators import coverage, joins, lookups, pivot, profile, rank
 from .plans import landscape as ls
 from .plans.params import Params
-from .sources import sink, standins
+from .sources import sink, standins, tables
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -99,6 +99,24 @@ def q_session_info(spark, d):
     return profile.session_info(spark, Src(spark, d).rate)
 
 
+@register("session_probe", oracle.sql(
+    "SELECT count(*) AS probe_rows, true AS has_user, true AS has_time FROM st_rate", "st_rate"))
+def q_session_probe(spark, d):
+    """The part of the session probe that is the same everywhere."""
+    return profile.session_info(spark, Src(spark, d).rate).select(
+        "probe_rows", F.col("connected_user").isNotNull().alias("has_user"),
+        F.col("connected_at").isNotNull().alias("has_time"))
+
+
+@register("quoted_names", oracle.sql(
+    "SELECT usps AS state_code, geoid AS geo_id, county AS county_name FROM st_county", "st_county"))
+def q_quoted_names(spark, d):
+    """Quoted, case-sensitive source names, renamed at load."""
+    raw = Src(spark, d).county.select(F.col("usps").alias("State Code"), F.col("geoid").alias("GeoId"),
+                                      F.col("county").alias("COUNTY-Name"))
+    return tables.snake_case_columns(raw)
+
+
 @register("sample_rows", oracle.sql(_present(
     "SELECT * FROM st_rate ORDER BY row_key ASC NULLS LAST LIMIT 20",
     doubles=("individual_rate", "individual_tobacco_rate"), texts=("rate_effective_date",)),
@@ -199,7 +217,8 @@ def q_rate_periods(spark, d):
     f"FROM st_rate WHERE business_year = {YEAR}", "st_rate"))
 def q_distinct_values(spark, d):
     r = Src(spark, d).rate.where(F.col("business_year") == YEAR)
-    return portable(profile.distinct_values(r, ["rate_effective_date", "version_number"]))
+    return portable(profile.distinct_values(r, ["rate_effective_date", "version_number"])).orderBy(
+        "rate_effective_date", "version_number")
 
 
 @register("variant_suffixes", oracle.sql(
@@ -267,6 +286,15 @@ def q_grain_top20_guess1(spark, d):
     return profile.grain_top(Src(spark, d).rate, GRAIN_GUESS_1, 20)
 
 
+T0A_GRAIN = ["business_year", "state_code", "plan_id", "rating_area_id", "age", "tobacco"]
+
+
+@register("t0a_grain_top20", oracle.sql(_grain_sql(T0A_GRAIN).replace("st_rate", "st_t0a"), "st_t0a"))
+def q_t0a_grain_top20(spark, d):
+    """Grain of the analysis table."""
+    return profile.grain_top(Src(spark, d).t0a, T0A_GRAIN, 20)
+
+
 GRAIN_CANDIDATES = {"guess_1": GRAIN_GUESS_1, "guess_2": GRAIN_GUESS_2,
                     "with_tobacco": GRAIN_GUESS_2 + ["tobacco", "version_number"],
                     "row_key": ["row_key"]}
@@ -389,8 +417,8 @@ def q_metal_counts_as_written(spark, d):
     "AS rating_area_number FROM st_t0a", "st_t0a"))
 def q_sort_rating_area(spark, d):
     t = Src(spark, d).t0a
-    return t.select("rating_area_id",
-                    clean.rating_area_number("rating_area_id").alias("rating_area_number")).distinct()
+    return (t.select("rating_area_id", clean.rating_area_number("rating_area_id").alias("rating_area_number")).distinct()
+            .orderBy(F.col("rating_area_number").asc_nulls_last(), "rating_area_id"))
 
 
 _DED = ("replace(replace(coalesce(tehb_ded_inn_tier1_individual, mehb_ded_inn_tier1_individual, "
@@ -399,6 +427,13 @@ _OOPM = ("replace(replace(coalesce(tehb_inn_tier1_individual_moop, "
          "tehb_inn_tier1_family_per_person_moop), 'per person', ''), '$', '')")
 
 
+def _money_sql(text: str) -> str:
+    """First amount of a text, percentages aside."""
+    bare = f"regexp_replace({text}, '[0-9][0-9.,]* ?%', '', 'g')"
+    found = f"regexp_extract({bare}, '-?\\$? ?[0-9][0-9,]*(\\.[0-9]+)?')"
+    return f"CAST(TRY_CAST(nullif(regexp_replace({found}, '[$, ]', '', 'g'), '') AS DECIMAL(12,2)) AS DOUBLE)"
+
+
 def _ded_cols(p):
     return (clean.deductible_text("tehb_ded_inn_tier1_individual", "mehb_ded_inn_tier1_individual",
                                   "tehb_ded_inn_tier1_family_per_person"),
@@ -418,10 +453,8 @@ def q_deductible_text(spark, d):
 
 @register("deductible_amount", oracle.sql(
     "SELECT plan_marketing_name, "
-    f"CAST(TRY_CAST(nullif(regexp_replace({_DED}, '[^0-9.]', '', 'g'), '') AS DECIMAL(12,2)) "
-    "AS DOUBLE) AS deductible_amount, "
-    f"CAST(TRY_CAST(nullif(regexp_replace({_OOPM}, '[^0-9.]', '', 'g'), '') AS DECIMAL(12,2)) "
-    "AS DOUBLE) AS oopm_amount, count(*) AS row_count FROM st_plan_attr GROUP BY 1, 2, 3",
+    f"{_money_sql(_DED)} AS deductible_amount, {_money_sql(_OOPM)} AS oopm_amount, "
+    "count(*) AS row_count FROM st_plan_attr GROUP BY 1, 2, 3",
     "st_plan_attr"))
 def q_deductible_amount(spark, d):
     p = Src(spark, d).plan
@@ -433,6 +466,20 @@ def q_deductible_amount(spark, d):
     return portable(g)
 
 
+@register("money_first_amount", oracle.sql(
+    f"SELECT text, {_money_sql('text')} AS amount, count(*) AS row_count FROM (SELECT "
+    "tehb_ded_inn_tier1_individual || ' / 20% | ' || tehb_ded_inn_tier1_family_per_person AS text FROM st_plan_attr "
+    "UNION ALL SELECT '10% / ' || mehb_ded_inn_tier1_individual FROM st_plan_attr "
+    "UNION ALL SELECT metal_level FROM st_plan_attr) x GROUP BY 1, 2", "st_plan_attr"))
+def q_money_first_amount(spark, d):
+    """Texts with two amounts, with a percentage before the amount, and without an amount."""
+    p = Src(spark, d).plan
+    texts = (p.select(F.concat("tehb_ded_inn_tier1_individual", F.lit(" / 20% | "), "tehb_ded_inn_tier1_family_per_person").alias("text"))
+             .union(p.select(F.concat(F.lit("10% / "), "mehb_ded_inn_tier1_individual")))
+             .union(p.select("metal_level")))
+    return portable(texts.groupBy("text", clean.parse_money("text").alias("amount")).agg(F.count(F.lit(1)).alias("row_count")))
+
+
 @register("pad_fips", oracle.sql(
     "SELECT fips AS fips_raw, lpad(fips, 5, '0') AS fips, county, rating_area "
     "FROM st_rating_area_county_raw", "st_rating_area_county_raw"))
@@ -502,14 +549,14 @@ def q_join_composite(spark, d):
                              "csr_variation_type", "metal_level"))
 
 
+# covered counties: a whole-state row stands for each county of its state, a county row for its own
 _SA_EXPANDED_SQL = """
-  SELECT business_year, state_code, issuer_id, service_area_id, right(county, 5) AS county
-  FROM st_service_area
-  WHERE (cover_entire_state = 'No' OR cover_entire_state = 'false') AND left(dental_only_plan, 1) = 'N'
-  UNION
-  SELECT sa.business_year, sa.state_code, sa.issuer_id, sa.service_area_id, c.geoid AS county
-  FROM st_service_area sa JOIN st_county c ON sa.state_code = c.usps
-  WHERE sa.cover_entire_state = 'Yes' AND left(sa.dental_only_plan, 1) = 'N'"""
+  SELECT DISTINCT area.business_year, area.state_code, area.issuer_id, area.service_area_id,
+         CASE WHEN area.whole THEN place.geoid ELSE right(area.county, 5) END AS county
+  FROM (SELECT *, cover_entire_state = 'Yes' AS whole FROM st_service_area
+        WHERE cover_entire_state IN ('Yes', 'No', 'false') AND starts_with(dental_only_plan, 'N')) area
+  LEFT JOIN st_county place ON area.whole AND place.usps = area.state_code
+  WHERE NOT area.whole OR place.geoid IS NOT NULL"""
 
 
 @register("join_padded_key", oracle.sql(
@@ -520,7 +567,7 @@ _SA_EXPANDED_SQL = """
     ctes=(("sa_expanded", _SA_EXPANDED_SQL),)))
 def q_join_padded_key(spark, d):
     s = Src(spark, d)
-    sa = coverage.expand(s.sa, s.county).withColumn("__k", clean.pad_fips("county"))
+    sa = coverage.expand(s.sa, s.county, counties_bounded=True).withColumn("__k", clean.pad_fips("county"))
     cm = F.broadcast(s.cmap_raw.select(F.col("fips").alias("map_fips"),
                                        F.col("county").alias("county_name"), "rating_area")
                      .withColumn("__k", clean.pad_fips("map_fips")))
@@ -611,7 +658,7 @@ _SA_ENR = ("SELECT sa.business_year, sa.state_code, sa.issuer_id, sa.service_are
 
 
 def _sa_enrollment(s: Src) -> DataFrame:
-    sa = coverage.expand(s.sa, s.county)
+    sa = coverage.expand(s.sa, s.county, counties_bounded=True)
     e = s.enrollment.select("issuer_hios_id", "year", "county_fips", "avg_enrollment")
     return joins.join(sa, e, [("issuer_id", "issuer_hios_id"), ("business_year", "year"),
                               ("county", "county_fips")], "left").select(
@@ -629,7 +676,12 @@ def q_left_enrollment(spark, d):
     f"SELECT * FROM ({_SA_ENR}) x WHERE avg_enrollment IS NULL",
     "st_service_area", "st_county", "st_enrollment", ctes=(("sa_expanded", _SA_EXPANDED_SQL),)))
 def q_unmatched_enrollment(spark, d):
-    return _sa_enrollment(Src(spark, d)).where(F.col("avg_enrollment").isNull())
+    s = Src(spark, d)
+    e = s.enrollment.select("issuer_hios_id", "year", "county_fips", "avg_enrollment")
+    return joins.unmatched(coverage.expand(s.sa, s.county, counties_bounded=True), e,
+                           [("issuer_id", "issuer_hios_id"), ("business_year", "year"), ("county", "county_fips")],
+                           "avg_enrollment").select(
+        "business_year", "state_code", "issuer_id", "service_area_id", "county", "avg_enrollment")
 
 
 @register("anti_enrollment", oracle.sql(
@@ -639,7 +691,7 @@ def q_unmatched_enrollment(spark, d):
     "st_service_area", "st_county", "st_enrollment", ctes=(("sa_expanded", _SA_EXPANDED_SQL),)))
 def q_anti_enrollment(spark, d):
     s = Src(spark, d)
-    sa = coverage.expand(s.sa, s.county)
+    sa = coverage.expand(s.sa, s.county, counties_bounded=True)
     return joins.anti(sa, s.enrollment, [("issuer_id", "issuer_hios_id"), ("business_year", "year"),
                                          ("county", "county_fips")])
 
@@ -649,7 +701,7 @@ def q_anti_enrollment(spark, d):
 @register("sa_expanded", oracle.sql(_SA_EXPANDED_SQL, "st_service_area", "st_county"))
 def q_sa_expanded(spark, d):
     s = Src(spark, d)
-    return coverage.expand(s.sa, s.county)
+    return coverage.expand(s.sa, s.county, counties_bounded=True)
 
 
 @register("coverage_audit", oracle.sql(
@@ -673,7 +725,26 @@ LEFT JOIN (SELECT state_code, count(*) AS expanded_rows FROM sa_expanded GROUP B
     "st_service_area", "st_county", ctes=(("sa_expanded", _SA_EXPANDED_SQL),)))
 def q_expansion_report(spark, d):
     s = Src(spark, d)
-    return coverage.expansion_report(s.sa, s.county, coverage.expand(s.sa, s.county))
+    return coverage.expansion_report(s.sa, s.county, coverage.expand(s.sa, s.county, counties_bounded=True))
+
+
+@register("sa_expanded_state", oracle.sql(
+    f"SELECT * FROM ({_SA_EXPANDED_SQL}) x WHERE state_code = '{STATE}'", "st_service_area", "st_county"))
+def q_sa_expanded_state(spark, d):
+    """One state's expansion, in order."""
+    s = Src(spark, d)
+    one = coverage.expand(s.sa.where(F.col("state_code") == STATE), s.county, counties_bounded=True)
+    return one.orderBy("business_year", "issuer_id", "service_area_id", "county")
+
+
+@register("lookup_temp_table", oracle.sql(
+    "SELECT rate_area, count(*) AS places FROM (SELECT DISTINCT fips, state, rate_area FROM st_zip_rating_area) t "
+    "GROUP BY rate_area", "st_zip_rating_area"))
+def q_lookup_temp_table(spark, d):
+    """The lookup stored once, then read by SQL text through its temp view."""
+    look = lookups.distinct_lookup(Src(spark, d).zip_ra, ["fips", "state", "rate_area"])
+    lookups.temp_table(look, "fips_ra_lookup", sink.shared_path(spark, "fips_ra_lookup", d))
+    return spark.sql("SELECT rate_area, count(*) AS places FROM fips_ra_lookup GROUP BY rate_area")
 
 
 @register("distinct_lookup", oracle.sql(
@@ -685,275 +756,327 @@ def q_distinct_lookup(spark, d):
 # ---------------------------------------------------------------- windows & pivots (t0A)
 
 T0A_KEYS = ["state_code", "rating_area_id", "metal_level"]
+# The written form leaves the state out: rating areas of the same name in different states form one group.
+T0A_WRITTEN = ["rating_area_id", "metal_level"]
 # Groups of these keys number at most states x rating areas x metal levels: a bound
 # set by geography, not by data volume, so their per-group tables are broadcast.
 T0A_GROUPS_BOUNDED = True
-_PK = ", ".join(T0A_KEYS)
 _T0A_IND = "SELECT * FROM st_t0a WHERE market_coverage = 'Individual'"
+# One state and year, the slice that the written form was meant for.
+_T0A_SLICE = _T0A_IND + f" AND state_code = '{STATE}' AND business_year = {YEAR}"
+
+
+def _t0a_slice(s: Src) -> DataFrame:
+    return s.t0a_ind.where((F.col("state_code") == STATE) & (F.col("business_year") == YEAR))
+
+
+def _over(keys) -> str:
+    return f"OVER (PARTITION BY {', '.join(keys)} ORDER BY individual_rate ASC NULLS LAST)"
 
 
-def _t0a_window_sql(extra: str) -> str:
+def _t0a_window_sql(keys, *extra: str, rows: str = _T0A_IND) -> str:
+    more = "".join(", " + e for e in extra)
     return oracle.sql(_present(
-        f"SELECT *, min(individual_rate) OVER (PARTITION BY {_PK}) AS min_rate_area_metal{extra} "
-        f"FROM ({_T0A_IND}) t", doubles=("individual_rate", "min_rate_area_metal")), "st_t0a")
+        f"SELECT *, min(individual_rate) OVER (PARTITION BY {', '.join(keys)}) AS min_rate_area_metal{more} "
+        f"FROM ({rows}) t", doubles=("individual_rate", "min_rate_area_metal")), "st_t0a")
 
 
-_IS_MIN = (f", CASE WHEN rank() OVER (PARTITION BY {_PK} ORDER BY individual_rate ASC NULLS LAST)"
-           " = 1 THEN 1 ELSE 0 END AS is_min")
+def _is_min(keys) -> str:
+    return f"CASE WHEN rank() {_over(keys)} = 1 THEN 1 ELSE 0 END AS is_min"
 
 
-def _is_slcsp(fn: str) -> str:
-    return (f", CASE WHEN {fn}() OVER (PARTITION BY {_PK} ORDER BY individual_rate ASC NULLS LAST)"
-            " = 2 AND metal_level = 'Silver' THEN 1 ELSE 0 END AS is_slcsp")
+def _is_slcsp(keys, fn: str) -> str:
+    return f"CASE WHEN {fn}() {_over(keys)} = 2 AND metal_level = 'Silver' THEN 1 ELSE 0 END AS is_slcsp"
 
 
-def _t0a_flags(s: Src, slcsp: str | None) -> DataFrame:
+def _t0a_flags(t: DataFrame, keys, slcsp: str | None) -> DataFrame:
     flags = [("is_min", 1, "rank", None)]
     if slcsp:
         flags.append(("is_slcsp", 2, slcsp, F.col("metal_level") == "Silver"))
-    return portable(rank.rank_flags(s.t0a_ind, T0A_KEYS, "individual_rate",
-                                    "min_rate_area_metal", flags, T0A_GROUPS_BOUNDED))
+    return portable(rank.rank_flags(t, keys, "individual_rate", "min_rate_area_metal", flags, T0A_GROUPS_BOUNDED))
+
+
+def _t0a_winners(t: DataFrame, keys) -> DataFrame:
+    """Rows at RANK() = 1, rank kept in a column named is_min (as written). Rank 1 is
+    "equal to the group minimum", so this is group statistics and a join back: a group
+    where a third of all rows tie at the minimum never lands in one window task."""
+    f = rank.rank_flags(t, keys, "individual_rate", flags=[("__is_min", 1, "rank", None)],
+                        groups_bounded=T0A_GROUPS_BOUNDED)
+    return f.where(F.col("__is_min") == 1).select(
+        "state_code", "rating_area_id", "issuer_id", "plan_id", "metal_level", "individual_rate",
+        "row_key", F.lit(1).cast("bigint").alias("is_min"))
+
+
+def _t0a_winners_sql(keys) -> str:
+    return ("SELECT state_code, rating_area_id, issuer_id, plan_id, metal_level, individual_rate, row_key, "
+            f"is_min FROM (SELECT *, rank() {_over(keys)} AS is_min FROM ({_T0A_IND}) t) w WHERE is_min = 1")
+
+
+PIVOT_MIN_LEVELS = ["Catastrophic", "Bronze", "Silver", "Gold"]
+PIVOT_COUNT_LEVELS = ["Bronze", "Silver", "Gold", "Platinum", "Catastrophic"]
+
+
+def _pivot_min_sql(rows) -> str:
+    cols = ", ".join(f"CAST(min(individual_rate) FILTER (WHERE metal_level = '{m}') AS DOUBLE) AS {m.lower()}"
+                     for m in PIVOT_MIN_LEVELS)
+    r = ", ".join(rows)
+    return oracle.sql(f"SELECT {r}, {cols}, TRY_CAST(split_part(rating_area_id, ' ', 3) AS INTEGER) AS rating_area_number "
+                      f"FROM ({_T0A_IND}) t GROUP BY {r}", "st_t0a")
+
+
+def _pivot_min(s: Src, rows) -> DataFrame:
+    p = pivot.pivot_min(s.t0a_ind, rows, "metal_level", "individual_rate", PIVOT_MIN_LEVELS)
+    return (p.withColumn("rating_area_number", clean.rating_area_number("rating_area_id"))
+            .orderBy(F.col("rating_area_number").asc_nulls_last(), *rows))
+
+
+def _pivot_count_sql(keys, total: bool) -> str:
+    cols = ", ".join(f"count(issuer_id) FILTER (WHERE metal_level = '{m}') AS {m.lower()}"
+                     for m in PIVOT_COUNT_LEVELS)
+    if total:
+        cols += ", count(issuer_id) AS grand_total"
+    return oracle.sql(f"SELECT issuer_id, {cols} FROM ({_t0a_winners_sql(keys)}) w GROUP BY issuer_id", "st_t0a")
+
+
+def _issuer_min_counts(s: Src, keys, total: str | None) -> DataFrame:
+    return pivot.pivot_count(_t0a_winners(s.t0a_ind, keys), ["issuer_id"], "metal_level",
+                             "issuer_id", PIVOT_COUNT_LEVELS, total=total)
 
 
-@register("window_min", _t0a_window_sql(""))
+@register("window_min", _t0a_window_sql(T0A_KEYS))
 def q_window_min(spark, d):
-    s = Src(spark, d)
-    return portable(rank.with_group_min(s.t0a_ind, T0A_KEYS, "individual_rate",
+    return portable(rank.with_group_min(Src(spark, d).t0a_ind, T0A_KEYS, "individual_rate",
                                         "min_rate_area_metal", groups_bounded=T0A_GROUPS_BOUNDED))
 
 
-@register("is_min_flag", _t0a_window_sql(_IS_MIN))
+@register("window_min_as_written", _t0a_window_sql(T0A_WRITTEN))
+def q_window_min_as_written(spark, d):
+    return portable(rank.with_group_min(Src(spark, d).t0a_ind, T0A_WRITTEN, "individual_rate",
+                                        "min_rate_area_metal", groups_bounded=T0A_GROUPS_BOUNDED))
+
+
+@register("is_min_flag", _t0a_window_sql(T0A_KEYS, _is_min(T0A_KEYS)))
 def q_is_min_flag(spark, d):
-    return _t0a_flags(Src(spark, d), None)
+    return _t0a_flags(Src(spark, d).t0a_ind, T0A_KEYS, None)
+
+
+@register("is_min_flag_as_written", _t0a_window_sql(T0A_WRITTEN, _is_min(T0A_WRITTEN)))
+def q_is_min_flag_as_written(spark, d):
+    return _t0a_flags(Src(spark, d).t0a_ind, T0A_WRITTEN, None)
 
 
-@register("is_slcsp_flag", _t0a_window_sql(_IS_MIN + _is_slcsp("rank")))
+@register("is_slcsp_flag", _t0a_window_sql(T0A_KEYS, _is_min(T0A_KEYS), _is_slcsp(T0A_KEYS, "rank")))
 def q_is_slcsp_flag(spark, d):
-    return _t0a_flags(Src(spark, d), "rank")
+    return _t0a_flags(Src(spark, d).t0a_ind, T0A_KEYS, "rank")
 
 
-@register("is_slcsp_dense", _t0a_window_sql(_IS_MIN + _is_slcsp("dense_rank")))
+@register("is_slcsp_dense", _t0a_window_sql(T0A_KEYS, _is_min(T0A_KEYS), _is_slcsp(T0A_KEYS, "dense_rank")))
 def q_is_slcsp_dense(spark, d):
-    return _t0a_flags(Src(spark, d), "dense_rank")
+    return _t0a_flags(Src(spark, d).t0a_ind, T0A_KEYS, "dense_rank")
+
+
+@register("is_slcsp_as_written", _t0a_window_sql(T0A_WRITTEN, _is_min(T0A_WRITTEN), _is_slcsp(T0A_WRITTEN, "rank")))
+def q_is_slcsp_as_written(spark, d):
+    return _t0a_flags(Src(spark, d).t0a_ind, T0A_WRITTEN, "rank")
+
+
+@register("is_slcsp_dense_as_written",
+          _t0a_window_sql(T0A_WRITTEN, _is_min(T0A_WRITTEN), _is_slcsp(T0A_WRITTEN, "dense_rank")))
+def q_is_slcsp_dense_as_written(spark, d):
+    return _t0a_flags(Src(spark, d).t0a_ind, T0A_WRITTEN, "dense_rank")
+
+
+@register("is_slcsp_as_written_slice",
+          _t0a_window_sql(T0A_WRITTEN, _is_min(T0A_WRITTEN), _is_slcsp(T0A_WRITTEN, "rank"), rows=_T0A_SLICE))
+def q_is_slcsp_as_written_slice(spark, d):
+    """The written grouping on one state and year, where it separates what it should."""
+    return _t0a_flags(_t0a_slice(Src(spark, d)), T0A_WRITTEN, "rank")
 
 
-@register("is_slcsp_window", _t0a_window_sql(_IS_MIN + _is_slcsp("rank")))
+@register("is_slcsp_window", _t0a_window_sql(T0A_KEYS, _is_min(T0A_KEYS), _is_slcsp(T0A_KEYS, "rank")))
 def q_is_slcsp_window(spark, d):
-    # the same flags through the window strategy: both strategies must agree
-    s = Src(spark, d)
-    t = rank.with_group_min(s.t0a_ind, T0A_KEYS, "individual_rate", "min_rate_area_metal",
-                            method="window")
-    w = Window.partitionBy(*T0A_KEYS).orderBy(F.col("individual_rate").asc_nulls_last())
-    t = (t.withColumn("is_min", F.when(F.rank().over(w) == 1, 1).otherwise(0))
-         .withColumn("is_slcsp", F.when((F.rank().over(w) == 2)
-                                        & (F.col("metal_level") == "Silver"), 1).otherwise(0)))
-    return portable(t)
-
-
-@register("min_rate_winners", oracle.sql(_present(
-    f"SELECT state_code, rating_area_id, issuer_id, plan_id, metal_level, individual_rate, row_key, "
-    f"is_min FROM (SELECT *, rank() OVER (PARTITION BY {_PK} ORDER BY individual_rate ASC NULLS LAST) "
-    f"AS is_min FROM ({_T0A_IND}) t) w WHERE is_min = 1", doubles=("individual_rate",)), "st_t0a"))
+    # the same flags from full ranks: a window over the distinct rates of each group, not over its rows
+    t = rank.with_group_min(Src(spark, d).t0a_ind, T0A_KEYS, "individual_rate", "min_rate_area_metal",
+                            groups_bounded=T0A_GROUPS_BOUNDED)
+    t = rank.rank_by_counts(t, T0A_KEYS, "individual_rate", rank_out="rank_in_group")
+    t = (t.withColumn("is_min", (F.col("rank_in_group") == 1).cast("int"))
+         .withColumn("is_slcsp", ((F.col("rank_in_group") == 2) & (F.col("metal_level") == "Silver")).cast("int")))
+    return portable(t.drop("rank_in_group"))
+
+
+@register("min_rate_winners", oracle.sql(_present(_t0a_winners_sql(T0A_KEYS), doubles=("individual_rate",)), "st_t0a"))
 def q_min_rate_winners(spark, d):
-    """Rows at RANK() = 1, rank kept in a column named is_min (as written). Rank 1 is
-    "equal to the group minimum", so this is group statistics and a join back: a group
-    where a third of all rows tie at the minimum never lands in one window task."""
-    t = rank.rank_flags(Src(spark, d).t0a_ind, T0A_KEYS, "individual_rate",
-                        flags=[("__is_min", 1, "rank", None)], groups_bounded=T0A_GROUPS_BOUNDED)
-    return portable(t.where(F.col("__is_min") == 1).select(
-        "state_code", "rating_area_id", "issuer_id", "plan_id", "metal_level", "individual_rate",
-        "row_key", F.lit(1).cast("bigint").alias("is_min")))
+    return portable(_t0a_winners(Src(spark, d).t0a_ind, T0A_KEYS))
 
 
-PIVOT_MIN_LEVELS = ["Catastrophic", "Bronze", "Silver", "Gold"]
+@register("min_rate_winners_as_written",
+          oracle.sql(_present(_t0a_winners_sql(T0A_WRITTEN), doubles=("individual_rate",)), "st_t0a"))
+def q_min_rate_winners_as_written(spark, d):
+    return portable(_t0a_winners(Src(spark, d).t0a_ind, T0A_WRITTEN))
 
 
-@register("pivot_min_rate", oracle.sql(
-    "SELECT state_code, rating_area_id, "
-    + ", ".join(f"CAST(min(individual_rate) FILTER (WHERE metal_level = '{m}') AS DOUBLE) AS {m.lower()}"
-                for m in PIVOT_MIN_LEVELS)
-    + ", TRY_CAST(split_part(rating_area_id, ' ', 3) AS INTEGER) AS rating_area_number "
-    f"FROM ({_T0A_IND}) t GROUP BY state_code, rating_area_id", "st_t0a"))
+@register("pivot_min_rate", _pivot_min_sql(["state_code", "rating_area_id"]))
 def q_pivot_min_rate(spark, d):
-    p = pivot.pivot_min(Src(spark, d).t0a_ind, ["state_code", "rating_area_id"], "metal_level",
-                        "individual_rate", PIVOT_MIN_LEVELS)
-    return p.withColumn("rating_area_number", clean.rating_area_number("rating_area_id"))
+    return _pivot_min(Src(spark, d), ["state_code", "rating_area_id"])
 
 
-PIVOT_COUNT_LEVELS = ["Bronze", "Silver", "Gold", "Platinum", "Catastrophic"]
+@register("pivot_min_rate_as_written", _pivot_min_sql(["rating_area_id"]))
+def q_pivot_min_rate_as_written(spark, d):
+    return _pivot_min(Src(spark, d), ["rating_area_id"])
 
 
-def _pivot_count_sql(total: bool) -> str:
-    cols = ", ".join(f"count(issuer_id) FILTER (WHERE metal_level = '{m}') AS {m.lower()}"
-                     for m in PIVOT_COUNT_LEVELS)
-    if total:
-        cols += ", count(issuer_id) AS grand_total"
-    return oracle.sql(
-        f"SELECT issuer_id, {cols} FROM (SELECT issuer_id, metal_level, individual_rate, "
-        f"rank() OVER (PARTITION BY {_PK} ORDER BY individual_rate ASC NULLS LAST) AS is_min "
-        f"FROM ({_T0A_IND}) t) w WHERE is_min = 1 GROUP BY issuer_id", "st_t0a")
+@register("pivot_issuer_min_count", _pivot_count_sql(T0A_KEYS, False))
+def q_pivot_issuer_min_count(spark, d):
+    return _issuer_min_counts(Src(spark, d), T0A_KEYS, None)
 
 
-def _issuer_min_counts(s: Src, total: str | None) -> DataFrame:
-    flagged = rank.flag_rank(s.t0a_ind, T0A_KEYS, "individual_rate", 1, "is_min",
-                             groups_bounded=T0A_GROUPS_BOUNDED)
-    return pivot.pivot_count(flagged.where(F.col("is_min") == 1), ["issuer_id"], "metal_level",
-                             "issuer_id", PIVOT_COUNT_LEVELS, total=total)
+@register("pivot_issuer_min_count_as_written", _pivot_count_sql(T0A_WRITTEN, False))
+def q_pivot_issuer_min_count_as_written(spark, d):
+    return _issuer_min_counts(Src(spark, d), T0A_WRITTEN, None)
 
 
-@register("pivot_issuer_min_count", _pivot_count_sql(False))
-def q_pivot_issuer_min_count(spark, d):
-    return _issuer_min_counts(Src(spark, d), None)
+@register("pivot_grand_total", _pivot_count_sql(T0A_KEYS, True))
+def q_pivot_grand_total(spark, d):
+    return _issuer_min_counts(Src(spark, d), T0A_KEYS, "grand_total")
 
 
-@register("pivot_grand_total", _pivot_count_sql(True))
-def q_pivot_grand_total(spark, d):
-    return _issuer_min_counts(Src(spark, d), "grand_total")
+@register("pivot_grand_total_as_written", _pivot_count_sql(T0A_WRITTEN, True))
+def q_pivot_grand_total_as_written(spark, d):
+    return _issuer_min_counts(Src(spark, d), T0A_WRITTEN, "grand_total")
 
 
-@register("nth_row_benchmark", oracle.sql(_present(
-    f"SELECT {_PK}, plan_id, row_key, individual_rate FROM (SELECT *, row_number() OVER "
-    f"(PARTITION BY {_PK} ORDER BY individual_rate ASC NULLS LAST, plan_id ASC NULLS LAST, "
-    f"row_key ASC NULLS LAST) AS rn FROM ({_T0A_IND}) t) w WHERE rn = 2",
-    doubles=("individual_rate",)), "st_t0a"))
+def _nth_sql(n: int) -> str:
+    k = ", ".join(T0A_KEYS)
+    return oracle.sql(_present(
+        f"SELECT {k}, plan_id, row_key, individual_rate FROM (SELECT *, row_number() OVER "
+        f"(PARTITION BY {k} ORDER BY individual_rate ASC NULLS LAST, plan_id ASC NULLS LAST, "
+        f"row_key ASC NULLS LAST) AS rn FROM ({_T0A_IND}) t) w WHERE rn = {n}",
+        doubles=("individual_rate",)), "st_t0a")
+
+
+def _nth(s: Src, n: int) -> DataFrame:
+    return portable(rank.nth_row(s.t0a_ind, T0A_KEYS, ["individual_rate", "plan_id", "row_key"], n,
+                                 ["plan_id", "row_key", "individual_rate"]))
+
+
+@register("nth_row_benchmark", _nth_sql(2))
 def q_nth_row_benchmark(spark, d):
-    r = rank.nth_row(Src(spark, d).t0a_ind, T0A_KEYS, ["individual_rate", "plan_id", "row_key"], 2,
-                     ["plan_id", "row_key", "individual_rate"])
-    return portable(r)
+    return _nth(Src(spark, d), 2)
 
 
-@register("nth_row_third", oracle.sql(_present(
-    f"SELECT {_PK}, plan_id, row_key, individual_rate FROM (SELECT *, row_number() OVER "
-    f"(PARTITION BY {_PK} ORDER BY individual_rate ASC NULLS LAST, plan_id ASC NULLS LAST, "
-    f"row_key ASC NULLS LAST) AS rn FROM ({_T0A_IND}) t) w WHERE rn = 3",
-    doubles=("individual_rate",)), "st_t0a"))
+@register("nth_row_third", _nth_sql(3))
 def q_nth_row_third(spark, d):
-    r = rank.nth_row(Src(spark, d).t0a_ind, T0A_KEYS, ["individual_rate", "plan_id", "row_key"], 3,
-                     ["plan_id", "row_key", "individual_rate"])
-    return portable(r)
+    return _nth(Src(spark, d), 3)
 
 
 # ---------------------------------------------------------------- landscape pipeline
 
-_TB = "individual_rate ASC NULLS LAST, plan_id ASC NULLS LAST, row_key ASC NULLS LAST, fips ASC NULLS LAST"
+def _ordered_by(alias: str, *more: str) -> str:
+    cols = [f"{alias}.{c}" for c in ("individual_rate", "plan_id", "row_key", "fips")] + list(more)
+    return ", ".join(f"{c} ASC NULLS LAST" for c in cols)
+
+
+_NUMERIC_ENROLLMENT = ("SELECT issuer_hios_id, year, county_fips, max(TRY_CAST(nullif(trim(avg_enrollment), 'NULL') AS DOUBLE)) "
+                       "AS avg_enrollment FROM st_enrollment GROUP BY ALL")
+_RAW_ENROLLMENT = "SELECT issuer_hios_id, year, county_fips, avg_enrollment FROM st_enrollment"
 
 
 def landscape_ctes(year: int | None, state: str = "All",
-                   overall_keys: tuple[str, ...] = ("county", "metal_level")) -> tuple:
-    yf = "" if year is None else (f" AND r.business_year = {year} AND pl.business_year = {year}"
-                                  f" AND sa.business_year = {year}")
-    sf = "" if state == "All" else f" AND pl.state_code = '{state}'"
-    ok = ", ".join(("business_year",) + tuple(overall_keys))
+                   overall_keys: tuple[str, ...] = ("county", "metal_level"),
+                   enrollment: str = _NUMERIC_ENROLLMENT) -> tuple:
+    """The steps as SQL over the stand-ins; names say what a row is."""
+    def only(*conditions: str) -> str:
+        parts = [*conditions, *([] if year is None else [f"business_year = {year}"]), *([] if state == "All" else [f"state_code = '{state}'"])]
+        return " WHERE " + " AND ".join(parts) if parts else ""
+
     return (
-        ("sa_expanded", _SA_EXPANDED_SQL),
-        ("summary", f"""
-  SELECT r.business_year, r.state_code, r.issuer_id, pl.issuer_market_place_marketing_name, r.plan_id,
-         pl.plan_marketing_name, pl.plan_type, {_MAPPED.replace('metal_level', 'pl.metal_level')} AS metal_level,
-         r.age, r.rating_area_id, r.individual_rate,
-         {_DED.replace('tehb_', 'pl.tehb_').replace('mehb_', 'pl.mehb_')} AS deductible,
-         {_OOPM.replace('tehb_', 'pl.tehb_')} AS oopm,
-         lpad(cm.fips, 5, '0') AS fips, cm.county AS county, r.row_key
-  FROM st_rate r
-  JOIN st_plan_attr pl ON r.plan_id = pl.standard_component_id AND r.business_year = pl.business_year
-   AND r.state_code = pl.state_code AND r.issuer_id = pl.issuer_id
-  JOIN sa_expanded sa ON pl.service_area_id = sa.service_area_id AND pl.issuer_id = sa.issuer_id
-   AND pl.business_year = sa.business_year AND pl.state_code = sa.state_code
-  JOIN st_rating_area_county_raw cm ON lpad(cm.fips, 5, '0') = lpad(sa.county, 5, '0')
-   AND cm.rating_area = r.rating_area_id
-  WHERE r.age = '21' AND right(pl.plan_id, 1) = '1' AND pl.market_coverage = 'Individual'{yf}{sf}"""),
-        ("ranking", f"""
-  SELECT *,
-    row_number() OVER (PARTITION BY business_year, county, metal_level, state_code ORDER BY {_TB}) AS metal_rank,
-    row_number() OVER (PARTITION BY business_year, county, metal_level, issuer_market_place_marketing_name,
-                       state_code ORDER BY {_TB}) AS issuer_rank
-  FROM summary"""),
-        ("min_metal", """
-  SELECT business_year, county, state_code, metal_level,
-         issuer_market_place_marketing_name AS min_issuer, individual_rate AS min_rate
-  FROM ranking WHERE metal_rank = 1"""),
-        ("slcsp", """
-  SELECT business_year, county, state_code, individual_rate AS slcsp_rate
-  FROM ranking WHERE metal_rank = 2 AND metal_level = 'Silver'"""),
-        ("diffs", """
-  SELECT r.*, m.min_issuer, r.individual_rate - m.min_rate AS diff_from_min,
-         r.individual_rate - s.slcsp_rate AS diff_from_slcsp
-  FROM ranking r
-  JOIN min_metal m ON r.county = m.county AND r.state_code = m.state_code
-   AND r.metal_level = m.metal_level AND r.business_year = m.business_year
-  LEFT JOIN slcsp s ON r.county = s.county AND r.state_code = s.state_code
-   AND r.business_year = s.business_year"""),
-        ("enr", """
-  SELECT issuer_hios_id, year, county_fips, max(avg_enrollment) AS avg_enrollment
-  FROM st_enrollment GROUP BY 1, 2, 3"""),
-        ("overall_rank", f"""
-  SELECT r.business_year, r.issuer_id, r.fips, r.metal_level,
-         row_number() OVER (PARTITION BY {', '.join('r.' + k for k in ok.split(', '))}
-                            ORDER BY {', '.join('r.' + t for t in _TB.split(', '))}) AS issuer_overall_rank,
-         e.avg_enrollment AS issuer_avg_monthly_enrollment
-  FROM ranking r
-  LEFT JOIN enr e ON r.issuer_id = e.issuer_hios_id AND r.business_year = e.year
-   AND e.county_fips = r.fips
-  WHERE r.issuer_rank = 1"""),
+        ("covered", _SA_EXPANDED_SQL),
+        # a rate of a plan in one county that the plan's service area covers
+        ("offers", f"""
+  SELECT rt.business_year, rt.state_code, rt.issuer_id, about.seller AS issuer_market_place_marketing_name,
+         rt.plan_id, about.plan_marketing_name, about.plan_type, about.metal_level, rt.age, rt.rating_area_id,
+         rt.individual_rate, about.deductible, about.oopm, spot.fips, spot.county, rt.row_key
+  FROM (SELECT business_year, state_code, issuer_id, standard_component_id AS plan_id, service_area_id,
+               issuer_market_place_marketing_name AS seller, plan_marketing_name, plan_type,
+               {_MAPPED} AS metal_level, {_DED} AS deductible, {_OOPM} AS oopm
+        FROM st_plan_attr{only("market_coverage = 'Individual'", "ends_with(plan_id, '1')")}) about
+  JOIN covered USING (business_year, state_code, issuer_id, service_area_id)
+  JOIN (SELECT lpad(fips, 5, '0') AS fips, county, rating_area FROM st_rating_area_county_raw) spot
+    ON spot.fips = lpad(covered.county, 5, '0')
+  JOIN (SELECT * FROM st_rate{only("age = '21'")}) rt
+    ON (rt.business_year, rt.state_code, rt.issuer_id, rt.plan_id, rt.rating_area_id)
+     = (about.business_year, about.state_code, about.issuer_id, about.plan_id, spot.rating_area)"""),
+        ("ordered", f"""
+  SELECT o.*, row_number() OVER (market ORDER BY {_ordered_by('o')}) AS metal_rank,
+         row_number() OVER (shelf ORDER BY {_ordered_by('o')}) AS issuer_rank
+  FROM offers o
+  WINDOW market AS (PARTITION BY o.business_year, o.state_code, o.county, o.metal_level),
+         shelf AS (PARTITION BY o.business_year, o.state_code, o.county, o.metal_level, o.issuer_market_place_marketing_name)"""),
+        ("cheapest", """
+  SELECT business_year, state_code, county, metal_level, issuer_market_place_marketing_name AS min_issuer, individual_rate AS min_rate
+  FROM ordered WHERE metal_rank = 1"""),
+        ("benchmark", """
+  SELECT business_year, state_code, county, individual_rate AS slcsp_rate
+  FROM ordered WHERE metal_level = 'Silver' AND metal_rank = 2"""),
+        ("gaps", """
+  SELECT ordered.*, cheapest.min_issuer, ordered.individual_rate - cheapest.min_rate AS diff_from_min,
+         ordered.individual_rate - benchmark.slcsp_rate AS diff_from_slcsp
+  FROM ordered
+  JOIN cheapest USING (business_year, state_code, county, metal_level)
+  LEFT JOIN benchmark USING (business_year, state_code, county)"""),
+        ("seats", enrollment),
+        ("standing", f"""
+  SELECT best.business_year, best.issuer_id, best.fips, best.metal_level,
+         row_number() OVER (PARTITION BY {', '.join('best.' + k for k in ('business_year', *overall_keys))}
+                            ORDER BY {_ordered_by('best', 'seats.avg_enrollment')}) AS issuer_overall_rank,
+         seats.avg_enrollment AS issuer_avg_monthly_enrollment
+  FROM (SELECT * FROM ordered WHERE issuer_rank = 1) best
+  LEFT JOIN seats ON (seats.issuer_hios_id, seats.year, seats.county_fips) = (best.issuer_id, best.business_year, best.fips)"""),
     )
 
 
+# the 21 columns: ranked offers with their issuer's standing, the place's rating area and the parent
 _FINAL_SELECT = """
-SELECT d.business_year, d.state_code, d.issuer_id, d.issuer_market_place_marketing_name, d.plan_id,
-       d.plan_marketing_name, d.plan_type, d.metal_level, CAST(d.individual_rate AS DOUBLE) AS individual_rate,
-       d.deductible, d.oopm, d.county, d.fips, d.metal_rank, d.issuer_rank, o.issuer_overall_rank,
-       o.issuer_avg_monthly_enrollment AS issuer_avg_enrollment, f.rate_area AS rating_area,
-       pm.company_name, pm.parent_name, d.business_year AS year
-FROM ranking d
-JOIN overall_rank o ON d.issuer_id = o.issuer_id AND d.fips = o.fips AND d.metal_level = o.metal_level
- AND d.business_year = o.business_year
-JOIN st_fips_ra f ON d.fips = f.fips AND d.state_code = f.state
-LEFT JOIN st_parent pm ON d.issuer_id = pm.hios_issuer_id"""
+SELECT business_year, state_code, issuer_id, issuer_market_place_marketing_name, plan_id, plan_marketing_name, plan_type,
+       metal_level, CAST(individual_rate AS DOUBLE) AS individual_rate, deductible, oopm, county, fips, metal_rank, issuer_rank,
+       issuer_overall_rank, issuer_avg_monthly_enrollment AS issuer_avg_enrollment, place.rate_area AS rating_area,
+       owner.company_name, owner.parent_name, business_year AS year
+FROM ordered
+JOIN standing USING (business_year, issuer_id, fips, metal_level)
+JOIN (SELECT fips, state AS state_code, rate_area FROM st_fips_ra) place USING (fips, state_code)
+LEFT JOIN (SELECT hios_issuer_id AS issuer_id, company_name, parent_name FROM st_parent) owner USING (issuer_id)"""
 
 _LS_STANDINS = ("st_rate", "st_plan_attr", "st_service_area", "st_county",
                 "st_rating_area_county_raw", "st_enrollment", "st_fips_ra", "st_parent")
 
 
 def landscape_sql(body: str, year: int | None = YEAR, state: str = "All",
-                  overall_keys=("county", "metal_level")) -> str:
-    return oracle.sql(body, *_LS_STANDINS, ctes=landscape_ctes(year, state, tuple(overall_keys)))
-
-
-_OPEN_RUNS: list[ls.Landscape] = []
-
-
-def _run(spark, d, year=YEAR, state="All", **opts) -> ls.Landscape:
-    """A pipeline run with X2/X3 persisted (read by the hot-group check, X4-X8). The
-    returned DataFrames stay lazy, so the cache is released by ``release_all``."""
-    run = ls.Landscape(Src(spark, d).inputs(), Params(year, state), ls.Options(**opts),
-                       persist=True)
-    _OPEN_RUNS.append(run)
-    return run
+                  overall_keys=("county", "metal_level"), enrollment: str = _NUMERIC_ENROLLMENT) -> str:
+    return oracle.sql(body, *_LS_STANDINS, ctes=landscape_ctes(year, state, tuple(overall_keys), enrollment))
 
 
-def release_all() -> None:
-    """Unpersist every cached intermediate of earlier registered-query calls."""
-    while _OPEN_RUNS:
-        _OPEN_RUNS.pop().close()
+def _run(spark, d, year=YEAR, state="All", materialize=True, **opts) -> ls.Landscape:
+    return ls.Landscape(Src(spark, d, materialize).inputs(), Params(year, state), ls.Options(**opts))
 
 
 @register("landscape_summary", landscape_sql(_present(
-    "SELECT * FROM summary", doubles=("individual_rate",))))
+    "SELECT * FROM offers", doubles=("individual_rate",))))
 def q_landscape_summary(spark, d):
     return portable(_run(spark, d).summary())
 
 
 @register("landscape_ranking", landscape_sql(_present(
-    "SELECT * FROM ranking", doubles=("individual_rate",))))
+    "SELECT * FROM ordered", doubles=("individual_rate",))))
 def q_landscape_ranking(spark, d):
     return portable(_run(spark, d).ranking())
 
 
-# A tiny group threshold sends most groups down the split path: the answer must not move.
-_SPLIT = dict(max_group_rows=20, rows_per_task=200)
+# Narrow bands cut every group into many pieces: the answer must not move.
+_SPLIT = dict(rate_band=50)
 
 
 @register("landscape_ranking_skew_split", landscape_sql(_present(
-    "SELECT * FROM ranking", doubles=("individual_rate",))))
+    "SELECT * FROM ordered", doubles=("individual_rate",))))
 def q_landscape_ranking_skew_split(spark, d):
     return portable(_run(spark, d, **_SPLIT).ranking())
 
@@ -965,47 +1088,67 @@ def q_landscape_all_years_skew_split(spark, d):
 
 @register("landscape_current_year_salted", landscape_sql(_FINAL_SELECT))
 def q_landscape_current_year_salted(spark, d):
-    # a tiny threshold salts most join keys of X2: the answer must not move
-    return portable(_run(spark, d, salt_key_rows=5, salt_buckets=4).final())
+    # every join key of X2 is salted: the answer must not move
+    return portable(_run(spark, d, salt_buckets=4).final())
 
 
 @register("landscape_min_metal", landscape_sql(_present(
-    "SELECT * FROM min_metal", doubles=("min_rate",))))
+    "SELECT * FROM cheapest", doubles=("min_rate",))))
 def q_landscape_min_metal(spark, d):
     return portable(ls.min_metal(_run(spark, d).ranking()))
 
 
 @register("landscape_slcsp", landscape_sql(_present(
-    "SELECT * FROM slcsp", doubles=("slcsp_rate",))))
+    "SELECT * FROM benchmark", doubles=("slcsp_rate",))))
 def q_landscape_slcsp(spark, d):
     return portable(ls.slcsp(_run(spark, d).ranking()))
 
 
 @register("landscape_diffs", landscape_sql(_present(
-    "SELECT * FROM diffs", doubles=("individual_rate", "diff_from_min", "diff_from_slcsp"))))
+    "SELECT * FROM gaps", doubles=("individual_rate", "diff_from_min", "diff_from_slcsp"))))
 def q_landscape_diffs(spark, d):
     return portable(_run(spark, d).diffs())
 
 
-@register("landscape_overall_rank", landscape_sql("SELECT * FROM overall_rank"))
+@register("landscape_overall_rank", landscape_sql("SELECT * FROM standing"))
 def q_landscape_overall_rank(spark, d):
     return _run(spark, d).overall_rank()
 
 
-@register("landscape_overall_rank_as_written", oracle.sql(
-    "SELECT * FROM overall_rank", *_LS_STANDINS,
-    ctes=tuple((n, "SELECT issuer_hios_id, year, county_fips, avg_enrollment FROM st_enrollment")
-               if n == "enr" else (n, t) for n, t in landscape_ctes(YEAR))))
+@register("landscape_overall_rank_as_written",
+          landscape_sql("SELECT * FROM standing", enrollment=_RAW_ENROLLMENT))
 def q_landscape_overall_rank_as_written(spark, d):
-    """X7 ranking after the raw enrollment join (no per-key deduplication first)."""
-    return _run(spark, d, dedup_enrollment=False).overall_rank()
+    """X7 after the raw enrollment join: text values, and a duplicate row repeats a winner."""
+    return _run(spark, d, enrollment="as_written").overall_rank()
+
+
+@register("landscape_current_year_as_written", landscape_sql(_FINAL_SELECT, enrollment=_RAW_ENROLLMENT))
+def q_landscape_current_year_as_written(spark, d):
+    """X8 with the raw enrollment text, sentinel included."""
+    return portable(_run(spark, d, enrollment="as_written").final())
+
+
+def _register_all_years() -> None:
+    """X2-X7 over all years and states in one pass."""
+    steps = {"summary": ("offers", ("individual_rate",), lambda r: r.summary()),
+             "ranking": ("ordered", ("individual_rate",), lambda r: r.ranking()),
+             "min_metal": ("cheapest", ("min_rate",), lambda r: ls.min_metal(r.ranking())),
+             "slcsp": ("benchmark", ("slcsp_rate",), lambda r: ls.slcsp(r.ranking())),
+             "diffs": ("gaps", ("individual_rate", "diff_from_min", "diff_from_slcsp"), lambda r: r.diffs()),
+             "overall_rank": ("standing", (), lambda r: r.overall_rank())}
+    for name, (cte, doubles, step) in steps.items():
+        register(f"landscape_{name}_all_years", landscape_sql(_present(f"SELECT * FROM {cte}", doubles=doubles), year=None))(
+            lambda spark, d, step=step: portable(step(_run(spark, d, year=None))))
+
+
+_register_all_years()
 
 
 _BY_STATE = ("state_code", "county", "metal_level")
 
 
 @register("landscape_overall_rank_by_state",
-          landscape_sql("SELECT * FROM overall_rank", overall_keys=_BY_STATE))
+          landscape_sql("SELECT * FROM standing", overall_keys=_BY_STATE))
 def q_landscape_overall_rank_by_state(spark, d):
     return _run(spark, d, overall_keys=_BY_STATE).overall_rank()
 
@@ -1043,11 +1186,11 @@ def q_parent_filter(spark, d):
 
 
 @register("pipeline_step_counts", landscape_sql("""
-SELECT 'sa_expanded' AS step, state_code, count(*) AS row_count FROM sa_expanded
+SELECT 'sa_expanded' AS step, state_code, count(*) AS row_count FROM covered
  WHERE business_year = {y} GROUP BY state_code
-UNION ALL SELECT 'summary', state_code, count(*) FROM summary GROUP BY state_code
-UNION ALL SELECT 'min_metal', state_code, count(*) FROM min_metal GROUP BY state_code
-UNION ALL SELECT 'slcsp', state_code, count(*) FROM slcsp GROUP BY state_code
+UNION ALL SELECT 'summary', state_code, count(*) FROM offers GROUP BY state_code
+UNION ALL SELECT 'min_metal', state_code, count(*) FROM cheapest GROUP BY state_code
+UNION ALL SELECT 'slcsp', state_code, count(*) FROM benchmark GROUP BY state_code
 UNION ALL SELECT 'final', state_code, count(*) FROM ({f}) x GROUP BY state_code""".format(
     y=YEAR, f=_FINAL_SELECT)))
 def q_pipeline_step_counts(spark, d):
@@ -1062,7 +1205,7 @@ def q_pipeline_step_counts(spark, d):
 def q_sink_roundtrip(spark, d):
     """All years written partitioned by (business_year, state_code) to the shared
     folder, then read back whole."""
-    path = sink.shared_path(spark, f"landscape_{abs(hash(d)) % 10**8}")
+    path = sink.shared_path(spark, "landscape", d)
     sink.write_partitioned(portable(_run(spark, d, year=None).final()), path)
     back = sink.read_partitioned(spark, path)
     return back.select(*ls.FINAL_COLUMNS)
@@ -1072,8 +1215,10 @@ def q_sink_roundtrip(spark, d):
     f"SELECT * FROM ({_FINAL_SELECT}) x WHERE state_code = '{STATE}'"))
 def q_sink_pruned_read(spark, d):
     """One year and state read back from the partitioned sink: partition pruning."""
-    path = sink.shared_path(spark, f"landscape_{abs(hash(d)) % 10**8}_p")
+    path = sink.shared_path(spark, "landscape_pruned", d)
     sink.write_partitioned(portable(_run(spark, d, year=None).final()), path)
+    # one year's folders again: the others stay
+    sink.write_partitioned(portable(_run(spark, d).final()), path, mode="partitions")
     return sink.read_partitioned(spark, path, YEAR, STATE).select(*ls.FINAL_COLUMNS)
 
 

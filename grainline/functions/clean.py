@@ -26,10 +26,6 @@ def flag_is_no(c: Column | str) -> Column:
     return F.left(_col(c), F.lit(1)) == F.lit("N")
 
 
-def flag_is_yes(c: Column | str) -> Column:
-    return F.left(_col(c), F.lit(1)) == F.lit("Y")
-
-
 def is_base_variant(c: Column | str) -> Column:
     """Plan variant id ends in ``1`` (the standard, non cost-sharing variant)."""
     return F.right(_col(c), F.lit(1)) == F.lit("1")
@@ -73,9 +69,11 @@ def deductible_text(*cols: Column | str) -> Column:
 
 
 def parse_money(c: Column | str, to: str = "decimal(12,2)") -> Column:
-    """Money text -> number: keep digits and the decimal point; words give NULL."""
-    digits = F.regexp_replace(_col(c), r"[^0-9.]", "")
-    return F.nullif(digits, F.lit("")).try_cast(to)
+    """Money text -> its first amount: ``$1,500 per person | $3,000 per group`` -> 1500.00, ``-$5`` -> -5.00.
+    Percentages are no amounts (``10% / $50`` -> 50.00); text without an amount gives NULL."""
+    no_percent = F.regexp_replace(_col(c), r"[0-9][0-9.,]* ?%", "")
+    first = F.regexp_extract(no_percent, r"-?\$? ?[0-9][0-9,]*(\.[0-9]+)?", 0)
+    return F.nullif(F.regexp_replace(first, r"[$, ]", ""), F.lit("")).try_cast(to)
 
 
 def format_count(c: Column | str) -> Column:

@@ -27,12 +27,13 @@ def expand(sa: DataFrame, counties: DataFrame, *,
            county_col: str = "county", dental_col: str = "dental_only_plan",
            lookup_state: str = "usps", lookup_county: str = "geoid",
            whole: Sequence[str] = WHOLE_STATE, part: Sequence[str] = PART_STATE,
-           out: str = "county", counties_bounded: bool = True) -> DataFrame:
+           out: str = "county", counties_bounded: bool = False) -> DataFrame:
     """(keys..., out) with one row per covered county, medical plans only.
 
     County-level rows keep the last five characters of ``county_col`` (its FIPS).
     Coverage values in neither ``whole`` nor ``part`` are dropped, as in the source
-    analysis; ``coverage_audit`` reports them.
+    analysis; ``coverage_audit`` reports them. ``counties_bounded``: the caller knows that the
+    lookup's size is set by geography, so it is broadcast from the start.
     """
     medical = flag_is_no(dental_col)
     part_rows = (sa.where(F.col(cover_col).isin(*part) & medical)

@@ -162,40 +162,17 @@ def anti(left: DataFrame, right: DataFrame, on: OnSpec) -> DataFrame:
 
 
 def skew_join(big: DataFrame, small: DataFrame, on: OnSpec, how: str = "inner",
-              max_key_rows: int = 2_000_000, buckets: int = 32) -> DataFrame:
-    """Equi-join that spreads hot keys of ``big`` over ``buckets`` tasks.
-
-    Keys of ``big`` with more than ``max_key_rows`` rows (found by a partial-aggregated
-    count; at most rows / max_key_rows of them, kept by a reliable checkpoint) get a
-    salt from a hash of the row, deterministic under retries, and ``small``'s rows of
-    those keys are repeated once per salt value. Other keys join as usual. ``how`` is
-    ``inner`` or ``left`` (``big`` is the left side). AQE's skew-join splitting does the
-    same at run time when its size thresholds trip; this makes it explicit and
-    independent of them.
+              buckets: int = 32) -> DataFrame:
+    """Equi-join that spreads every key of ``big`` over ``buckets`` tasks.
+
+    Each row of ``big`` gets a salt from a hash of the row, deterministic under retries, and ``small`` is
+    repeated once per salt. One lazy plan at every size: use it where keys of ``big`` may be hot and
+    ``small`` times ``buckets`` is affordable; otherwise leave hot keys to AQE's run-time splitting. ``how``
+    is ``inner`` or ``left`` (``big`` is the left side); rows with NULL keys are spread like all others.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports inner and left joins with the big side on the left")
     pairs = _pairs(on)
-    bk, sk = [a for a, _ in pairs], [b for _, b in pairs]
-    counts = big.groupBy(*bk).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.where(F.col("__n") > F.lit(max_key_rows)).select(
-        *[F.col(a).alias(f"__h{i}") for i, a in enumerate(bk)])
-    if hot.limit(1).count() == 0:
-        return join(big, small, on, how)
-    hot = hot.withColumn("__hot", F.lit(True)).checkpoint()
-
-    def tag(df: DataFrame, cols: list[str]) -> DataFrame:
-        cond = None
-        for i, c in enumerate(cols):
-            e = df[c] == hot[f"__h{i}"]
-            cond = e if cond is None else cond & e
-        return df.join(F.broadcast(hot), cond, "left").drop(*[f"__h{i}" for i in range(len(cols))])
-
-    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-    b = tag(big, bk).withColumn(
-        "__salt", F.when(F.col("__hot"), F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0))
-    ).drop("__hot")
-    s = tag(small, sk).withColumn(
-        "__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                            .otherwise(F.array(F.lit(0))))).drop("__hot")
+    b = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(buckets)).cast("int"))
+    s = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return join(b, s, [*pairs, ("__salt", "__salt")], how).drop("__salt")

@@ -7,11 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def distinct_lookup(df: DataFrame, cols: Sequence[str], view: str | None = None) -> DataFrame:
-    """Distinct rows of ``cols``; optionally registered as a session temp view so SQL
-    text can read it. Spark recomputes it lazily; callers reading it many times
-    persist it themselves."""
-    out = df.select(*cols).distinct()
-    if view:
-        out.createOrReplaceTempView(view)
-    return out
+def distinct_lookup(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct rows of ``cols``, lazily."""
+    return df.select(*cols).distinct()
+
+
+def temp_table(df: DataFrame, name: str, path: str) -> DataFrame:
+    """Compute ``df`` once, store it at ``path`` (shared storage) and register it as the session temp view
+    ``name``, so that later SQL text reads the stored rows and not the query behind them."""
+    df.write.mode("overwrite").parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.createOrReplaceTempView(name)
+    return stored

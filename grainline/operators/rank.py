@@ -1,15 +1,15 @@
-"""Group minimum, rank flags and n-th rows.
+"""Group minimum, rank flags, row numbers and n-th rows.
 
-Two strategies, chosen per call:
+Two ways, by what is asked for, never by the size of the data:
 
-* ``aggregate`` (default for minimum, rank 1/2 flags and the first two rows): per-group
+* aggregates (minimum, rank 1/2 flags and the first row): per-group
   statistics from ``groupBy`` aggregations, joined back on the group key. Aggregations
   combine on the map side, so a group holding a third of all rows is one
   pre-aggregated row per task, not one giant task; the join back is broadcast by AQE
   when the per-group table is small and otherwise a shuffle join with skew splitting.
-* ``window``: ``Window.partitionBy(keys)``; one exchange, but every row of a group
-  lands in one task. Needed for a row number on every row; filters ``rank <= k``
-  placed directly on the window are trimmed per map task (WindowGroupLimit).
+* windows: over pre-aggregated counts (``rank_by_counts``), inside bands of a group
+  (``banded_row_number``), or trimmed to n rows per map task (``nth_row``, WindowGroupLimit), so that
+  no window task holds a whole group of rows.
 
 Ordering is always ascending with NULLs last (a NULL rate never wins), matching the
 PostgreSQL default the analyses were written for.
@@ -17,7 +17,7 @@ PostgreSQL default the analyses were written for.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,11 +119,21 @@ def rank_flags(df: DataFrame, keys: Sequence[str], val: str, min_out: str | None
     return j.drop("__m1", "__c1", "__m2")
 
 
-def rank_column(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str,
-                method: str = "rank") -> DataFrame:
-    """Rank kept as a column (window)."""
-    fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[method]
-    return df.withColumn(out, fn().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+def rank_by_counts(df: DataFrame, keys: Sequence[str], val: str, rank_out: str | None = None,
+                   dense_out: str | None = None, groups_bounded: bool = False) -> DataFrame:
+    """``RANK()`` and ``DENSE_RANK()`` over (keys ORDER BY val, NULLs last) on every row, from counts per
+    distinct value: the window runs over one row a (group, value), never over a group's rows, so a value
+    or group with a third of all rows is one pre-aggregated row per task."""
+    sizes = df.groupBy(*keys, val).agg(F.count(F.lit(1)).alias("__n"))
+    order = Window.partitionBy(*keys).orderBy(F.col(val).asc_nulls_last())
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*keys, val, (F.coalesce(F.sum("__n").over(before), F.lit(0)) + 1).alias("__rank"),
+                         F.row_number().over(order).cast("bigint").alias("__dense"))
+    out = _null_safe_join(df, sizes, [*keys, val], groups_bounded)
+    for name, have in ((rank_out, "__rank"), (dense_out, "__dense")):
+        if name:
+            out = out.withColumn(name, F.col(have))
+    return out.drop("__rank", "__dense")
 
 
 def order_struct(order: Sequence[str], payload: Sequence[str]) -> Column:
@@ -140,79 +150,38 @@ def nth_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int,
     """The n-th row of each group under ``order`` (ascending, NULLs last; make the order
     unique for a deterministic answer), as ``keys + payload`` columns.
 
-    n = 1 and n = 2 are ``min(struct)`` aggregations (map-side combined: a hot group
-    costs nothing extra); larger n uses a row_number window with the limit adjacent,
-    which Spark trims per map task.
+    n = 1 is a ``min(struct)`` aggregation (map-side combined: a hot group costs nothing extra); larger n
+    uses a row_number window with the limit adjacent, which Spark trims to n rows per group and map task.
     """
-    if n in (1, 2):
-        s = order_struct(order, payload)
-        first = df.groupBy(*keys).agg(F.min(s).alias("__s"))
-        if n == 2:
-            tagged = _null_safe_join(df.select(*keys, s.alias("__row")), first, keys)
-            first = (tagged.where(F.col("__row") != F.col("__s"))
-                     .groupBy(*keys).agg(F.min("__row").alias("__s")))
+    if n == 1:
+        first = df.groupBy(*keys).agg(F.min(order_struct(order, payload)).alias("__s"))
         return first.select(*keys, *[F.col(f"__s.{c}").alias(c) for c in payload])
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     return (df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == n)
             .select(*keys, *payload))
 
 
-def hot_group_count(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> tuple[int, int]:
-    """(number of groups above ``max_group_rows``, rows in them): one aggregation."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    r = (sizes.where(F.col("__n") > F.lit(max_group_rows))
-         .agg(F.count(F.lit(1)).alias("groups"), F.sum("__n").alias("rows")).collect()[0])
-    return int(r["groups"] or 0), int(r["rows"] or 0)
-
-
-def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
-               max_group_rows: int | None = None, rows_per_task: int = 1_000_000,
-               coarser_keys_small: bool = False) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` (ascending, NULLs last;
-    the order must be unique for a deterministic answer), safe for hot groups.
+def banded_row_number(df: DataFrame, outs: Mapping[str, Sequence[str]], order: Sequence[str],
+                      band: Column) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` for each ``out -> keys`` of ``outs``
+    (ascending, NULLs last; make the order unique), without giving a whole group to one task.
 
-    With ``max_group_rows`` set, groups larger than that are not given to one window
-    task. Their rows are range-partitioned on (keys, order), which spreads one group
-    over as many sorted partitions as it needs, numbered by position inside each
-    sorted partition (``monotonically_increasing_id``, frozen by a reliable
-    checkpoint), and shifted by the row counts of the group's earlier partitions.
-    Other groups take the plain window. The caller should persist ``df`` when it is
-    expensive: it is read by the size check and by the ranking.
+    ``band`` must not decrease along the order (e.g. a rate rounded down; NULL where the first order
+    column is NULL). Groups are cut into bands: rows are numbered inside (keys, band) and shifted by the
+    row counts of the group's lower bands, a running sum over one pre-aggregated row per band. One lazy
+    plan at every size. The first ``outs`` entry's keys should be a subset of the others', so that all
+    windows share one exchange.
     """
     order_cols = [F.col(c).asc_nulls_last() for c in order]
-    w = Window.partitionBy(*keys).orderBy(*order_cols)
-    plain = df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    if max_group_rows is None or coarser_keys_small:
-        # ``coarser_keys_small``: the caller knows no group of a subset of ``keys`` is
-        # hot, so none of these finer groups can be
-        return plain
-    # One pass over df: the hot groups with their sizes, kept by a reliable checkpoint
-    # (at most rows / max_group_rows of them); both answers below read that small table.
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.where(F.col("__n") > F.lit(max_group_rows)).checkpoint()
-    summary = hot.agg(F.count(F.lit(1)).alias("g"), F.sum("__n").alias("r")).collect()[0]
-    n_hot, hot_rows_total = int(summary["g"] or 0), int(summary["r"] or 0)
-    if not n_hot:
-        return plain
-    hot_keys = hot.select(*keys, F.lit(True).alias("__hot"))
-    tagged = _null_safe_join(df, hot_keys, keys)
-    cold = tagged.where(F.col("__hot").isNull()).drop("__hot")
-    hot_rows = tagged.where(F.col("__hot")).drop("__hot")
-
-    n_parts = max(1, -(-hot_rows_total // rows_per_task))
-    rng = [F.col(k).asc_nulls_last() for k in keys] + order_cols
-    numbered = (hot_rows.repartitionByRange(n_parts, *rng).sortWithinPartitions(*rng)
-                .withColumn("__mid", F.monotonically_increasing_id())
-                .checkpoint())
-    pid = F.shiftright(F.col("__mid"), 33)          # the id's high bits are the partition
-    stats = numbered.groupBy(pid.alias("__pid"), *keys).agg(
-        F.min("__mid").alias("__first"), F.count(F.lit(1)).alias("__c"))
-    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0)))
-    ranked_hot = _null_safe_join(numbered.withColumn("__pid", pid), stats, ["__pid", *keys])
-    ranked_hot = (ranked_hot
-                  .withColumn(out, (F.col("__mid") - F.col("__first") + 1 + F.col("__off"))
-                              .cast("bigint"))
-                  .drop("__mid", "__pid", "__first", "__c", "__off"))
-    ranked_cold = cold.withColumn(out, F.row_number().over(w).cast("bigint"))
-    return ranked_cold.unionByName(ranked_hot)
+    out = df.withColumn("__band", band)
+    shifts = []
+    for i, (name, keys) in enumerate(outs.items()):
+        sizes = out.groupBy(*keys, "__band").agg(F.count(F.lit(1)).alias("__n"))
+        lower = (Window.partitionBy(*keys).orderBy(F.col("__band").asc_nulls_last())
+                 .rowsBetween(Window.unboundedPreceding, -1))
+        shifts.append((list(keys), sizes.select(*keys, "__band", F.coalesce(F.sum("__n").over(lower), F.lit(0)).alias(f"__s{i}"))))
+    for name, keys in outs.items():
+        out = out.withColumn(name, F.row_number().over(Window.partitionBy(*keys, "__band").orderBy(*order_cols)).cast("bigint"))
+    for i, ((keys, shift), name) in enumerate(zip(shifts, outs)):
+        out = _null_safe_join(out, shift, [*keys, "__band"]).withColumn(name, F.col(name) + F.col(f"__s{i}")).drop(f"__s{i}")
+    return out.drop("__band")

@@ -23,8 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean
@@ -49,7 +48,7 @@ FINAL_COLUMNS = [
 
 @dataclass
 class Inputs:
-    """The source tables, already typed (years int, FIPS padded)."""
+    """The source tables: years are int and FIPS padded; enrollment is still text (Options.enrollment)."""
     rate: DataFrame
     plan: DataFrame
     service_area: DataFrame
@@ -66,22 +65,21 @@ class Options:
     # X7 ranks within (county, metal) as written; ("state_code", "county",
     # "metal_level") keeps same-named counties of different states apart.
     overall_keys: Sequence[str] = ("county", "metal_level")
-    dedup_enrollment: bool = True
+    # Enrollment per issuer, year and county: "largest" parses the numbers (sentinel and malformed text
+    # are NULL) and keeps the largest of duplicate rows; "as_written" joins the raw text rows, so that a
+    # duplicate repeats an issuer's winner and shifts X7's ranks.
+    enrollment: str = "largest"
     only_missing_enrollment: bool = False
     parent_name: str | None = None
     carry: Sequence[str] = field(default_factory=lambda: ["row_key"])
-    # Window groups above this many rows are split over several tasks
-    # (operators.rank.row_number); None ranks every group in one window task.
-    max_group_rows: int | None = 2_000_000
-    rows_per_task: int = 1_000_000
-    # Salt X2's two keyed joins for rate keys above this many rows (operators.joins.
-    # skew_join); None leaves hot keys to AQE's run-time skew-join splitting.
-    salt_key_rows: int | None = None
-    salt_buckets: int = 32
+    # Width of the rate bands that a ranked group is cut into (operators.rank.banded_row_number).
+    rate_band: int = 500
+    # Spread X2's rate join over so many salts (operators.joins.skew_join); None leaves hot keys to AQE.
+    salt_buckets: int | None = None
 
 
-def _order(opts: Options) -> list:
-    return [F.col(RATE).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in opts.tie_break]
+def _band(opts: Options) -> Column:
+    return F.floor(F.col(RATE) / F.lit(opts.rate_band))
 
 
 def fips_ra(inp: Inputs) -> DataFrame:
@@ -89,7 +87,8 @@ def fips_ra(inp: Inputs) -> DataFrame:
 
 
 def sa_expanded(inp: Inputs, params: Params) -> DataFrame:
-    return coverage.expand(params.apply(inp.service_area), inp.counties)
+    # the county lookup's size is set by geography
+    return coverage.expand(params.apply(inp.service_area), inp.counties, counties_bounded=True)
 
 
 def summary(inp: Inputs, params: Params, opts: Options | None = None) -> DataFrame:
@@ -122,11 +121,10 @@ def summary(inp: Inputs, params: Params, opts: Options | None = None) -> DataFra
     on_area = [("service_area_id", "s_area"), ("p_issuer", "s_issuer"), ("p_year", "s_year"),
                ("p_state", "s_state")]
     plan_counties = joins.join(pl, sa, on_area)
-    if opts.salt_key_rows is None:
+    if opts.salt_buckets is None:
         j = joins.join(r, plan_counties, on_plan)
     else:
-        j = joins.skew_join(r, plan_counties, on_plan, "inner", opts.salt_key_rows,
-                            opts.salt_buckets)
+        j = joins.skew_join(r, plan_counties, on_plan, "inner", opts.salt_buckets)
     j = j.join(cm, (cm.c_fips == F.col("s_fips")) & (cm.c_area == F.col("rating_area_id")))
     return j.select(
         "business_year", "state_code", "issuer_id", ISSUER_NAME, "plan_id",
@@ -139,26 +137,13 @@ def summary(inp: Inputs, params: Params, opts: Options | None = None) -> DataFra
 RANK_KEYS = ["business_year", "state_code", "county", "metal_level"]
 
 
-def common_group_keys(opts: Options) -> list[str]:
-    """Keys shared by X3's and X7's windows: every group of either lies inside one
-    group of these, so one size check on X2 clears both rankings."""
-    return [k for k in RANK_KEYS if k == "business_year" or k in opts.overall_keys]
-
-
-def ranking(summ: DataFrame, opts: Options | None = None, known_small: bool = False) -> DataFrame:
-    """metal_rank and issuer_rank. Without hot groups both row numbers share one
-    exchange: the metal window is declared first and its hash partitioning on
-    (year, state, county, metal) also clusters the issuer window, whose keys are a
-    superset. Hot groups are split (see ``operators.rank.row_number``)."""
+def ranking(summ: DataFrame, opts: Options | None = None) -> DataFrame:
+    """metal_rank and issuer_rank. Groups are cut into rate bands, so that no window task holds a whole
+    group; both row numbers share one exchange, as the issuer window's keys are a superset."""
     opts = opts or Options()
-    base = RANK_KEYS
-    order = [RATE, *opts.tie_break]
-    hot = (not known_small and opts.max_group_rows is not None
-           and rank_op.hot_group_count(summ, base, opts.max_group_rows)[0] > 0)
-    out = rank_op.row_number(summ, base, order, "metal_rank", opts.max_group_rows,
-                             opts.rows_per_task, coarser_keys_small=not hot)
-    return rank_op.row_number(out, [*base, ISSUER_NAME], order, "issuer_rank",
-                              opts.max_group_rows, opts.rows_per_task, coarser_keys_small=not hot)
+    return rank_op.banded_row_number(
+        summ, {"metal_rank": RANK_KEYS, "issuer_rank": [*RANK_KEYS, ISSUER_NAME]},
+        [RATE, *opts.tie_break], _band(opts))
 
 
 def min_metal(rank: DataFrame) -> DataFrame:
@@ -173,8 +158,10 @@ def slcsp(rank: DataFrame) -> DataFrame:
 
 
 def diffs(rank: DataFrame) -> DataFrame:
-    m = min_metal(rank)
-    s = slcsp(rank)
+    # X4 and X5 hold one row per county, metal level and year: bounded by geography, so the ranked rows
+    # are not shuffled on those few keys
+    m = F.broadcast(min_metal(rank))
+    s = F.broadcast(slcsp(rank))
     return (rank.join(m, ["business_year", "county", "state_code", "metal_level"])
             .join(s, ["business_year", "county", "state_code"], "left")
             .withColumn("diff_from_min", F.col(RATE) - F.col("min_rate"))
@@ -182,35 +169,36 @@ def diffs(rank: DataFrame) -> DataFrame:
             .drop("min_rate", "slcsp_rate"))
 
 
-def enrollment_by_key(enr: DataFrame, dedup: bool = True) -> DataFrame:
+def enrollment_by_key(enr: DataFrame, how: str = "largest") -> DataFrame:
+    """``largest``: one numeric row per issuer, year and county (see Options.enrollment)."""
     e = enr.select("issuer_hios_id", "year", "county_fips", "avg_enrollment")
-    if dedup:
-        # one row per issuer, year and county: a duplicate would inflate X7's ranks
-        e = e.groupBy("issuer_hios_id", "year", "county_fips").agg(
-            F.max("avg_enrollment").alias("avg_enrollment"))
-    return e
+    if how == "as_written":
+        return e
+    if how != "largest":
+        raise ValueError("enrollment is 'largest' or 'as_written'")
+    return e.groupBy("issuer_hios_id", "year", "county_fips").agg(
+        F.max(clean.parse_number("avg_enrollment")).alias("avg_enrollment"))
 
 
-def overall_rank(rank: DataFrame, inp: Inputs, opts: Options | None = None,
-                 known_small: bool = False) -> DataFrame:
+def overall_rank(rank: DataFrame, inp: Inputs, opts: Options | None = None) -> DataFrame:
     opts = opts or Options()
     winners = rank.where(F.col("issuer_rank") == 1)
-    enr = enrollment_by_key(inp.enrollment, opts.dedup_enrollment)
+    enr = enrollment_by_key(inp.enrollment, opts.enrollment)
     j = winners.join(enr, (winners.issuer_id == enr.issuer_hios_id)
                      & (winners.business_year == enr.year)
                      & (enr.county_fips == winners.fips), "left")
-    ranked = rank_op.row_number(j, ["business_year", *opts.overall_keys], [RATE, *opts.tie_break],
-                                "issuer_overall_rank", opts.max_group_rows, opts.rows_per_task,
-                                coarser_keys_small=known_small)
+    # the enrollment orders the copies that duplicate enrollment rows make of a winner
+    ranked = rank_op.banded_row_number(
+        j, {"issuer_overall_rank": ["business_year", *opts.overall_keys]},
+        [RATE, *opts.tie_break, "avg_enrollment"], _band(opts))
     return ranked.select("business_year", "issuer_id", "fips", "metal_level",
                          "issuer_overall_rank",
                          F.col("avg_enrollment").alias("issuer_avg_monthly_enrollment"))
 
 
-def final(rank: DataFrame, inp: Inputs, opts: Options | None = None,
-          known_small: bool = False) -> DataFrame:
+def final(rank: DataFrame, inp: Inputs, opts: Options | None = None) -> DataFrame:
     opts = opts or Options()
-    o = overall_rank(rank, inp, opts, known_small)
+    o = overall_rank(rank, inp, opts)
     # Counties x rating areas: bounded by geography.
     f = F.broadcast(fips_ra(inp).select(F.col("fips").alias("f_fips"),
                                         F.col("state").alias("f_state"), "rate_area"))
@@ -232,62 +220,28 @@ def final(rank: DataFrame, inp: Inputs, opts: Options | None = None,
 
 
 class Landscape:
-    """Runs the chain with X3 persisted (read by X4-X8) and released on exit::
+    """The chain's steps for one set of inputs and parameters, all lazy::
+
+        Landscape(inputs, Params(2024, "TX")).final().write.parquet(...)
 
-        with Landscape(inputs, Params(2024, "TX")) as run:
-            run.final().write.parquet(...)
+    Nothing is cached: shared parts (X2's join, X3's exchange) appear once in a plan, as Spark reuses
+    equal exchanges.
     """
 
-    def __init__(self, inp: Inputs, params: Params, opts: Options | None = None,
-                 persist: bool = True):
-        self.inp, self.params, self.opts, self.persist = inp, params, opts or Options(), persist
-        self._rank: DataFrame | None = None
-        self._summary: DataFrame | None = None
-        self._small = False
+    def __init__(self, inp: Inputs, params: Params, opts: Options | None = None):
+        self.inp, self.params, self.opts = inp, params, opts or Options()
 
     def summary(self) -> DataFrame:
         return summary(self.inp, self.params, self.opts)
 
     def ranking(self) -> DataFrame:
-        if self._rank is None:
-            summ = self.summary()
-            if self.persist and self.opts.max_group_rows is not None:
-                # read twice: by the group-size check and by the ranking
-                self._summary = summ = summ.persist(StorageLevel.MEMORY_AND_DISK)
-            self._small = (self.opts.max_group_rows is not None and rank_op.hot_group_count(
-                summ, common_group_keys(self.opts), self.opts.max_group_rows)[0] == 0)
-            self._rank = ranking(summ, self.opts, known_small=self._small)
-            if self.persist:
-                # Lost cached blocks are recomputed from lineage, so executor loss
-                # costs time, not correctness.
-                self._rank = self._rank.persist(StorageLevel.MEMORY_AND_DISK)
-        return self._rank
+        return ranking(self.summary(), self.opts)
 
     def diffs(self) -> DataFrame:
         return diffs(self.ranking())
 
     def overall_rank(self) -> DataFrame:
-        rk = self.ranking()
-        return overall_rank(rk, self.inp, self.opts, self._small)
+        return overall_rank(self.ranking(), self.inp, self.opts)
 
     def final(self) -> DataFrame:
-        rk = self.ranking()
-        return final(rk, self.inp, self.opts, self._small)
-
-    def close(self) -> None:
-        for df in (self._rank, self._summary):
-            if df is not None and self.persist:
-                df.unpersist()
-        self._rank = self._summary = None
-
-    def __enter__(self) -> Landscape:
-        return self
-
-    def __exit__(self, *exc) -> None:
-        self.close()
-
-
-def landscape(inp: Inputs, params: Params, opts: Options | None = None) -> DataFrame:
-    """X8 as one lazy plan (no caching); use ``Landscape`` to persist X3."""
-    opts = opts or Options()
-    return final(ranking(summary(inp, params, opts), opts), inp, opts)
+        return final(self.ranking(), self.inp, self.opts)

@@ -27,9 +27,3 @@ class Params:
         if state_col is not None and self.state != ALL:
             df = df.where(F.col(state_col) == F.lit(self.state))
         return df
-
-
-def apply(df: DataFrame, business_year: int | None, state: str = ALL,
-          year_col: str = "business_year", state_col: str = "state_code") -> DataFrame:
-    """``WHERE year = :year AND (state = :state OR :state = 'All')`` as literals."""
-    return Params(business_year, state).apply(df, year_col, state_col)

@@ -1,35 +1,29 @@
 """Partitioned sink for pipeline outputs.
 
-Written Hive-style by (business_year, state_code) with dynamic partition overwrite, so
-re-running one year or state replaces only its folders and readers filtering on
-those columns prune whole directories.
+Written Hive-style by (business_year, state_code); readers filtering on those columns prune whole
+directories. ``replace`` drops what was there and writes anew (drop and recreate); ``partitions`` replaces
+only the folders of the years and states in the new rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite",
+def write_partitioned(df: DataFrame, path: str, mode: str = "replace",
                       partition_by: Sequence[str] = ("business_year", "state_code")) -> None:
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # Cluster rows by the partition columns (each task writes few files) with a
-        # REBALANCE, not a plain hash repartition: AQE splits a partition that grows
-        # past the advisory size, so a state holding a third of all rows is written by
-        # many tasks instead of one.
-        (df.hint("rebalance", *partition_by)
-         .write.mode(mode).partitionBy(*partition_by).parquet(path))
-    finally:
-        if prev is None:
-            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-        else:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    if mode not in ("replace", "partitions"):
+        raise ValueError("mode is 'replace' (drop and recreate) or 'partitions' (only the new rows' folders)")
+    # Cluster rows by the partition columns (each task writes few files) with a REBALANCE, not a plain
+    # hash repartition: AQE splits a partition that grows past the advisory size, so a state holding a
+    # third of all rows is written by many tasks instead of one.
+    (df.hint("rebalance", *partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static" if mode == "replace" else "dynamic")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def read_partitioned(spark: SparkSession, path: str, business_year: int | None = None,
@@ -43,13 +37,9 @@ def read_partitioned(spark: SparkSession, path: str, business_year: int | None =
     return df
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A folder under the cluster's shared ``spark.checkpoint.dir`` (never machine-local)."""
+def shared_path(spark: SparkSession, name: str, source: str = "") -> str:
+    """A folder under the shared ``spark.checkpoint.dir``; the same one in every process for the same
+    ``source``, so that a rerun replaces it."""
     from ..session import checkpoint_dir
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
-
-
-def write_landscape(df: DataFrame, path: str, mode: str = "overwrite",
-                    partition_by: Sequence[str] = ("business_year", "state_code")) -> None:
-    """The landscape table's sink (partitioned by year and state)."""
-    write_partitioned(df, path, mode, partition_by)
+    tag = f"_{hashlib.sha1(source.encode()).hexdigest()[:12]}" if source else ""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}{tag}"

@@ -21,10 +21,10 @@ from . import tables
 
 # Fixed values of the stand-in mapping (FIXTURES.md §C), in index order.
 METAL_BY_K = ["Expanded Bronze", "Bronze", "Silver", "Silver", "Gold", "Platinum",
-              "Catastrophic", "High"]
+              "Catastrophic", "High", "Low"]
 PLAN_TYPE_BY_K_MOD_3 = ["HMO", "PPO", "EPO"]
 CSR_BY_V = ["Off Exchange", "On Exchange", "73% AV"]
-PLANS_PER_ISSUER = 8
+PLANS_PER_ISSUER = 9            # the ninth has no rates
 VARIANTS_PER_PLAN = 3
 COUNTIES_PER_STATE = 5          # one per region slot
 CR = "\r"
@@ -65,9 +65,10 @@ def rating_area_county(spark: SparkSession, sf_dir: str, raw: bool = False) -> D
     the source delivers it; the default pads it back once, at load."""
     c = county(spark, sf_dir)
     fips = clean.strip_leading_zeros("geoid")
-    return c.select((fips if raw else clean.pad_fips(fips)).alias("fips"),
-                    "county",
-                    F.concat(F.lit("Rating Area "), _s(F.col("rk") % 3 + 1)).alias("rating_area"))
+    # the last county of each state is split between two rating areas
+    areas = F.when(F.col("rk") == 4, F.array(F.lit(2), F.lit(3))).otherwise(F.array((F.col("rk") % 3 + 1).cast("int")))
+    return c.select((fips if raw else clean.pad_fips(fips)).alias("fips"), "county", F.explode(areas).alias("area")).select(
+        "fips", "county", F.concat(F.lit("Rating Area "), _s("area")).alias("rating_area"))
 
 
 def rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +85,9 @@ def rate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("l_shipdate").alias("business_year"),
         F.col("n_name").alias("state_code"),
         F.col("l_suppkey").alias("issuer_id"),
-        F.concat(_s("l_suppkey"), F.lit("-"), _s(F.col("l_partkey") % 8)).alias("plan_id"),
+        # some rates name a plan that no plan attributes describe
+        F.concat(_s("l_suppkey"), F.lit("-"), _s(F.when(F.col("l_partkey") % 40 == 39, F.lit(9).cast("bigint"))
+                                                 .otherwise(F.col("l_partkey") % 8))).alias("plan_id"),
         F.concat(F.lit("Rating Area "), _s(F.col("l_linenumber") % 3 + 1)).alias("rating_area_id"),
         _s((F.lit(21) + F.col("l_quantity") % 3).cast("int")).alias("age"),
         F.when(F.col("l_returnflag") == "N", F.lit("No Preference"))
@@ -113,7 +116,7 @@ def _issuer_years(spark, sf_dir) -> DataFrame:
 
 
 def plan_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plan attributes: issuer x year x plan k (0..7) x cost-sharing variant v (0..2)."""
+    """Plan attributes: issuer x year x plan k (0..8) x cost-sharing variant v (0..2)."""
     base = _issuer_years(spark, sf_dir).select(
         "*", _range(PLANS_PER_ISSUER).alias("k")).select(
         "*", _range(VARIANTS_PER_PLAN).alias("v"))
@@ -132,7 +135,7 @@ def plan_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(METAL_BY_K, k).alias("metal_level"),
         _pick(PLAN_TYPE_BY_K_MOD_3, k % 3).alias("plan_type"),
         _pick(CSR_BY_V, F.col("v")).alias("csr_variation_type"),
-        F.when(k == 7, F.lit("Yes")).when(k % 2 == 0, F.lit("No" + CR))
+        F.when(k == 7, F.lit("Yes")).when((k % 2 == 0) & ~((k == 4) & (sk % 2 == 1)), F.lit("No" + CR))
          .otherwise(F.lit("No")).alias("dental_only_plan"),
         F.when(sk % 10 == 9, F.lit("SHOP (Small Group)")).otherwise(F.lit("Individual"))
          .alias("market_coverage"),
@@ -160,7 +163,8 @@ def service_area(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("state_code"),
         sk.alias("issuer_id"),
         F.concat(F.lit("SA"), _s(a)).alias("service_area_id"),
-        F.when(a == 0, F.lit("Yes")).when(sk % 2 == 0, F.lit("No")).otherwise(F.lit("false"))
+        F.when((a == 0) & (sk % 10 == 5), F.lit("true")).when(a == 0, F.lit("Yes"))
+         .when(sk % 2 == 0, F.lit("No")).otherwise(F.lit("false"))
          .alias("cover_entire_state"),
         F.when(a == 1, F.concat(F.col("n_name"), F.lit(" - "), F.col("geoid"))).alias("county"),
         F.when(a == 1, F.col("county")).alias("county_name"),
@@ -177,11 +181,13 @@ def zip_rating_area(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.concat(F.lpad(_s("c_nationkey"), 2, "0"),
                              F.lpad(_s(slot * 2 + 1), 3, "0")).alias("fips"),
                     F.col("n_name").alias("state"),
-                    F.concat(F.lit("Rating Area "), _s(slot % 3 + 1)).alias("rate_area")))
+                    F.concat(F.lit("Rating Area "), _s(F.when(F.col("c_custkey") % 10 == 9, F.lit(3).cast("bigint"))
+                                                       .otherwise(slot % 3 + 1))).alias("rate_area")))
 
 
 def enrollment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Issuer x year x county enrollment, with a text ``'NULL'`` sentinel."""
+    """Issuer x year x county enrollment as text: a ``'NULL'`` sentinel, true NULLs, and for some issuers a
+    second row with another value."""
     sup = tables.load(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     n_sup = sup.count()     # one number: the modulus that maps orders to issuers
     orders = tables.load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
@@ -194,9 +200,10 @@ def enrollment(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lpad(_s((F.col("o_orderkey") % 5) * 2 + 1), 3, "0")).alias("county_fips"),
         F.col("n_name").alias("state"),
     ).agg(F.count(F.lit(1)).alias("n"))
-    return g.select("issuer_hios_id", "year", "county_fips",
-                    F.when(F.col("n") > 8, F.lit("NULL")).otherwise(_s("n")).alias("avg_enrollment"),
-                    "state")
+    n = F.col("n")
+    first = F.when(n > 8, F.lit("NULL")).when(n != 3, _s(n))
+    values = F.when(F.col("issuer_hios_id") % 9 == 4, F.array(first, _s(n + 7))).otherwise(F.array(first))
+    return g.select("issuer_hios_id", "year", "county_fips", F.explode(values).alias("avg_enrollment"), "state")
 
 
 def parent_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,26 +252,28 @@ def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ----------------------------------------------------------------- materialisation
 
 # Bump when a builder changes: materialised copies are keyed by it.
-STANDIN_VERSION = 1
+STANDIN_VERSION = 2
 # Stored Hive-style by year (literal year filters prune whole folders) and sorted by
-# state inside each file (state filters skip row groups by min/max statistics).
+# state inside each file (state filters skip row groups by min/max statistics): the
+# write needs its rows by partition column first, so that is the leading sort key.
 PARTITION_BY_YEAR = {"st_rate", "st_plan_attr", "st_service_area", "st_t0a"}
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _fingerprint(sf_dir: str) -> str:
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Of the tables that the stand-ins read: every file's size and time, as their file system reports them."""
     import hashlib
-    import os
-    h = hashlib.sha1(f"{STANDIN_VERSION}|{os.path.abspath(sf_dir)}".encode())
-    if os.path.isdir(sf_dir):
-        for f in sorted(os.listdir(sf_dir)):
-            st = os.stat(os.path.join(sf_dir, f))
-            h.update(f"{f}:{st.st_size}:{int(st.st_mtime)}".encode())
+    h = hashlib.sha1(f"{STANDIN_VERSION}|{sf_dir.rstrip('/')}".encode())
+    for name in sorted(tables.CONTRACTS):
+        path, fs = _file_system(spark, tables.table_path(sf_dir, name))
+        if not fs.exists(path):
+            continue
+        for f in [fs.getFileStatus(path)] if fs.getFileStatus(path).isFile() else sorted(fs.listStatus(path), key=lambda x: x.getPath().getName()):
+            h.update(f"{name}/{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}".encode())
     return h.hexdigest()[:16]
 
 
@@ -272,16 +281,13 @@ def materialized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The stand-in as a stored parquet table under the shared checkpoint folder,
     built on first use and read (with pushdown and pruning) afterwards."""
     from ..session import checkpoint_dir
-    try:
-        path = f"{checkpoint_dir(spark).rstrip('/')}/grainline_standins/{_fingerprint(sf_dir)}/{name}"
-        exists = _fs_exists(spark, f"{path}/_SUCCESS")
-    except Exception:  # noqa: BLE001  (no JVM handle, e.g. a remote session): build lazily
-        return build(spark, sf_dir, name)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/grainline_standins/{_fingerprint(spark, sf_dir)}/{name}"
+    done, fs = _file_system(spark, f"{path}/_SUCCESS")
     schema = _SCHEMAS.get(path)
-    if not exists:
+    if not fs.exists(done):
         df = build(spark, sf_dir, name)
         if name in PARTITION_BY_YEAR:
-            (df.hint("rebalance", "business_year").sortWithinPartitions("state_code")
+            (df.hint("rebalance", "business_year").sortWithinPartitions("business_year", "state_code")
              .write.mode("overwrite").partitionBy("business_year").parquet(path))
         else:
             df.write.mode("overwrite").parquet(path)

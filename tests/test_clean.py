@@ -62,6 +62,10 @@ def test_parse_money(spark):
     assert float(_one(spark, clean.parse_money, "$1,500 per person")) == 1500.0
     assert _one(spark, clean.parse_money, "Not Applicable") is None
     assert float(_one(spark, clean.parse_money, "$2,350.50")) == 2350.5
+    assert float(_one(spark, clean.parse_money, "$1,500 per person | $3,000 per group")) == 1500.0
+    assert float(_one(spark, clean.parse_money, "10% / $50")) == 50.0
+    assert float(_one(spark, clean.parse_money, "-$5")) == -5.0
+    assert _one(spark, clean.parse_money, "20% coinsurance") is None
 
 
 def test_format_count(spark):

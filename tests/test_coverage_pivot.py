@@ -29,6 +29,11 @@ def test_expand_statewide_gets_every_county(spark):
     assert 3 not in by_issuer and 4 not in by_issuer
 
 
+def test_expand_broadcasts_the_lookup_only_when_told_that_it_is_bounded(spark):
+    plan = lambda **k: coverage.expand(_sa(spark), _counties(spark), **k)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in plan() and "ResolvedHint (strategy=broadcast)" in plan(counties_bounded=True)
+
+
 def test_coverage_audit_reports_unknown_spelling(spark):
     rows = {r.cover_entire_state: r.treatment for r in coverage.coverage_audit(_sa(spark)).collect()}
     assert rows["true"] == "dropped" and rows["Yes"] == "whole" and rows["false"] == "part"

@@ -72,10 +72,11 @@ def test_lookup_broadcast_only_when_bounded(sides):
 def test_skew_join_equals_plain_join(spark):
     big = spark.range(3000).select((F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50))
                                    .alias("k"), F.col("id").alias("v"))
-    small = spark.createDataFrame([(7, "hot"), (7, "hot2"), (1, "one"), (99, "none")],
+    big = big.union(spark.range(40).select(F.lit(None).cast("long"), F.col("id")))      # NULL keys are spread too
+    small = spark.createDataFrame([(7, "hot"), (7, "hot2"), (1, "one"), (99, "none"), (None, "null")],
                                   "k bigint, name string")
     for how in ("inner", "left"):
         want = joins.join(big, small, ["k"], how)
-        got = joins.skew_join(big, small, ["k"], how, max_key_rows=100, buckets=8)
+        got = joins.skew_join(big, small, ["k"], how, buckets=8)
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
         assert got.count() == want.count()

@@ -87,11 +87,11 @@ def test_nth_row_matches_row_number(spark):
         assert got == want, n
 
 
-def test_window_group_limit_planned_for_rank_filter(spark):
+def test_window_group_limit_planned_for_nth_row(spark):
     df = _frame(spark, [("a", "Silver", "1")])
-    t = rank.rank_column(df, ["g"], [F.col("rate").asc_nulls_last()], "r", "rank")
-    plan = t.where(F.col("r") == 1)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    for n in (2, 3):
+        plan = rank.nth_row(df, ["g"], ["rate", "id"], n, ["id"])._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan and "Join" not in plan
 
 
 def _rn_frame(spark):
@@ -105,21 +105,34 @@ def _rn_frame(spark):
     return spark.createDataFrame(rows, DDL)
 
 
-def test_skew_split_row_number_equals_window(spark):
+def _plain_numbers(df, keys):
+    w = Window.partitionBy(*keys).orderBy(F.col("rate").asc_nulls_last(), F.col("id").asc_nulls_last())
+    return {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+
+
+def test_banded_row_number_equals_window(spark):
     df = _rn_frame(spark)
-    want = {r.id: r.rn for r in rank.row_number(df, ["g"], ["rate", "id"], "rn").collect()}
-    # threshold 20: 'hot' (about 266 rows) and the others are split over several tasks
-    got = {r.id: r.rn for r in
-           rank.row_number(df, ["g"], ["rate", "id"], "rn", max_group_rows=20,
-                           rows_per_task=30).collect()}
-    assert got == want
+    # one band, some bands, a band for every rate: always the same numbers, and no job before an action
+    for width in (10_000, 60, 1):
+        out = rank.banded_row_number(df, {"rn": ["g"], "fine": ["g", "metal"]}, ["rate", "id"],
+                                     F.floor(F.col("rate") / width)).collect()
+        assert {r.id: r.rn for r in out} == _plain_numbers(df, ["g"])
+        assert {r.id: r.fine for r in out} == _plain_numbers(df, ["g", "metal"])
+
+
+def test_banded_windows_never_hold_a_hot_group(spark):
+    out = rank.banded_row_number(_rn_frame(spark), {"rn": ["g"]}, ["rate", "id"], F.floor(F.col("rate") / 50))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    rows = [line for line in plan.splitlines() if "row_number()" in line]
+    assert rows and all("__band" in line for line in rows)
 
 
-def test_skew_split_without_hot_groups_is_plain_window(spark):
+def test_rank_by_counts_equals_windows(spark):
     df = _rn_frame(spark)
-    out = rank.row_number(df, ["g"], ["rate", "id"], "rn", max_group_rows=10_000)
-    assert "Window" in out._jdf.queryExecution().executedPlan().toString()
-    assert out.count() == 400
+    w = Window.partitionBy("g").orderBy(F.col("rate").asc_nulls_last())
+    want = {r.id: (r.a, r.b) for r in df.withColumn("a", F.rank().over(w)).withColumn("b", F.dense_rank().over(w)).collect()}
+    got = {r.id: (r.a, r.b) for r in rank.rank_by_counts(df, ["g"], "rate", "a", "b").collect()}
+    assert got == want
 
 
 def test_rank_flags_equal_separate_flags(spark):
@@ -134,13 +147,6 @@ def test_rank_flags_equal_separate_flags(spark):
     assert one == sep
 
 
-def test_skew_split_is_stable_across_recomputation(spark):
-    df = _rn_frame(spark)
-    runs = [{r.id: r.rn for r in rank.row_number(df, ["g"], ["rate", "id"], "rn", max_group_rows=20,
-                                                 rows_per_task=25).collect()} for _ in range(2)]
-    assert runs[0] == runs[1]
-
-
 def test_bounded_groups_broadcast_the_statistics(spark):
     df = _rn_frame(spark)
     t = rank.rank_flags(df, ["g"], "rate", "m", [("f", 1, "rank", None)], groups_bounded=True)

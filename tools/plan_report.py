@@ -42,7 +42,6 @@ def main(argv):
         counts = [len(re.findall(p, plan)) for _, p in COUNT]
         bad = [f for f in FORBIDDEN if f in plan]
         rows.append((k, counts, bad))
-        catalog.release_all()
     out = ["# Physical plans of the headline queries", "",
            f"Final AQE plans at `{sf_dir}` on local[*] (`tools/plan_report.py`); operator counts per query, "
            "after the runtime re-plan. Cached intermediates (`InMemoryTableScan`) were built by the "
