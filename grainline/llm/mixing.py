@@ -12,7 +12,7 @@ sources by (limit / weight).
 
 Defined results. Null or empty text: size 0, taken 0. Null source: a source of its own, after all others. Rows with
 the same id and text are interchangeable; ties of the key are broken by id and text hash. Empty table: no rows. Other
-columns are carried along untouched (names that begin with ``__mix`` are reserved). Only the per-source table (one row
+columns are carried along untouched (own columns named like results give way; ``__mix`` names are reserved). Only the per-source table (one row
 a source) is ordered by one task; it is an aggregate, and a corpus has far fewer sources than documents.
 """
 
@@ -60,6 +60,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5,
 
     ``taken``: words that the mix takes from the document, repeats counted; the document at which the budget ends
     gives its first words only, so that a source's taken words are its target, rounded."""
+    docs = docs.drop("size", "source_size", "target", "taken")
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest))
     # one non-null name per source, so that the window and the join below share one partitioning
