@@ -11,8 +11,10 @@ Then, on Spark:
 2. bands of slots give buckets; every member of a bucket is paired with the bucket's first text (never all pairs);
 3. pairs whose signatures agree enough are verified by exact multiset overlap;
 4. verified links become components by minimum labels with pointer jumping, each round written to the shared folder;
-5. a bucket that holds several components compares the members outside its largest one with all others, in bounded
-   blocks, and the most alike pairs of any two components are verified; their links complete the classes.
+5. where a bucket holds several components, the members outside its largest one are paired with a random member of it and
+   with a random one of the others, twice; buckets that still hold several compare the members outside the largest
+   with all others, in bounded blocks that propose spanning forests of the most alike pairs. Verified links complete the
+   classes.
 
 Defined results. Texts without words (null, empty, blank) are in no class but their own. Texts of one to four words have
 one shingle, the whole text. Upper and lower case A-Z are the same. Equal rows share a class; its first row (least
@@ -40,8 +42,10 @@ BANDS, BAND_SLOTS = 25, 5
 PLAUSIBLE = SIMILARITY - 4 * float(np.sqrt(SIMILARITY * (1 - SIMILARITY) / SLOTS))
 #: Members of a bucket in one block, each compared with the bucket's members outside its largest component.
 BLOCK_TEXTS = 256
-#: Pairs that a block proposes for any two components, the most alike first.
-PROPOSED = 3
+#: Spanning forests of plausible pairs that a block proposes.
+FORESTS = 2
+#: Rounds that pair a bucket's members with random ones of other components.
+ROUNDS = 2
 #: Hash slots of the filter that spares rows a shuffle; its broadcast holds at most one number a slot.
 FILTER_SLOTS = 1 << 20
 
@@ -123,7 +127,7 @@ def bag_minhash(keys: np.ndarray, docs: np.ndarray, counts: np.ndarray, size: in
 def describe(column: pa.Array) -> dict[str, list]:
     """For each text: shingles counted, a 128-bit digest of the multiset, signature, band keys and packed shingles."""
     out: dict[str, list] = {k: [] for k in ("n_shingles", "digest_a", "digest_b", "signature", "bands", "bag")}
-    for b in scan.blocks(column, 2 << 20):
+    for b in scan.blocks(column):
         keys, docs, counts = shingles(b)
         sums = np.zeros((2, b.size), np.uint64)
         for i, salt in enumerate((0x51ED270B, 0x2545F491)):
@@ -211,16 +215,15 @@ def classes(docs: DataFrame) -> DataFrame:
     buckets = members.groupBy("band").agg(F.min("uid").alias("head"), F.count("*").alias("n")).where("n > 1")
     members = written(members.join(buckets.select("band", "head"), "band"), "members")
     signature, bags = rows.select("uid", "signature"), rows.select("uid", "bag")
-    pairs = members.where("uid <> head").select("uid", "head").distinct()
     signature = _among(signature, members)
-    pairs = (pairs.join(signature, "uid").join(signature.select(F.col("uid").alias("head"), F.col("signature").alias("other")), "head"))
-    pairs = add_columns(pairs, {"agree": "double"}, lambda t: [_agreement(t.column("signature"), t.column("other"))],
-                        drop=["signature", "other"])
-    stars = pairs.where(F.col("agree") >= PLAUSIBLE).select(F.col("head").alias("a"), F.col("uid").alias("b"))
-    links = written(_verified(stars, bags), "links")
-    more = _compare_components(members.select("band", "uid"), connected(links), signature)
-    links = written(links.unionByName(_verified(more.join(links, ["a", "b"], "left_anti"), bags)), "links")
+    links = _linked(members.where("uid <> head").select(F.col("head").alias("a"), F.col("uid").alias("b")), signature, bags)
     labels = connected(links)
+    members = members.select("band", "uid")
+    for propose in [*(_random_partners(seed) for seed in range(1, ROUNDS + 1)), _forests(signature)]:
+        named = members.join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+        more = propose(written(named, "labelled")).join(links, ["a", "b"], "left_anti")
+        links = written(links.unionByName(_linked(more, signature, bags)), "links")
+        labels = connected(links)
     degree = (links.select(F.col("a").alias("uid")).union(links.select(F.col("b").alias("uid")))
               .groupBy("uid").agg(F.count("*").alias("n_links")))
     texts = (texts.join(labels.withColumnRenamed("node", "uid"), "uid", "left").join(degree, "uid", "left")
@@ -242,50 +245,89 @@ def _among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.select("*", slot).join(F.broadcast(wanted.select(slot).distinct()), "__slot", "left_semi").drop("__slot")
 
 
-def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
-    pairs = written(pairs.select("a", "b"), "candidates")
+def _linked(pairs: DataFrame, signature: DataFrame, bags: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose multisets are similar enough: by signatures first, then exactly. Written."""
+    pairs = pairs.distinct()
+    side = lambda c: signature.select(F.col("uid").alias(c), F.col("signature").alias(f"of_{c}"))
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b")
+    pairs = add_columns(pairs, {"agree": "double"}, lambda t: [_agreement(t.column("of_a"), t.column("of_b"))], drop=["of_a", "of_b"])
+    pairs = written(pairs.where(F.col("agree") >= PLAUSIBLE).select("a", "b"), "candidates")
     bags = _among(bags, pairs.select(F.explode(F.array("a", "b")).alias("uid")))
     p = (pairs.join(bags.select(F.col("uid").alias("b"), F.col("bag").alias("bag_b")), "b")
          .join(bags.select(F.col("uid").alias("a"), F.col("bag").alias("bag_a")), "a"))
     p = add_columns(p, {"similarity": "double"}, lambda t: [[overlap(x.as_py(), y.as_py()) for x, y in zip(t.column("bag_a"), t.column("bag_b"))]],
                     drop=["bag_a", "bag_b"], rows=512)
-    return p.where(F.col("similarity") >= SIMILARITY)
+    return written(p.where(F.col("similarity") >= SIMILARITY).select("a", "b"), "links")
 
 
-def _compare_components(members: DataFrame, labels: DataFrame, signature: DataFrame) -> DataFrame:
-    """Plausible pairs (a < b) of different components among the members of a bucket.
+def _mixed(named: DataFrame, seed: int = 0) -> DataFrame:
+    """Buckets with several components: n, the largest one's label (main), and a random member of it and of the others."""
+    pick = F.min(F.struct(F.xxhash64(F.lit(seed), "band", "uid").alias("h"), "uid")).alias("pick")
+    parts = named.groupBy("band", "label").agg(F.count("*").alias("n"), pick)
+    main = (parts.groupBy("band").agg(F.count("*").alias("labels"), F.sum("n").alias("n"), F.max(F.struct("n", "label", "pick")).alias("top"))
+            .where("labels > 1").select("band", "n", F.col("top.label").alias("main"), F.col("top.pick.uid").alias("inside")))
+    others = (parts.drop("n").join(main, "band").where("label <> main").groupBy("band", "n", "main", "inside")
+              .agg(F.min("pick").alias("pick")))
+    return others.select("band", "n", "main", "inside", F.col("pick.uid").alias("outside"))
 
-    Members outside a bucket's largest component go to all its blocks, the others to one each, so a bucket of any size
-    around one component costs one comparison a member and outsider, and proposes a few pairs."""
-    m = members.join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
-    m = written(m, "labelled")
-    sizes = m.groupBy("band", "label").agg(F.count("*").alias("n"))
-    mixed = (sizes.groupBy("band").agg(F.count("*").alias("labels"), F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("top"))
-             .where("labels > 1").select("band", F.col("top.label").alias("main"), F.ceil(F.col("n") / BLOCK_TEXTS).cast("int").alias("blocks")))
-    m = m.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
-    outside = F.col("label") != F.col("main")
-    every = F.when(outside, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
-    m = m.select("band", "uid", "label", outside.alias("outside"), F.col("block").alias("home"), F.explode(every).alias("block"))
-    m = m.join(signature, "uid")
 
+def _random_partners(seed: int):
+    def propose(named: DataFrame) -> DataFrame:
+        m = named.join(_mixed(named, seed), "band").where("label <> main")
+        m = m.select("uid", F.explode(F.array("inside", "outside")).alias("other")).where("uid <> other")
+        return m.select(F.least("uid", "other").alias("a"), F.greatest("uid", "other").alias("b"))
+
+    return propose
+
+
+def _forests(signature: DataFrame):
+    """Members outside a bucket's largest component go to all its blocks, the others to one each, so a bucket around one
+    component costs one comparison a member and outsider. A block proposes FORESTS spanning forests of its components."""
     def compare(t: pa.Table) -> pa.Table:
         uid, label = t.column("uid").to_numpy(), t.column("label").to_numpy()
         here = t.column("home").to_numpy() == t.column("block").to_numpy()
         s = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint32).reshape(-1, SLOTS)
-        best: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
-        for x in np.flatnonzero(t.column("outside").to_numpy(zero_copy_only=False)):
+        left, right, like = [], [], []
+        for x in np.flatnonzero(t.column("outsider").to_numpy(zero_copy_only=False)):
             others = np.flatnonzero(here & (label != label[x]))
             agree = (s[others] == s[x]).mean(1)
-            for i in np.flatnonzero(agree >= PLAUSIBLE):
-                y = others[i]
-                found = best.setdefault((min(label[x], label[y]), max(label[x], label[y])), [])
-                found.append((-float(agree[i]), min(uid[x], uid[y]), max(uid[x], uid[y])))
-                if len(found) > 4 * PROPOSED:
-                    found[:] = sorted(set(found))[:PROPOSED]
-        out = [f for found in best.values() for f in sorted(set(found))[:PROPOSED]]
-        return pa.table({"a": pa.array([f[1] for f in out], pa.int64()), "b": pa.array([f[2] for f in out], pa.int64())})
-
-    return m.groupBy("band", "block").applyInArrow(compare, "a long, b long").distinct()
+            near = agree >= PLAUSIBLE
+            left.append(np.full(int(near.sum()), x))
+            right.append(others[near])
+            like.append(agree[near])
+        out: list[tuple[int, int]] = []
+        if left:
+            left, right, like = map(np.concatenate, (left, right, like))
+            todo = np.argsort(-like, kind="stable")
+            for _ in range(FORESTS):
+                root: dict[int, int] = {}
+
+                def find(v: int) -> int:
+                    while (up := root.get(v, v)) != v:
+                        root[v] = root.get(up, up)
+                        v = up
+                    return v
+
+                rest = []
+                for i in todo:
+                    p, q = find(int(label[left[i]])), find(int(label[right[i]]))
+                    if p == q:
+                        rest.append(i)
+                    else:
+                        root[p] = q
+                        out.append((min(uid[left[i]], uid[right[i]]), max(uid[left[i]], uid[right[i]])))
+                todo = rest
+        return pa.table({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64())})
+
+    def propose(named: DataFrame) -> DataFrame:
+        m = named.join(_mixed(named).select("band", "main", F.ceil(F.col("n") / BLOCK_TEXTS).cast("int").alias("blocks")), "band")
+        outsider = F.col("label") != F.col("main")
+        home = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")
+        every = F.when(outsider, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(home))
+        m = m.select("band", "uid", "label", outsider.alias("outsider"), home.alias("home"), F.explode(every).alias("block"))
+        return m.join(signature, "uid").groupBy("band", "block").applyInArrow(compare, "a long, b long")
+
+    return propose
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

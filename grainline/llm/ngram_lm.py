@@ -42,6 +42,8 @@ MU, DISCOUNT = 100.0, 0.75
 #: Tokens that one shard's task handles, about.
 SHARD_TOKENS = 1_500_000
 CHUNK = 4096
+#: Text of one block; larger blocks send fewer different words and pairs.
+BLOCK_BYTES = 4 << 20
 END = np.uint64(0x9D39247E33776D41)
 START = np.uint64(0x2AF7398005AAA5C7)
 _W_BITS = 40
@@ -237,7 +239,7 @@ def _least(values: np.ndarray) -> np.ndarray:
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for b in scan.blocks(batch.column("text")):
+        for b in scan.blocks(batch.column("text"), BLOCK_BYTES):
             b = scan.Block(b.first, scan.LOWER[b.data], b.offsets)
             w = scan.words(b)
             tokens = np.full(len(w.start) + b.size, END, np.uint64)

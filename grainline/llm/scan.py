@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that numpy works on at once (a longer document is a block of its own).
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 # ASCII space and the control characters from tab to carriage return separate words
 SEPARATOR = np.zeros(256, bool)
@@ -31,13 +31,13 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i <= n; kept for the usual block size only."""
     if "up" in _powers and len(_powers["up"]) > n:
         return _powers["up"], _powers["down"]
-    size = max(n + 1, 1 << 16)
+    size = 1 << max(16, n.bit_length())
     tables = []
     for base in (_BASE, _BASE_INVERSE):
         t = np.full(size, base, np.uint64)
         t[0] = 1
         tables.append(np.cumprod(t, dtype=np.uint64))
-    if size <= BLOCK_BYTES * 2:
+    if size <= 8 << 20:
         _powers["up"], _powers["down"] = tables
     return tables[0], tables[1]
 
