@@ -168,20 +168,24 @@ def banded_row_number(df: DataFrame, outs: Mapping[str, Sequence[str]], order: S
 
     ``band`` must not decrease along the order (e.g. a rate rounded down; NULL where the first order
     column is NULL). Groups are cut into bands: rows are numbered inside (keys, band) and shifted by the
-    row counts of the group's lower bands, a running sum over one pre-aggregated row per band. One lazy
-    plan at every size. The first ``outs`` entry's keys should be a subset of the others', so that all
-    windows share one exchange.
+    row counts of the group's lower bands. One aggregation, by the last entry's keys and the band, serves all
+    ``outs``: running sums over its rows give each entry's shift, and one join brings them back. One lazy
+    plan at every size. Each entry's keys must be among the last entry's, so that all windows share one exchange.
     """
+    *_, finest = outs.values()
+    if any(not set(keys) <= set(finest) for keys in outs.values()):
+        raise ValueError("the last entry's keys must include all others'")
     order_cols = [F.col(c).asc_nulls_last() for c in order]
     out = df.withColumn("__band", band)
-    shifts = []
-    for i, (name, keys) in enumerate(outs.items()):
-        sizes = out.groupBy(*keys, "__band").agg(F.count(F.lit(1)).alias("__n"))
-        lower = (Window.partitionBy(*keys).orderBy(F.col("__band").asc_nulls_last())
-                 .rowsBetween(Window.unboundedPreceding, -1))
-        shifts.append((list(keys), sizes.select(*keys, "__band", F.coalesce(F.sum("__n").over(lower), F.lit(0)).alias(f"__s{i}"))))
+    shifts = out.groupBy(*finest, "__band").agg(F.count(F.lit(1)).alias("__n"))
+    for i, keys in enumerate(outs.values()):
+        # rows in bands up to this one, less those of this band
+        upto = F.sum("__n").over(Window.partitionBy(*keys).orderBy(F.col("__band").asc_nulls_last())
+                                 .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        shifts = shifts.withColumn(f"__s{i}", upto - F.sum("__n").over(Window.partitionBy(*keys, "__band")))
     for name, keys in outs.items():
         out = out.withColumn(name, F.row_number().over(Window.partitionBy(*keys, "__band").orderBy(*order_cols)).cast("bigint"))
-    for i, ((keys, shift), name) in enumerate(zip(shifts, outs)):
-        out = _null_safe_join(out, shift, [*keys, "__band"]).withColumn(name, F.col(name) + F.col(f"__s{i}")).drop(f"__s{i}")
-    return out.drop("__band")
+    out = _null_safe_join(out, shifts.drop("__n"), [*finest, "__band"])
+    for i, name in enumerate(outs):
+        out = out.withColumn(name, F.col(name) + F.col(f"__s{i}"))
+    return out.drop("__band", *[f"__s{i}" for i in range(len(outs))])

@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean
@@ -180,25 +180,36 @@ def enrollment_by_key(enr: DataFrame, how: str = "largest") -> DataFrame:
         F.max(clean.parse_number("avg_enrollment")).alias("avg_enrollment"))
 
 
-def overall_rank(rank: DataFrame, inp: Inputs, opts: Options | None = None) -> DataFrame:
+def winners(summ: DataFrame, opts: Options | None = None) -> DataFrame:
+    """Each issuer's cheapest plan per county and metal level (issuer_rank 1): an aggregation of X2."""
     opts = opts or Options()
-    winners = rank.where(F.col("issuer_rank") == 1)
+    return rank_op.nth_row(summ, [*RANK_KEYS, ISSUER_NAME], [RATE, *opts.tie_break], 1,
+                           ["issuer_id", *opts.tie_break, RATE])
+
+
+def overall_rank(best: DataFrame, inp: Inputs, opts: Options | None = None) -> DataFrame:
+    """``best``: the winners, or a ranking (X3) to take them from."""
+    opts = opts or Options()
+    if "issuer_rank" in best.columns:
+        best = best.where(F.col("issuer_rank") == 1)
     enr = enrollment_by_key(inp.enrollment, opts.enrollment)
-    j = winners.join(enr, (winners.issuer_id == enr.issuer_hios_id)
-                     & (winners.business_year == enr.year)
-                     & (enr.county_fips == winners.fips), "left")
+    j = best.join(enr, (best.issuer_id == enr.issuer_hios_id)
+                  & (best.business_year == enr.year)
+                  & (enr.county_fips == best.fips), "left")
     # the enrollment orders the copies that duplicate enrollment rows make of a winner
-    ranked = rank_op.banded_row_number(
-        j, {"issuer_overall_rank": ["business_year", *opts.overall_keys]},
-        [RATE, *opts.tie_break, "avg_enrollment"], _band(opts))
+    # (winners are pre-aggregated: a group has a row per issuer selling there, whatever the number of rates)
+    order = [F.col(c).asc_nulls_last() for c in (RATE, *opts.tie_break, "avg_enrollment")]
+    place = Window.partitionBy("business_year", *opts.overall_keys).orderBy(*order)
+    ranked = j.withColumn("issuer_overall_rank", F.row_number().over(place).cast("bigint"))
     return ranked.select("business_year", "issuer_id", "fips", "metal_level",
                          "issuer_overall_rank",
                          F.col("avg_enrollment").alias("issuer_avg_monthly_enrollment"))
 
 
-def final(rank: DataFrame, inp: Inputs, opts: Options | None = None) -> DataFrame:
+def final(rank: DataFrame, inp: Inputs, opts: Options | None = None, best: DataFrame | None = None) -> DataFrame:
+    """``best``: the winners, if at hand; else they are taken from ``rank``."""
     opts = opts or Options()
-    o = overall_rank(rank, inp, opts)
+    o = overall_rank(rank if best is None else best, inp, opts)
     # Counties x rating areas: bounded by geography.
     f = F.broadcast(fips_ra(inp).select(F.col("fips").alias("f_fips"),
                                         F.col("state").alias("f_state"), "rate_area"))
@@ -241,7 +252,8 @@ class Landscape:
         return diffs(self.ranking())
 
     def overall_rank(self) -> DataFrame:
-        return overall_rank(self.ranking(), self.inp, self.opts)
+        return overall_rank(winners(self.summary(), self.opts), self.inp, self.opts)
 
     def final(self) -> DataFrame:
-        return final(self.ranking(), self.inp, self.opts)
+        summ = self.summary()
+        return final(ranking(summ, self.opts), self.inp, self.opts, winners(summ, self.opts))

@@ -88,6 +88,8 @@ def test_duplicate_enrollment_takes_the_largest_number(tiny):
     rk = ls.ranking(ls.summary(tiny, Params(2024)))
     o = [r for r in ls.overall_rank(rk, tiny).collect() if r.metal_level == "Silver"]
     assert sorted(r.issuer_overall_rank for r in o if r.fips == "01001") == [1, 2]
+    best = ls.overall_rank(ls.winners(ls.summary(tiny, Params(2024))), tiny)
+    assert sorted(best.collect(), key=str) == sorted(ls.overall_rank(rk, tiny).collect(), key=str)
     # '9' and '10' as numbers; a number beats the sentinel; only a sentinel is NULL
     assert {(r.issuer_id, r.fips): r.issuer_avg_monthly_enrollment for r in o} == {
         (1, "01001"): 10.0, (1, "01003"): 7.0, (2, "01001"): None}
