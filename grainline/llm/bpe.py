@@ -6,7 +6,7 @@ on ties) merges until no pair has a rank. A segment tree over the byte positions
 one that dies and the live neighbour before) by point updates of logarithmic length.
 
 Short pieces are merged many at a time: their trees are rows of one numpy array and every step advances all of them.
-Long pieces use one tree each, O(n log n). Pieces repeat, so a bounded cache keeps what a Python worker has encoded.
+Long pieces use one tree each, O(n log n). Pieces repeat, so a bounded cache keeps what a task has encoded.
 
 Defined results. Null text encodes like an empty one: no ids. Lone or odd bytes cannot occur (Spark strings are
 UTF-8). Texts of any length are encoded whole. Strings of special tokens are ordinary text. Unknown ids in ``decode`` fail.
@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 
 #: Pieces of at most so many bytes are merged in batches.
 SHORT = 64
-#: Pieces that a worker remembers.
-CACHE_PIECES = 300_000
+#: Pieces that a task remembers.
+CACHE_PIECES = 60_000
 
 
 class Tokenizer:
@@ -245,6 +245,7 @@ def encode(docs: DataFrame, path: str, pattern: str, ids: bool = True, digests:
                         got["decoded_sha256"].append(hashlib.sha256(tok.decode(found)).hexdigest())
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(got[k], t) for k, (t, _) in added.items())],
                                                  [*names, *added])
+        tok.cache.clear()       # the worker may go on to other tasks
 
     return docs.mapInArrow(run, schema)
 
