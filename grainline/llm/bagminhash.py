@@ -12,9 +12,9 @@ Then, on Spark:
 3. pairs whose signatures agree enough are verified by exact multiset overlap;
 4. verified links become components by minimum labels with pointer jumping, each round written to the shared folder;
 5. where a bucket holds several components, the members outside its largest one are paired with a random member of it and
-   with a random one of the others, twice; buckets that still hold several compare the members outside the largest
-   with all others, in bounded blocks that propose spanning forests of the most alike pairs. Verified links complete the
-   classes.
+   with a random one of the others, twice. The texts of buckets that still hold several are joined by prefixes of their
+   rarest shingles, which any similar pair shares; all such pairs of two components that their sizes and places allow are
+   verified as in 3. Verified links complete the classes.
 
 Defined results. Texts without words (null, empty, blank) are in no class but their own. Texts of one to four words have
 one shingle, the whole text. Upper and lower case A-Z are the same. Equal rows share a class; its first row (least
@@ -40,10 +40,8 @@ SLOTS = 128
 BANDS, BAND_SLOTS = 25, 5
 #: Signature agreement that sends a pair to verification: 0.8 less four standard deviations.
 PLAUSIBLE = SIMILARITY - 4 * float(np.sqrt(SIMILARITY * (1 - SIMILARITY) / SLOTS))
-#: Members of a bucket in one block, each compared with the bucket's members outside its largest component.
-BLOCK_TEXTS = 256
-#: Spanning forests of plausible pairs that a block proposes.
-FORESTS = 2
+#: Texts whose shingles are counted, and most counts kept, to put frequent ones last. They bound no result.
+ORDER_TEXTS, ORDER_ELEMENTS = 1 << 14, 1 << 20
 #: Rounds that pair a bucket's members with random ones of other components.
 ROUNDS = 2
 #: Hash slots of the filter that spares rows a shuffle; its broadcast holds at most one number a slot.
@@ -219,7 +217,7 @@ def classes(docs: DataFrame) -> DataFrame:
     links = _linked(members.where("uid <> head").select(F.col("head").alias("a"), F.col("uid").alias("b")), signature, bags)
     labels = connected(links)
     members = members.select("band", "uid")
-    for propose in [*(_random_partners(seed) for seed in range(1, ROUNDS + 1)), _forests(signature)]:
+    for propose in [*(_random_partners(seed) for seed in range(1, ROUNDS + 1)), _across(bags)]:
         named = members.join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
         more = propose(written(named, "labelled")).join(links, ["a", "b"], "left_anti")
         links = written(links.unionByName(_linked(more, signature, bags)), "links")
@@ -280,52 +278,87 @@ def _random_partners(seed: int):
     return propose
 
 
-def _forests(signature: DataFrame):
-    """Members outside a bucket's largest component go to all its blocks, the others to one each, so a bucket around one
-    component costs one comparison a member and outsider. A block proposes FORESTS spanning forests of its components."""
-    def compare(t: pa.Table) -> pa.Table:
-        uid, label = t.column("uid").to_numpy(), t.column("label").to_numpy()
-        here = t.column("home").to_numpy() == t.column("block").to_numpy()
-        s = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint32).reshape(-1, SLOTS)
-        left, right, like = [], [], []
-        for x in np.flatnonzero(t.column("outsider").to_numpy(zero_copy_only=False)):
-            others = np.flatnonzero(here & (label != label[x]))
-            agree = (s[others] == s[x]).mean(1)
-            near = agree >= PLAUSIBLE
-            left.append(np.full(int(near.sum()), x))
-            right.append(others[near])
-            like.append(agree[near])
-        out: list[tuple[int, int]] = []
-        if left:
-            left, right, like = map(np.concatenate, (left, right, like))
-            todo = np.argsort(-like, kind="stable")
-            for _ in range(FORESTS):
-                root: dict[int, int] = {}
-
-                def find(v: int) -> int:
-                    while (up := root.get(v, v)) != v:
-                        root[v] = root.get(up, up)
-                        v = up
-                    return v
-
-                rest = []
-                for i in todo:
-                    p, q = find(int(label[left[i]])), find(int(label[right[i]]))
-                    if p == q:
-                        rest.append(i)
-                    else:
-                        root[p] = q
-                        out.append((min(uid[left[i]], uid[right[i]]), max(uid[left[i]], uid[right[i]])))
-                todo = rest
-        return pa.table({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64())})
-
+def _elements(raw: bytes) -> np.ndarray:
+    """A packed multiset as a set: a shingle's first occurrence is its hash, each further one a hash of its own."""
+    keys, counts = _bag(raw)
+    keys = keys.astype(np.uint64)
+    many = np.flatnonzero(counts > 1)
+    again = np.repeat(keys[many], counts[many] - 1)
+    ends = np.cumsum(counts[many] - 1)
+    nth = np.arange(len(again)) - np.repeat(ends - (counts[many] - 1), counts[many] - 1) + 1
+    return np.concatenate([keys, scan.mix64(again + nth.astype(np.uint64) * _GOLDEN) | np.uint64(1 << 63)])
+
+
+def _common(near: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Elements that several of a sample of texts hold, sorted, and in how many. They only order the elements: any order
+    gives the same pairs, one by frequency the fewest candidates."""
+    def count(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                bags = b.column("bag").slice(at, 512).to_pylist()
+                e, n = np.unique(np.concatenate([_elements(x) for x in bags]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(e.view(np.int64)), pa.array(n)], ["element", "n"])
+
+    texts = near.count()
+    share = F.pmod(F.xxhash64(F.lit(3), "uid"), F.lit(1 << 20)) < int(min(1.0, ORDER_TEXTS / max(texts, 1)) * (1 << 20))
+    counted = (near.where(share).select("bag").mapInArrow(count, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
+               .where("n > 1").orderBy(F.desc("n"), "element").limit(ORDER_ELEMENTS).toArrow())
+    element, n = counted.column("element").to_numpy().view(np.uint64), counted.column("n").to_numpy()
+    order = np.argsort(element)
+    return element[order], n[order]
+
+
+def _prefixes(near: DataFrame) -> DataFrame:
+    """element, uid, label, size, at: the elements of each text, rarest first, of which one is common to any similar pair.
+
+    Texts of sizes x >= y and similarity s share at least s * (x + y) / (1 + s) elements, so at least s * x of x's and
+    2s / (1 + s) * y of y's own. The first common element of the two therefore stands among the first x - s * x + 1 and
+    y - 2s / (1 + s) * y + 1. ``shorter``: it stands where the text may be the shorter of the two."""
+    element, n = _common(near)
+    shared = near.sparkSession.sparkContext.broadcast((element, n))
+    names = ["element", "uid", "label", "size", "at", "shorter"]
+
+    def cut(batches):
+        element, n = shared.value
+        for b in batches:
+            for start in range(0, b.num_rows, 512):
+                part = b.slice(start, 512)
+                out: list[list[np.ndarray]] = [[] for _ in names]
+                for uid, label, raw in zip(*(part.column(c).to_pylist() for c in ("uid", "label", "bag")), strict=True):
+                    e = _elements(raw)
+                    place = np.minimum(np.searchsorted(element, e), max(len(element) - 1, 0))
+                    often = np.where(element[place] == e, n[place], 0) if len(element) else np.zeros(len(e), np.int64)
+                    size = len(e)
+                    keep = size - int(np.ceil(SIMILARITY * size - 1e-6)) + 1
+                    e = e[np.lexsort((e, often))[:keep]]
+                    at = np.arange(len(e))
+                    short = at <= size - int(np.ceil(2 * SIMILARITY / (1 + SIMILARITY) * size - 1e-6))
+                    for o, v in zip(out, (e.view(np.int64), np.full(len(e), uid), np.full(len(e), label), np.full(len(e), size), at, short), strict=True):
+                        o.append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], names)
+
+    return near.select("uid", "label", "bag").mapInArrow(cut, "element long, uid long, label long, size long, at long, shorter boolean")
+
+
+def _across(bags: DataFrame):
+    """Every pair of texts of different components that may be similar, of all texts in buckets that hold several.
+
+    Texts that only share a passage have it behind their rarer shingles, so that it pairs nothing, however many they are."""
     def propose(named: DataFrame) -> DataFrame:
-        m = named.join(_mixed(named).select("band", "main", F.ceil(F.col("n") / BLOCK_TEXTS).cast("int").alias("blocks")), "band")
-        outsider = F.col("label") != F.col("main")
-        home = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")
-        every = F.when(outsider, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(home))
-        m = m.select("band", "uid", "label", outsider.alias("outsider"), home.alias("home"), F.explode(every).alias("block"))
-        return m.join(signature, "uid").groupBy("band", "block").applyInArrow(compare, "a long, b long")
+        near = named.join(_mixed(named).select("band"), "band").select("uid", "label").distinct()
+        near = written(near.join(_among(bags, near), "uid"), "mixed")
+        found = written(_prefixes(near), "prefixes")
+        mixed = (found.groupBy("element").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("shorter").alias("paired"))
+                 .where("least <> most and paired").select("element"))
+        found = written(found.join(mixed, "element"), "shared")
+        parts = found.groupBy("element", "label").agg(F.count("*").alias("n"))
+        main = parts.groupBy("element").agg(F.max(F.struct("n", "label")).alias("top")).select("element", F.col("top.label").alias("main"))
+        found = found.join(main, "element")
+        pairs = found.where("label <> main").alias("l").join(found.alias("r"), "element")
+        need = F.ceil(F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("l.size") + F.col("r.size")) - 1e-6)
+        rest = F.least(F.col("l.size") - F.col("l.at"), F.col("r.size") - F.col("r.at"))
+        pairs = pairs.where((F.col("l.label") != F.col("r.label")) & (rest >= need))
+        return pairs.select(F.least("l.uid", "r.uid").alias("a"), F.greatest("l.uid", "r.uid").alias("b")).distinct()
 
     return propose
 

@@ -93,3 +93,44 @@ def test_chain_of_links_is_one_class(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 300)], "a long, b long")
     got = {r.node: r.label for r in B.connected(links).collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 200: 100, 300: 100}
+
+
+def test_families_that_one_pair_joins(spark):
+    # copies of two versions: 0.75 to 0.79 across, but for one pair over 0.8, late in the order
+    rng = np.random.default_rng(11)
+    texts, families = [], 25
+    for f in range(families):
+        base = [f"f{f}w{i}" for i in range(350)]
+        drifted = list(base)
+        for i in range(8, 320, 40):
+            drifted[i] = f"f{f}d{i}"
+        for version, between in ((base, drifted), (drifted, base)):
+            for k in range(12):
+                t = list(version)
+                for i in rng.choice(350, 2, replace=False):
+                    t[i] = f"z{rng.integers(1 << 40)}"
+                if k == 11 and version is base:
+                    t = list(version)
+                    for i in (8, 48):
+                        t[i] = between[i]
+                texts.append(" ".join(t))
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.class_id for r in B.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(rows)
+
+
+def test_prefixes_name_every_similar_pair(spark):
+    texts = [t for s in range(6) for t in variants(s, 100, [0, 1, 2, 3, 4, 5, 6, 7, 8])]
+    texts += ["x y " * n for n in (40, 44, 48, 60)] + [" ".join(f"q{i}" for i in range(n)) for n in (80, 90, 99)]
+    raw = B.describe(pa.array(texts))["bag"]
+    named = spark.createDataFrame([(1, i, i) for i in range(len(raw))], "band long, uid long, label long")
+    bags = spark.createDataFrame([(i, bytearray(r)) for i, r in enumerate(raw)], "uid long, bag binary")
+    got = {(r.a, r.b) for r in B._across(bags)(named).collect()}
+    want = {(i, j) for i, j in itertools.combinations(range(len(raw)), 2) if B.overlap(raw[i], raw[j]) >= B.SIMILARITY}
+    assert want and want <= got
+    # texts around one long passage: the passage pairs none of them
+    passage = " ".join(f"p{i}" for i in range(70))
+    raw = B.describe(pa.array([passage + " " + next(variants(90 + i, 30, [0])) for i in range(200)]))["bag"]
+    named = spark.createDataFrame([(1, i, i) for i in range(len(raw))], "band long, uid long, label long")
+    bags = spark.createDataFrame([(i, bytearray(r)) for i, r in enumerate(raw)], "uid long, bag binary")
+    assert B._across(bags)(named).count() == 0
