@@ -21,7 +21,8 @@ one shingle, the whole text. Upper and lower case A-Z are the same. Equal rows s
 doc_id, null last) is kept. Very long texts are whole. Empty table: no rows.
 
 Hot groups: copies collapse before anything is shuffled by bucket; a bucket of any size costs one pair a member; hot
-join keys are sort-merge joins that adaptive execution splits.
+join keys are sort-merge joins that adaptive execution splits; a shingle that many texts of several components have in
+their prefixes is compared in blocks of about BLOCK_TEXTS by BLOCK_TEXTS texts.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ BANDS, BAND_SLOTS = 25, 5
 PLAUSIBLE = SIMILARITY - 4 * float(np.sqrt(SIMILARITY * (1 - SIMILARITY) / SLOTS))
 #: Texts whose shingles are counted, and most counts kept, to put frequent ones last. They bound no result.
 ORDER_TEXTS, ORDER_ELEMENTS = 1 << 14, 1 << 20
+#: Texts of one shingle in a block: a key of the pair join has about as many on each side.
+BLOCK_TEXTS = 256
 #: Rounds that pair a bucket's members with random ones of other components.
 ROUNDS = 2
 #: Hash slots of the filter that spares rows a shuffle; its broadcast holds at most one number a slot.
@@ -340,6 +343,20 @@ def _prefixes(near: DataFrame) -> DataFrame:
     return near.select("uid", "label", "bag").mapInArrow(cut, "element long, uid long, label long, size long, at long, shorter boolean")
 
 
+def _in_blocks(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the pair join on element, out, home: an element's members outside its largest component, and all of
+    its members, each dealt into blocks of about BLOCK_TEXTS; every block meets every block of the other side."""
+    parts = found.groupBy("element", "label").agg(F.count("*").alias("n"))
+    main = parts.groupBy("element").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"))
+    blocks = lambda n: F.ceil(n / BLOCK_TEXTS).cast("int")
+    main = main.select("element", F.col("top.label").alias("main"), blocks(F.col("n")).alias("homes"), blocks(F.col("n") - F.col("top.n")).alias("outs"))
+    found = found.join(main.where("outs > 0"), "element")
+    block = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "uid"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = found.where("label <> main").withColumn("out", block(1, "outs")).withColumn("home", every("homes"))
+    return left, found.withColumn("home", block(2, "homes")).withColumn("out", every("outs"))
+
+
 def _across(bags: DataFrame):
     """Every pair of texts of different components that may be similar, of all texts in buckets that hold several.
 
@@ -351,10 +368,8 @@ def _across(bags: DataFrame):
         mixed = (found.groupBy("element").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("shorter").alias("paired"))
                  .where("least <> most and paired").select("element"))
         found = written(found.join(mixed, "element"), "shared")
-        parts = found.groupBy("element", "label").agg(F.count("*").alias("n"))
-        main = parts.groupBy("element").agg(F.max(F.struct("n", "label")).alias("top")).select("element", F.col("top.label").alias("main"))
-        found = found.join(main, "element")
-        pairs = found.where("label <> main").alias("l").join(found.alias("r"), "element")
+        left, right = _in_blocks(found)
+        pairs = left.alias("l").join(right.alias("r"), ["element", "out", "home"])
         need = F.ceil(F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("l.size") + F.col("r.size")) - 1e-6)
         rest = F.least(F.col("l.size") - F.col("l.at"), F.col("r.size") - F.col("r.at"))
         pairs = pairs.where((F.col("l.label") != F.col("r.label")) & (rest >= need))

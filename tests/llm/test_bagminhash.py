@@ -134,3 +134,15 @@ def test_prefixes_name_every_similar_pair(spark):
     named = spark.createDataFrame([(1, i, i) for i in range(len(raw))], "band long, uid long, label long")
     bags = spark.createDataFrame([(i, bytearray(r)) for i, r in enumerate(raw)], "uid long, bag binary")
     assert B._across(bags)(named).count() == 0
+
+
+def test_blocks_bound_both_sides(spark):
+    n = 1500
+    rows = [(1, i, i, 100, 0, True) for i in range(n)] + [(2, i, 0, 100, 0, True) for i in range(n)]
+    found = spark.createDataFrame(rows, "element long, uid long, label long, size long, at long, shorter boolean")
+    left, right = B._in_blocks(found)
+    for side in (left, right):
+        assert side.groupBy("element", "out", "home").count().agg({"count": "max"}).first()[0] < 1.3 * B.BLOCK_TEXTS
+    pairs = left.alias("l").join(right.alias("r"), ["element", "out", "home"])
+    assert pairs.where("element = 1").selectExpr("l.uid", "r.uid").distinct().count() == (n - 1) * n
+    assert pairs.where("element = 2").isEmpty()
