@@ -42,7 +42,7 @@ BANDS, BAND_SLOTS = 25, 5
 #: Signature agreement that sends a pair to verification: 0.8 less four standard deviations.
 PLAUSIBLE = SIMILARITY - 4 * float(np.sqrt(SIMILARITY * (1 - SIMILARITY) / SLOTS))
 #: Texts whose shingles are counted, and most counts kept, to put frequent ones last. They bound no result.
-ORDER_TEXTS, ORDER_ELEMENTS = 1 << 14, 1 << 20
+ORDER_TEXTS, ORDER_ELEMENTS = 1 << 14, 1 << 18
 #: Texts of one shingle in a block: a key of the pair join has about as many on each side.
 BLOCK_TEXTS = 256
 #: Rounds that pair a bucket's members with random ones of other components.
@@ -204,7 +204,7 @@ def classes(docs: DataFrame) -> DataFrame:
     n_links (verified links of its text to different texts), and the row's key columns."""
     names = {"n_shingles": "long", "digest_a": "long", "digest_b": "long", "signature": "binary", "bands": "array<bigint>", "bag": "binary"}
     rows = docs.select("doc_id", *row_key(docs), "text")
-    rows = add_columns(rows, names, lambda batch: list(describe(batch.column("text")).values()), drop=["text"])
+    rows = add_columns(rows, names, lambda batch: list(describe(batch.column("text")).values()), drop=["text"], rows=512)
     rows = written(rows.withColumn("uid", F.monotonically_increasing_id()), "signatures")
     digest = ["digest_a", "digest_b"]
     worded = rows.where("n_shingles > 0")
