@@ -5,7 +5,7 @@ compared with every template as multisets of word bigrams: Dice = 2 * shared / (
 reach the threshold t if the sizes satisfy min / max >= t / (2 - t), so templates sorted by size are pruned by two bounds
 before anything is compared; of the rest, only those that share a bigram with the segment are scored.
 
-The templates are notices and short licence texts; ``templates`` is a parameter. Defined results. Null, empty and wordless
+The templates are notices, short forms and whole licence texts (TEMPLATES, TEXTS); ``templates`` is a parameter. Defined results. Null, empty and wordless
 texts: no match. A segment equal to several templates reports the best, ties to the first name. Very long texts are whole
 (a segment longer than the largest template's bound costs one count). Repeated rows: the same answer each. Empty table: no rows.
 """
@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +24,7 @@ from .store import add_columns
 
 THRESHOLD = 0.8
 
-# Fixed texts: notices in their usual wording.
+# Fixed texts: notices and short forms in their usual wording.
 TEMPLATES = {
     "AGPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "All-Rights-Reserved": "All rights reserved.",
@@ -44,6 +45,27 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+TEMPLATES |= {
+    "Apache-2.0-header": TEMPLATES["Apache-2.0"] + " You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    "Apache-2.0-url": TEMPLATES["Apache-2.0"] + " You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    "LGPL-2.1-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "EPL-2.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "EPL-1.0-notice": "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+}
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+       "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+for _v, _port in {"1.0": "Generic", "2.0": "Generic", "2.5": "Generic", "3.0": "Unported", "4.0": "International"}.items():
+    for _k, _name in _CC.items():
+        TEMPLATES[f"CC-{_k}-{_v}-short"] = f"Licensed under CC {_k} {_v}."
+        TEMPLATES.setdefault(f"CC-{_k}-{_v}", f"This work is licensed under a Creative Commons {_name} {_v} {_port} License.")
+for _k in ("AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+           "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense", "Zlib"):
+    TEMPLATES[f"{_k}-spdx"] = f"SPDX-License-Identifier: {_k}"
+
+#: Whole licence texts, without the copyright line of the short ones.
+TEXTS = {f"{p.stem}-text": p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
+
 _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 _BLANK = re.compile(r"\n\s*\n")
 
@@ -60,7 +82,8 @@ def dice(a: Counter, b: Counter) -> float:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD):
+    def __init__(self, templates: dict[str, str] | None = None, threshold: float = THRESHOLD):
+        templates = TEMPLATES | TEXTS if templates is None else templates
         made = sorted((bigrams(t).total(), name, bigrams(t)) for name, t in sorted(templates.items()) if bigrams(t))
         self.sizes, self.names, self.bags = [m[0] for m in made], [m[1] for m in made], [m[2] for m in made]
         self.threshold, self.ratio = threshold, threshold / (2 - threshold)
@@ -107,7 +130,7 @@ class Scanner:
         return out
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """All columns of ``docs`` but its text, with n_licences, licences (names in order, comma-joined) and best (Dice, 0 without)."""
     scanner = Scanner(templates, threshold)
 

@@ -182,3 +182,15 @@ def test_quality_odd_rows(spark):
     got = quality.score(df, f).collect()
     assert [r.base_failed for r in got] == [True] * 3 and f.threshold == quality.DEFAULT_THRESHOLD
     assert quality.score(df.limit(0), f).count() == 0
+
+
+def test_licence_wordings(spark):
+    scanner = licences.Scanner()
+    bsd = licences.TEXTS["BSD-3-Clause-text"]
+    for text, name in [("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0-short"), ("Licensed under CC BY-ND 3.0", "CC-BY-ND-3.0-short"),
+                       ("SPDX-License-Identifier: MIT", "MIT-spdx"), ("Copyright 2020 A\n\n" + bsd, "BSD-3-Clause-text"),
+                       (licences.TEXTS["GPL-3.0-text"], "GPL-3.0-text"), (licences.TEMPLATES["Apache-2.0-url"], "Apache-2.0-url")]:
+        assert name in scanner.scan(text), name
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect()]
+    lines = {x.strip() for t in texts for x in t.split("\n") if re.match(r"(Licensed|Released) under|This work is licensed|SPDX-License", x)}
+    assert lines and all(scanner.scan(x) for x in lines)
