@@ -3,10 +3,13 @@
 A text's segments (lines, paragraphs between blank lines, and the whole text) are normalised to lower-case words and
 compared with every template as multisets of word bigrams: Dice = 2 * shared / (size a + size b). A template can only
 reach the threshold t if the sizes satisfy min / max >= t / (2 - t), so templates sorted by size are pruned by two bounds
-before anything is compared; of the rest, only those that share a bigram with the segment are scored.
+before anything is compared; of the rest, only those that share a bigram with the segment are scored. The words outside
+matched segments are also compared in windows of about each template's size, so that a notice is found within a line or
+across lines; a window begins and ends with a bigram of the template.
 
-The templates are notices, short forms and whole licence texts (TEMPLATES, TEXTS); ``templates`` is a parameter. Defined results. Null, empty and wordless
-texts: no match. A segment equal to several templates reports the best, ties to the first name. Very long texts are whole
+The templates are notices, short forms and whole licence texts (TEMPLATES, TEXTS); ``templates`` is a parameter.
+
+Defined results. Null, empty and wordless texts: no match. A segment equal to several templates reports the best, ties to the first name. Very long texts are whole
 (a segment longer than the largest template's bound costs one count). Repeated rows: the same answer each. Empty table: no rows.
 """
 
@@ -114,19 +117,74 @@ class Scanner:
             return out
         lowered = text.lower()
         words_of = [_WORD.findall(line) for line in lowered.split("\n")]
-        runs, run = [], []
+        every = [x for w in words_of for x in w]
+        pieces, runs, at, begin = [], [], 0, None
         for w in [*words_of, []]:
             if w:
-                run.append(w)
-            elif run:
-                runs.append(run)
-                run = []
-        pieces = list(words_of) + [[x for w in r for x in w] for r in runs if len(r) > 1]
-        if len(runs) > 1:
-            pieces.append([x for w in words_of for x in w])
-        for words in pieces:
-            if self.least <= len(words) + 1 <= self.most and (hit := self.segment(words)):
+                begin = at if begin is None else begin
+                pieces.append((at, at + len(w)))
+                at += len(w)
+            elif begin is not None:
+                runs.append((begin, at))
+                begin = None
+        pieces = list(dict.fromkeys([*pieces, *runs, (0, len(every))]))
+        covered = []
+        for start, end in pieces:
+            if self.least <= end - start + 1 <= self.most and (hit := self.segment(every[start:end])):
                 out[hit[0]] = max(out.get(hit[0], 0.0), hit[1])
+                covered.append((start, end))
+        done = 0
+        for start, end in [*sorted(covered), (len(every), len(every))]:
+            if start > done:
+                for name, score in self.windows(every[done:start]):
+                    out[name] = max(out.get(name, 0.0), score)
+            done = max(done, end)
+        return out
+
+    def windows(self, words: list[str]) -> list[tuple[str, float]]:
+        """Templates that a stretch within ``words`` matches: stretches of about a template's word count, from one shared
+        bigram to another. Of stretches that overlap, the one that shares most counts."""
+        places: dict[int, list[int]] = {}
+        for k, pair in enumerate(zip(words, words[1:], strict=False)):
+            for i in self.holding.get(pair, ()):
+                places.setdefault(i, []).append(k)
+        found = []
+        for i, at in places.items():
+            # at least this many bigrams, of which the borders give two
+            if len(at) + 2 >= self.sizes[i] * self.ratio - 1e-9:
+                found += [(-shared, -score, self.names[i], start, end) for shared, score, start, end in self.stretches(i, at, words)]
+        taken: list[tuple[int, int]] = []
+        out = []
+        for _, score, name, start, end in sorted(found):
+            if all(end <= s or e <= start for s, e in taken):
+                taken.append((start, end))
+                out.append((name, -score))
+        return out
+
+    def stretches(self, i: int, at: list[int], words: list[str]) -> list[tuple[int, float, int, int]]:
+        """(shared, Dice, start, end) of the stretches that reach the threshold. The window slides over the places ``at``
+        of template i's bigrams with its shared count kept."""
+        bag, size, out = self.bags[i], self.sizes[i], []
+        for longest in sorted({size - 1, int(size / self.ratio) - 1}):
+            have: Counter = Counter()
+            shared, right = 0, 0
+            for left, begin in enumerate(at):
+                while right < len(at) and at[right] + 2 - begin <= longest:
+                    pair = (words[at[right]], words[at[right] + 1])
+                    have[pair] += 1
+                    shared += have[pair] <= bag[pair]
+                    right += 1
+                if right > left:
+                    end = at[right - 1] + 2
+                    borders = (("", words[begin]) in bag) + ((words[end - 1], "") in bag)
+                    score = 2 * (shared + borders) / (end - begin + 1 + size)
+                    if score >= self.threshold:
+                        out.append((shared + borders, score, begin, end))
+                    pair = (words[begin], words[begin + 1])
+                    shared -= have[pair] <= bag[pair]
+                    have[pair] -= 1
+                else:
+                    right = left + 1
         return out
 
 

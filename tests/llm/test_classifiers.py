@@ -194,3 +194,15 @@ def test_licence_wordings(spark):
     texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect()]
     lines = {x.strip() for t in texts for x in t.split("\n") if re.match(r"(Licensed|Released) under|This work is licensed|SPDX-License", x)}
     assert lines and all(scanner.scan(x) for x in lines)
+
+
+def test_licences_within_lines():
+    scanner = licences.Scanner()
+    apache = licences.TEMPLATES["Apache-2.0-header"]
+    for text, name in [("See below. Released under the MIT License. Thanks to all contributors for their work on this.", "MIT-short"),
+                       ("Copyright 2021 Acme Inc. All rights reserved.", "All-Rights-Reserved"),
+                       ("Copyright 2021 Acme Inc and its many authors over the years " + apache, "Apache-2.0-header"),
+                       ("one two three four five six seven eight nine released under\nthe MIT license and so on for a while longer", "MIT-short"),
+                       ("word " * 3000 + licences.TEXTS["MIT-text"] + " word" * 3000, "MIT-text")]:
+        assert list(scanner.scan(text)) == [name], text[:80]
+    assert scanner.scan("the license of all rights was released by the author under the stars") == {}
