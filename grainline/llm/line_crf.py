@@ -38,7 +38,11 @@ from .toxicity import logistic
 FIT_DOCUMENTS = 8000
 WINDOW = 8
 RIDGE = 1.0
-STEPS = 40
+STEPS = 30
+#: Bytes of text whose lines are handled at once (a longer document is a block of its own).
+BLOCK_BYTES = 1 << 18
+#: Files of the stored table of bins, so that a step of the fit has so many small tasks, however the documents are dealt.
+FIT_FILES = 16
 
 _SHARES = [0.0, 0.02, 0.05, 0.1, 0.25, 0.5, 0.8]
 #: Upper ends of the bins of each feature; a value above all of them has the last bin.
@@ -238,7 +242,7 @@ def minimise(value: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndar
         s, y = size * d, new_g - g
         if s @ y > 1e-10:
             past = [*past[-memory + 1:], (s, y)]
-        done = f - new < 1e-4 * max(1.0, abs(new))
+        done = f - new < 2e-4 * max(1.0, abs(new))
         x, f, g = x + s, new, new_g
         if done:
             break
@@ -250,7 +254,7 @@ def line_table(docs: DataFrame) -> DataFrame:
 
     def compute(batch: pa.RecordBatch) -> list:
         codes, weights = [], []
-        for b in scan.blocks(batch.column("text")):
+        for b in scan.blocks(batch.column("text"), BLOCK_BYTES):
             x = lines(b)
             for i, j in zip(x.first[:-1], x.first[1:], strict=True):
                 codes.append(x.codes[i:j].tobytes())
@@ -277,7 +281,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_DOCUMENTS) -> Chain:
     few = F.broadcast(spark.createDataFrame(picked, known.schema))
     # a repeated id would pass the bound: its least text stands for it
     sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(few, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-    table = written(line_table(sample), "line-bins")
+    table = written(line_table(sample.repartition(FIT_FILES)), "line-bins")
 
     def gradient(theta: np.ndarray) -> tuple[float, np.ndarray]:
         chain = Chain(theta)
@@ -315,7 +319,7 @@ def judge(docs: DataFrame, chain: Chain) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> list:
         score, n, bad = [], [], []
-        for b in scan.blocks(batch.column("text")):
+        for b in scan.blocks(batch.column("text"), BLOCK_BYTES):
             x = lines(b)
             mean, p = shared.value.quality(x)
             score.append(shared.value.calibrated(mean))
