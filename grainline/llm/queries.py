@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, bpe, langid, licences, line_crf, mixing, mtree, ngram_lm, quality, sanitise, toxicity
+from . import bagminhash, ball_codes, bpe, langid, licences, line_crf, mixing, mtree, ngram_lm, quality, sanitise, toxicity
 from .store import documents
 
 
@@ -64,6 +64,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op12_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_codes.report(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label"))
+
+
 def op13_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     held_out = langid.fold(F.col("doc_id"), 5) == 0
@@ -83,7 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
+    "op12_ball_codes": op12_ball_codes,
     "op13_line_crf": op13_line_crf,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.MIX_SQL, "op6_mtree_top5": mtree.TOP_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.MIX_SQL, "op6_mtree_top5": mtree.TOP_SQL,
+                              "op12_ball_codes": ball_codes.CODES_SQL}
