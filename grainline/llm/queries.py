@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, ball_codes, bpe, langid, licences, line_crf, mixing, mtree, ngram_lm, quality, sanitise, toxicity
+from . import bagminhash, ball_codes, bpe, interval_search, langid, licences, line_crf, mixing, mtree, ngram_lm, quality, sanitise, toxicity
 from .store import documents
 
 
@@ -64,6 +64,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_interval_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return interval_search.search(documents(spark, sf_dir).select("doc_id", "text"), items)
+
+
 def op12_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_codes.report(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label"))
 
@@ -87,9 +92,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
+    "op11_interval_search": op11_interval_search,
     "op12_ball_codes": op12_ball_codes,
     "op13_line_crf": op13_line_crf,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.MIX_SQL, "op6_mtree_top5": mtree.TOP_SQL,
-                              "op12_ball_codes": ball_codes.CODES_SQL}
+                              "op11_interval_search": interval_search.TOP_SQL, "op12_ball_codes": ball_codes.CODES_SQL}

@@ -107,9 +107,9 @@ class Words:
     first: np.ndarray    # per document, position of its first word; one entry more than documents
 
 
-def words(block: Block) -> Words:
+def words(block: Block, separator: np.ndarray = SEPARATOR) -> Words:
     """Maximal runs of bytes that are no separators, never across documents."""
-    inside = ~SEPARATOR[block.data]
+    inside = ~separator[block.data]
     n = len(inside)
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
