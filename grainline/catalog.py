@@ -971,9 +971,18 @@ def q_nth_row_third(spark, d):
 
 # ---------------------------------------------------------------- landscape pipeline
 
-def _ordered_by(alias: str, *more: str) -> str:
-    cols = [f"{alias}.{c}" for c in ("individual_rate", "plan_id", "row_key", "fips")] + list(more)
-    return ", ".join(f"{c} ASC NULLS LAST" for c in cols)
+def _ordered_by(*more: str) -> str:
+    return ", ".join(f"{c} ASC NULLS LAST" for c in ("individual_rate", "plan_id", "row_key", "fips", *more))
+
+
+def _places(ids: str, name: str, rows: str, keys: str, order: str) -> str:
+    """Each id's place in its group's ordered list, from 1."""
+    return (f"SELECT unnest(ids) AS {ids}, generate_subscripts(ids, 1) AS {name} "
+            f"FROM (SELECT list({ids} ORDER BY {order}) AS ids FROM {rows} GROUP BY {keys}) lists")
+
+
+_MARKET = "business_year, state_code, county, metal_level"
+_SHELF = f"{_MARKET}, issuer_market_place_marketing_name"
 
 
 _NUMERIC_ENROLLMENT = ("SELECT issuer_hios_id, year, county_fips, max(TRY_CAST(nullif(trim(avg_enrollment), 'NULL') AS DOUBLE)) "
@@ -1004,20 +1013,24 @@ def landscape_ctes(year: int | None, state: str = "All",
   JOIN (SELECT lpad(fips, 5, '0') AS fips, county, rating_area FROM st_rating_area_county_raw) spot
     ON spot.fips = lpad(covered.county, 5, '0')
   JOIN (SELECT * FROM st_rate{only("age = '21'")}) rt
-    ON (rt.business_year, rt.state_code, rt.issuer_id, rt.plan_id, rt.rating_area_id)
-     = (about.business_year, about.state_code, about.issuer_id, about.plan_id, spot.rating_area)"""),
-        ("ordered", f"""
-  SELECT o.*, row_number() OVER (market ORDER BY {_ordered_by('o')}) AS metal_rank,
-         row_number() OVER (shelf ORDER BY {_ordered_by('o')}) AS issuer_rank
-  FROM offers o
-  WINDOW market AS (PARTITION BY o.business_year, o.state_code, o.county, o.metal_level),
-         shelf AS (PARTITION BY o.business_year, o.state_code, o.county, o.metal_level, o.issuer_market_place_marketing_name)"""),
-        ("cheapest", """
-  SELECT business_year, state_code, county, metal_level, issuer_market_place_marketing_name AS min_issuer, individual_rate AS min_rate
-  FROM ordered WHERE metal_rank = 1"""),
-        ("benchmark", """
-  SELECT business_year, state_code, county, individual_rate AS slcsp_rate
-  FROM ordered WHERE metal_level = 'Silver' AND metal_rank = 2"""),
+    ON rt.business_year = about.business_year AND rt.state_code = about.state_code AND rt.issuer_id = about.issuer_id
+   AND rt.plan_id = about.plan_id AND rt.rating_area_id = spot.rating_area"""),
+        ("numbered", "SELECT row_number() OVER () AS offer, * FROM offers"),
+        # ranks are places in the groups' ordered lists
+        ("market_places", _places("offer", "metal_rank", "numbered", _MARKET, _ordered_by())),
+        ("shelf_places", _places("offer", "issuer_rank", "numbered", _SHELF, _ordered_by())),
+        ("ordered", """
+  SELECT numbered.* EXCLUDE (offer), metal_rank, issuer_rank
+  FROM numbered JOIN market_places USING (offer) JOIN shelf_places USING (offer)"""),
+        ("cheapest", f"""
+  SELECT {_MARKET}, first(issuer_market_place_marketing_name ORDER BY {_ordered_by()}) AS min_issuer,
+         first(individual_rate ORDER BY {_ordered_by()}) AS min_rate
+  FROM offers GROUP BY {_MARKET}"""),
+        ("benchmark", f"""
+  SELECT business_year, state_code, county, rates[2] AS slcsp_rate
+  FROM (SELECT {_MARKET}, list(individual_rate ORDER BY {_ordered_by()}) AS rates FROM offers
+        WHERE metal_level = 'Silver' GROUP BY {_MARKET}) silver
+  WHERE len(rates) > 1"""),
         ("gaps", """
   SELECT ordered.*, cheapest.min_issuer, ordered.individual_rate - cheapest.min_rate AS diff_from_min,
          ordered.individual_rate - benchmark.slcsp_rate AS diff_from_slcsp
@@ -1025,13 +1038,17 @@ def landscape_ctes(year: int | None, state: str = "All",
   JOIN cheapest USING (business_year, state_code, county, metal_level)
   LEFT JOIN benchmark USING (business_year, state_code, county)"""),
         ("seats", enrollment),
-        ("standing", f"""
-  SELECT best.business_year, best.issuer_id, best.fips, best.metal_level,
-         row_number() OVER (PARTITION BY {', '.join('best.' + k for k in ('business_year', *overall_keys))}
-                            ORDER BY {_ordered_by('best', 'seats.avg_enrollment')}) AS issuer_overall_rank,
-         seats.avg_enrollment AS issuer_avg_monthly_enrollment
-  FROM (SELECT * FROM ordered WHERE issuer_rank = 1) best
-  LEFT JOIN seats ON (seats.issuer_hios_id, seats.year, seats.county_fips) = (best.issuer_id, best.business_year, best.fips)"""),
+        ("entrants", f"""
+  SELECT row_number() OVER () AS entrant, best.*, seats.avg_enrollment
+  FROM (SELECT {_MARKET}, pick.* FROM (
+          SELECT {_SHELF}, first(struct_pack(issuer_id, plan_id, row_key, fips, individual_rate) ORDER BY {_ordered_by()}) AS pick
+          FROM offers GROUP BY {_SHELF}) shelves) best
+  LEFT JOIN seats ON seats.issuer_hios_id = best.issuer_id AND seats.year = best.business_year AND seats.county_fips = best.fips"""),
+        ("entrant_places", _places("entrant", "issuer_overall_rank", "entrants", ", ".join(("business_year", *overall_keys)),
+                                   _ordered_by("avg_enrollment"))),
+        ("standing", """
+  SELECT business_year, issuer_id, fips, metal_level, issuer_overall_rank, avg_enrollment AS issuer_avg_monthly_enrollment
+  FROM entrants JOIN entrant_places USING (entrant)"""),
     )
 
 
@@ -1071,8 +1088,8 @@ def q_landscape_ranking(spark, d):
     return portable(_run(spark, d).ranking())
 
 
-# Narrow bands cut every group into many pieces: the answer must not move.
-_SPLIT = dict(rate_band=50)
+# Small cells cut every group into many pieces: the answer must not move.
+_SPLIT = dict(cell_rows=3)
 
 
 @register("landscape_ranking_skew_split", landscape_sql(_present(
@@ -1088,7 +1105,7 @@ def q_landscape_all_years_skew_split(spark, d):
 
 @register("landscape_current_year_salted", landscape_sql(_FINAL_SELECT))
 def q_landscape_current_year_salted(spark, d):
-    # every join key of X2 is salted: the answer must not move
+    # the hot keys of X2's rate join are salted: the answer must not move
     return portable(_run(spark, d, salt_buckets=4).final())
 
 

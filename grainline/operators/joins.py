@@ -161,18 +161,47 @@ def anti(left: DataFrame, right: DataFrame, on: OnSpec) -> DataFrame:
     return join(left, right, on, "left_anti")
 
 
-def skew_join(big: DataFrame, small: DataFrame, on: OnSpec, how: str = "inner",
-              buckets: int = 32) -> DataFrame:
-    """Equi-join that spreads every key of ``big`` over ``buckets`` tasks.
+def key_hash(df: DataFrame, cols: Sequence[str]) -> Column:
+    return F.xxhash64(*[df[c] for c in cols])
+
 
-    Each row of ``big`` gets a salt from a hash of the row, deterministic under retries, and ``small`` is
-    repeated once per salt. One lazy plan at every size: use it where keys of ``big`` may be hot and
-    ``small`` times ``buckets`` is affordable; otherwise leave hot keys to AQE's run-time splitting. ``how``
-    is ``inner`` or ``left`` (``big`` is the left side); rows with NULL keys are spread like all others.
+def heavy_hitters(df: DataFrame, cols: Sequence[str], share: float = 0.01, tracked: int = 8192) -> list[int]:
+    """``xxhash64`` of the keys that hold at least ``share`` of the rows, hottest first (at most 1 / share of them).
+
+    One narrow pass with a mergeable frequent-items sketch, whose size does not grow with the number of keys: its counts
+    are too high by at most 3.5 / ``tracked`` of the rows, so no such key is missed.
+    """
+    if not 3.5 / tracked < share <= 1:
+        raise ValueError("share must be above the sketch's error, 3.5 / tracked, and at most 1")
+    most = int(1 / (share - 3.5 / tracked)) + 1
+    row = df.select(key_hash(df, cols).alias("k")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, {most}, {tracked})").alias("top")).first()
+    return [t["item"] for t in row.top or () if t["count"] >= share * row.n]
+
+
+def skew_join(big: DataFrame, small: DataFrame, on: OnSpec, how: str = "inner",
+              buckets: int = 32, hot: Sequence[int] | None = None) -> DataFrame:
+    """Equi-join that spreads the hot keys of ``big``, and only those, over ``buckets`` tasks.
+
+    ``hot``: key hashes as ``heavy_hitters`` gives them; by default they are learned from ``big`` (one narrow job).
+    Rows of ``big`` with a hot key get a salt from a hash of the row and its input partition, deterministic under retries;
+    rows of ``small`` with a hot key are repeated once per salt. All other rows join as ever: ``small`` grows by at most
+    buckets / share rows for each of its rows per key, not ``buckets``-fold. ``how`` is ``inner`` or ``left`` (``big`` is
+    the left side); rows with NULL keys are spread like others. Without a hot key this is the plain join.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports inner and left joins with the big side on the left")
     pairs = _pairs(on)
-    b = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(buckets)).cast("int"))
-    s = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    # a hash tells the type, too: only columns of equal types on both sides are hashed
+    same = [(a, b) for a, b in pairs if big.schema[a].dataType == small.schema[b].dataType]
+    if not same:
+        raise ValueError("skew_join needs a key column of one type on both sides")
+    mine, theirs = [a for a, _ in same], [b for _, b in same]
+    hot = heavy_hitters(big, mine) if hot is None else list(hot)
+    if not hot:
+        return join(big, small, on, how)
+    salt = F.pmod(F.xxhash64(*big.columns, F.spark_partition_id()), F.lit(buckets)).cast("int")
+    b = big.withColumn("__salt", F.when(key_hash(big, mine).isin(hot), salt).otherwise(F.lit(0)))
+    s = small.withColumn("__salt", F.explode(F.when(key_hash(small, theirs).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                             .otherwise(F.array(F.lit(0)))))
     return join(b, s, [*pairs, ("__salt", "__salt")], how).drop("__salt")

@@ -7,9 +7,9 @@ Two ways, by what is asked for, never by the size of the data:
   combine on the map side, so a group holding a third of all rows is one
   pre-aggregated row per task, not one giant task; the join back is broadcast by AQE
   when the per-group table is small and otherwise a shuffle join with skew splitting.
-* windows: over pre-aggregated counts (``rank_by_counts``), inside bands of a group
-  (``banded_row_number``), or trimmed to n rows per map task (``nth_row``, WindowGroupLimit), so that
-  no window task holds a whole group of rows.
+* windows: over pre-aggregated counts (``rank_by_counts``), inside cells of a group that learned splitters
+  cut (``split_row_numbers``), or trimmed to n rows per map task (``nth_row``, WindowGroupLimit), so that
+  no window task holds a whole hot group of rows.
 
 Ordering is always ascending with NULLs last (a NULL rate never wins), matching the
 PostgreSQL default the analyses were written for.
@@ -22,6 +22,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows of a group that one window task may hold before learned splitters cut the group.
+CELL_ROWS = 1_000_000
+#: Bounds of the sketch that the splitters are learned from: sampled rows in all, and sampled rows of a cell at least.
+MOST_SAMPLE, CELL_SAMPLE = 1_000_000, 32
+
 
 def _null_safe_join(df: DataFrame, stats: DataFrame, keys: Sequence[str],
                     bounded: bool = False) -> DataFrame:
@@ -161,31 +166,79 @@ def nth_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int,
             .select(*keys, *payload))
 
 
-def banded_row_number(df: DataFrame, outs: Mapping[str, Sequence[str]], order: Sequence[str],
-                      band: Column) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` for each ``out -> keys`` of ``outs``
-    (ascending, NULLs last; make the order unique), without giving a whole group to one task.
+def learn_splitters(df: DataFrame, keys: Sequence[str], order: Sequence[str], cell_rows: int,
+                    most_sample: int = MOST_SAMPLE) -> DataFrame | None:
+    """Where to cut groups with more than about ``cell_rows`` rows: ``keys`` and ``__cuts``, the ascending first
+    order keys of all cells but the first. None if no group needs a cut.
 
-    ``band`` must not decrease along the order (e.g. a rate rounded down; NULL where the first order
-    column is NULL). Groups are cut into bands: rows are numbered inside (keys, band) and shifted by the
-    row counts of the group's lower bands. One aggregation, by the last entry's keys and the band, serves all
-    ``outs``: running sums over its rows give each entry's shift, and one join brings them back. One lazy
-    plan at every size. Each entry's keys must be among the last entry's, so that all windows share one exchange.
+    The sketch is a threshold sample: the rows whose hash of the order columns is small, the same ones on every run and
+    mergeable over partitions. Every group's sample holds the same share of its rows, so each k-th sampled row in order
+    is a quantile of the group, whatever columns make the order and however many rows tie in the first of them. Two
+    short jobs: a count (from footers, if ``df`` is a stored table) and one pass over the keys and order columns. At most about
+    ``most_sample`` rows are sampled, so the cuts have a fixed bound; beyond it cells grow with the table.
+    """
+    rows = df.count()
+    if rows <= cell_rows:
+        return None
+    share = min(1.0, most_sample / rows)
+    # sampled rows of a cell; with few of them cells would vary too much in size
+    each = max(int(cell_rows * share), CELL_SAMPLE if share < 1 else 1)
+    place = F.pmod(F.xxhash64(F.lit(17), *order), F.lit(1 << 30))
+    sample = df.select(*keys, order_struct(order, ()).alias("__o")).where(place < F.lit(int(share * (1 << 30))))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("__o"))
+    # the group's first sampled row of every cell but the first
+    cuts = (sample.withColumn("__n", nth).where((F.col("__n") > each) & (F.col("__n") % each == (1 % each)))
+            .groupBy(*keys).agg(F.sort_array(F.collect_list("__o")).alias("__cuts")))
+    found = cuts.collect()
+    return df.sparkSession.createDataFrame(found, cuts.schema) if found else None
+
+
+def _cell(cuts: Column, here: Column, most: int) -> Column:
+    """How many cuts are at or below ``here``: binary search, in as many steps as ``most`` cuts need."""
+    def step(at: Column, _: Column) -> Column:
+        middle = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        below = F.get(cuts, middle) <= here
+        return F.when(at["lo"] >= at["hi"], at).otherwise(F.struct(
+            F.when(below, middle + 1).otherwise(at["lo"]).cast("int").alias("lo"),
+            F.when(below, at["hi"]).otherwise(middle).cast("int").alias("hi")))
+
+    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+    rounds = F.sequence(F.lit(1), F.lit(most.bit_length()))
+    return F.when(cuts.isNull(), F.lit(0)).otherwise(F.aggregate(rounds, start, step)["lo"])
+
+
+def split_row_numbers(df: DataFrame, outs: Mapping[str, Sequence[str]], order: Sequence[str],
+                      cell_rows: int = CELL_ROWS, most_sample: int = MOST_SAMPLE) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` for each ``out -> keys`` of ``outs`` (ascending,
+    NULLs last; make the order unique), with groups above ``cell_rows`` rows cut into cells of the whole order.
+
+    ``df`` is read more than once: give a stored table. The first entry's keys must be among every other's; its groups
+    are cut by learned splitters, so a group with a third of all rows spreads over many tasks even if all of them tie in
+    the first order column. Rows are numbered inside (keys, cell), then shifted by the rows of the group's lower cells:
+    prefix sums over one pre-aggregated row a (group, cell), of cut groups only. All windows share one exchange.
     """
-    *_, finest = outs.values()
-    if any(not set(keys) <= set(finest) for keys in outs.values()):
-        raise ValueError("the last entry's keys must include all others'")
+    first = list(next(iter(outs.values())))
+    if any(not set(first) <= set(keys) for keys in outs.values()):
+        raise ValueError("the first entry's keys must be among every other entry's")
     order_cols = [F.col(c).asc_nulls_last() for c in order]
-    out = df.withColumn("__band", band)
-    shifts = out.groupBy(*finest, "__band").agg(F.count(F.lit(1)).alias("__n"))
-    for i, keys in enumerate(outs.values()):
-        # rows in bands up to this one, less those of this band
-        upto = F.sum("__n").over(Window.partitionBy(*keys).orderBy(F.col("__band").asc_nulls_last())
-                                 .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-        shifts = shifts.withColumn(f"__s{i}", upto - F.sum("__n").over(Window.partitionBy(*keys, "__band")))
+    splitters = learn_splitters(df, first, order, cell_rows, most_sample)
+    if splitters is None:
+        for name, keys in outs.items():
+            w = Window.partitionBy(*keys).orderBy(*order_cols)
+            df = df.withColumn(name, F.row_number().over(w).cast("bigint"))
+        return df
+    most = splitters.agg(F.max(F.size("__cuts"))).first()[0]
+    # the cuts have a fixed bound (MOST_SAMPLE / CELL_SAMPLE)
+    cells = _null_safe_join(df, splitters, first, bounded=True).withColumn(
+        "__cell", _cell(F.col("__cuts"), order_struct(order, ()), most)).withColumn("__cut", F.col("__cuts").isNotNull()).drop("__cuts")
+    out = cells
+    for name, keys in outs.items():
+        w = Window.partitionBy(*keys, "__cell").orderBy(*order_cols)
+        out = out.withColumn(name, F.row_number().over(w).cast("bigint"))
     for name, keys in outs.items():
-        out = out.withColumn(name, F.row_number().over(Window.partitionBy(*keys, "__band").orderBy(*order_cols)).cast("bigint"))
-    out = _null_safe_join(out, shifts.drop("__n"), [*finest, "__band"])
-    for i, name in enumerate(outs):
-        out = out.withColumn(name, F.col(name) + F.col(f"__s{i}"))
-    return out.drop("__band", *[f"__s{i}" for i in range(len(outs))])
+        sizes = cells.where("__cut").groupBy(*keys, "__cell").agg(F.count(F.lit(1)).alias("__n"))
+        lower = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+        shift = sizes.select(*keys, "__cell", F.sum("__n").over(lower).alias("__s")).where(F.col("__s") > 0)
+        out = _null_safe_join(out, shift, [*keys, "__cell"])
+        out = out.withColumn(name, F.col(name) + F.coalesce("__s", F.lit(0))).drop("__s")
+    return out.drop("__cell", "__cut")

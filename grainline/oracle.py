@@ -146,9 +146,9 @@ def _order(names) -> list[str]:
 
 
 def sql(body: str, *standins: str, ctes: tuple[tuple[str, str], ...] = ()) -> str:
-    """``WITH <stand-ins>, <ctes> <body>``."""
+    """``WITH <stand-ins>, <ctes> <body>``; each of ``ctes`` is computed once, however often it is named."""
     parts = [f"{n} AS ({STANDINS[n][1]}\n)" for n in _order(standins)]
-    parts += [f"{n} AS ({text}\n)" for n, text in ctes]
+    parts += [f"{n} AS MATERIALIZED ({text}\n)" for n, text in ctes]
     if not parts:
         return body.strip()
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()

@@ -7,10 +7,12 @@ Steps (each a function, DataFrame in / DataFrame out):
   X2 summary        rates -> plan attributes -> service areas -> county map; age 21,
                     base variants, individual market, parameters as literals
   X3 ranking        metal_rank and issuer_rank row numbers (one exchange for both)
+                    from here on steps read X2's stored rows
   X4 min_metal      cheapest plan per county and metal level
   X5 slcsp          second-lowest Silver rate per county (the benchmark)
   X6 diffs          every ranked row with its distance to X4 and X5
   X7 overall_rank   each issuer's cheapest plan ranked across issuers, + enrollment
+                    (the winners, with their enrollment, are stored before they are ranked)
   X8 landscape      X3 joined to X7, X0 and the parent-company map: 21 columns
 
 ``business_year`` is part of every partition and join key, so the same code builds
@@ -20,15 +22,18 @@ then by ``tie_break`` columns, which must make the order unique.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..operators import coverage, joins, lookups
 from ..operators import rank as rank_op
+from ..sources import sink
+from ..sources.steps import Steps
 from .params import Params
 
 RATE = "individual_rate"
@@ -72,16 +77,12 @@ class Options:
     only_missing_enrollment: bool = False
     parent_name: str | None = None
     carry: Sequence[str] = field(default_factory=lambda: ["row_key"])
-    # Width of the rate bands that a ranked group is cut into (operators.rank.banded_row_number).
-    rate_band: int = 500
-    # Spread X2's rate join over so many salts (operators.joins.skew_join); None leaves hot keys to AQE.
+    # Groups with more rows than this are cut by learned splitters before they are numbered (operators.rank).
+    cell_rows: int = rank_op.CELL_ROWS
+    # Spread hot keys of X2's rate join over so many salts (operators.joins.skew_join); None leaves them to AQE.
     salt_buckets: int | None = None
 
 
-def _band(opts: Options) -> Column:
-    return F.floor(F.col(RATE) / F.lit(opts.rate_band))
-
-
 def fips_ra(inp: Inputs) -> DataFrame:
     return lookups.distinct_lookup(inp.zip_rating_area, ["fips", "state", "rate_area"])
 
@@ -138,12 +139,12 @@ RANK_KEYS = ["business_year", "state_code", "county", "metal_level"]
 
 
 def ranking(summ: DataFrame, opts: Options | None = None) -> DataFrame:
-    """metal_rank and issuer_rank. Groups are cut into rate bands, so that no window task holds a whole
-    group; both row numbers share one exchange, as the issuer window's keys are a superset."""
+    """metal_rank and issuer_rank of X2's rows (give them stored). Both row numbers share one exchange, as the issuer
+    window's keys are a superset; groups above ``cell_rows`` rows are cut, so that no window task holds a hot one."""
     opts = opts or Options()
-    return rank_op.banded_row_number(
+    return rank_op.split_row_numbers(
         summ, {"metal_rank": RANK_KEYS, "issuer_rank": [*RANK_KEYS, ISSUER_NAME]},
-        [RATE, *opts.tie_break], _band(opts))
+        [RATE, *opts.tie_break], opts.cell_rows)
 
 
 def min_metal(rank: DataFrame) -> DataFrame:
@@ -187,8 +188,8 @@ def winners(summ: DataFrame, opts: Options | None = None) -> DataFrame:
                            ["issuer_id", *opts.tie_break, RATE])
 
 
-def overall_rank(best: DataFrame, inp: Inputs, opts: Options | None = None) -> DataFrame:
-    """``best``: the winners, or a ranking (X3) to take them from."""
+def entrants(best: DataFrame, inp: Inputs, opts: Options | None = None) -> DataFrame:
+    """The rows that X7 ranks: winners (or those of a ranking, X3) with their enrollment."""
     opts = opts or Options()
     if "issuer_rank" in best.columns:
         best = best.where(F.col("issuer_rank") == 1)
@@ -196,20 +197,24 @@ def overall_rank(best: DataFrame, inp: Inputs, opts: Options | None = None) -> D
     j = best.join(enr, (best.issuer_id == enr.issuer_hios_id)
                   & (best.business_year == enr.year)
                   & (enr.county_fips == best.fips), "left")
-    # the enrollment orders the copies that duplicate enrollment rows make of a winner
-    # (winners are pre-aggregated: a group has a row per issuer selling there, whatever the number of rates)
-    order = [F.col(c).asc_nulls_last() for c in (RATE, *opts.tie_break, "avg_enrollment")]
-    place = Window.partitionBy("business_year", *opts.overall_keys).orderBy(*order)
-    ranked = j.withColumn("issuer_overall_rank", F.row_number().over(place).cast("bigint"))
+    return j.select("business_year", "state_code", "county", "metal_level", "issuer_id", "fips", RATE,
+                    *[c for c in opts.tie_break if c != "fips"], "avg_enrollment")
+
+
+def overall_rank(rows: DataFrame, opts: Options | None = None) -> DataFrame:
+    """``rows``: the entrants (give them stored). The enrollment orders the copies that duplicate enrollment rows make of a
+    winner. A (county name, metal level) with very many winners is cut like X3's groups."""
+    opts = opts or Options()
+    ranked = rank_op.split_row_numbers(rows, {"issuer_overall_rank": ["business_year", *opts.overall_keys]},
+                                       [RATE, *opts.tie_break, "avg_enrollment"], opts.cell_rows)
     return ranked.select("business_year", "issuer_id", "fips", "metal_level",
                          "issuer_overall_rank",
                          F.col("avg_enrollment").alias("issuer_avg_monthly_enrollment"))
 
 
-def final(rank: DataFrame, inp: Inputs, opts: Options | None = None, best: DataFrame | None = None) -> DataFrame:
-    """``best``: the winners, if at hand; else they are taken from ``rank``."""
+def final(rank: DataFrame, o: DataFrame, inp: Inputs, opts: Options | None = None) -> DataFrame:
+    """``rank``: X3; ``o``: X7."""
     opts = opts or Options()
-    o = overall_rank(rank if best is None else best, inp, opts)
     # Counties x rating areas: bounded by geography.
     f = F.broadcast(fips_ra(inp).select(F.col("fips").alias("f_fips"),
                                         F.col("state").alias("f_state"), "rate_area"))
@@ -231,19 +236,24 @@ def final(rank: DataFrame, inp: Inputs, opts: Options | None = None, best: DataF
 
 
 class Landscape:
-    """The chain's steps for one set of inputs and parameters, all lazy::
+    """The chain's steps for one set of inputs and parameters::
 
-        Landscape(inputs, Params(2024, "TX")).final().write.parquet(...)
+        with Steps(spark) as steps:                                   # or Landscape(...).write(path)
+            Landscape(inputs, Params(2024, "TX"), steps=steps).final().write.parquet(...)
 
-    Nothing is cached: shared parts (X2's join, X3's exchange) appear once in a plan, as Spark reuses
-    equal exchanges.
+    X2 is a step boundary: its rows are stored once, so the rate table is scanned and joined once however many steps
+    follow, and a run that fails later goes on from there (``steps`` with the same run id). X7's entrants are stored,
+    too. Frames read the stored rows; release the steps when they are done.
     """
 
-    def __init__(self, inp: Inputs, params: Params, opts: Options | None = None):
+    def __init__(self, inp: Inputs, params: Params, opts: Options | None = None, steps: Steps | None = None):
         self.inp, self.params, self.opts = inp, params, opts or Options()
+        self.steps = steps or Steps(inp.rate.sparkSession)
+        # a run may hold the steps of several parameters
+        self._tag = hashlib.sha1(repr((params, self.opts)).encode()).hexdigest()[:12]
 
     def summary(self) -> DataFrame:
-        return summary(self.inp, self.params, self.opts)
+        return self.steps.table(f"summary-{self._tag}", lambda: summary(self.inp, self.params, self.opts))
 
     def ranking(self) -> DataFrame:
         return ranking(self.summary(), self.opts)
@@ -252,8 +262,14 @@ class Landscape:
         return diffs(self.ranking())
 
     def overall_rank(self) -> DataFrame:
-        return overall_rank(winners(self.summary(), self.opts), self.inp, self.opts)
+        rows = self.steps.table(f"entrants-{self._tag}",
+                                lambda: entrants(winners(self.summary(), self.opts), self.inp, self.opts))
+        return overall_rank(rows, self.opts)
 
     def final(self) -> DataFrame:
-        summ = self.summary()
-        return final(ranking(summ, self.opts), self.inp, self.opts, winners(summ, self.opts))
+        return final(self.ranking(), self.overall_rank(), self.inp, self.opts)
+
+    def write(self, path: str, mode: str = "replace") -> None:
+        """The final table into the partitioned sink. Stored steps are released after success and kept after a failure."""
+        with self.steps:
+            sink.write_partitioned(self.final(), path, mode)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean
 from . import tables
+from .steps import file_system
 
 # Fixed values of the stand-in mapping (FIXTURES.md §C), in index order.
 METAL_BY_K = ["Expanded Bronze", "Bronze", "Silver", "Silver", "Gold", "Platinum",
@@ -259,17 +260,12 @@ STANDIN_VERSION = 2
 PARTITION_BY_YEAR = {"st_rate", "st_plan_attr", "st_service_area", "st_t0a"}
 
 
-def _file_system(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Of the tables that the stand-ins read: every file's size and time, as their file system reports them."""
     import hashlib
     h = hashlib.sha1(f"{STANDIN_VERSION}|{sf_dir.rstrip('/')}".encode())
     for name in sorted(tables.CONTRACTS):
-        path, fs = _file_system(spark, tables.table_path(sf_dir, name))
+        path, fs = file_system(spark, tables.table_path(sf_dir, name))
         if not fs.exists(path):
             continue
         for f in [fs.getFileStatus(path)] if fs.getFileStatus(path).isFile() else sorted(fs.listStatus(path), key=lambda x: x.getPath().getName()):
@@ -282,7 +278,7 @@ def materialized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     built on first use and read (with pushdown and pruning) afterwards."""
     from ..session import checkpoint_dir
     path = f"{checkpoint_dir(spark).rstrip('/')}/grainline_standins/{_fingerprint(spark, sf_dir)}/{name}"
-    done, fs = _file_system(spark, f"{path}/_SUCCESS")
+    done, fs = file_system(spark, f"{path}/_SUCCESS")
     schema = _SCHEMAS.get(path)
     if not fs.exists(done):
         df = build(spark, sf_dir, name)

@@ -80,3 +80,51 @@ def test_skew_join_equals_plain_join(spark):
         got = joins.skew_join(big, small, ["k"], how, buckets=8)
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
         assert got.count() == want.count()
+
+
+def test_only_hot_keys_are_salted(spark):
+    n = 20_000
+    big = spark.range(n).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") + 100).alias("k"),
+                                (F.col("id") % 5).alias("v"))
+    small = spark.range(6_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    hot = joins.heavy_hitters(big, ["k"])
+    assert len(hot) == 2                                        # key 7 and NULL, a third of the rows each
+    for how in ("inner", "left"):
+        want, got = joins.join(big, small, ["k"], how), joins.skew_join(big, small, ["k"], how, buckets=16)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and got.count() == want.count()
+    # the small side grows by its rows with a hot key only, not by the number of salts
+    got = joins.skew_join(big, small, ["k"], buckets=16, hot=hot)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        loads = {r.p: r.n for r in joins.skew_join(big, small, ["k"], buckets=16, hot=hot).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()}
+        plain = {r.p: r.n for r in joins.join(big, small, ["k"]).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "__salt" in plan
+    # one task held all joined rows of the hot key; now no task holds half of them
+    assert max(plain.values()) >= n // 3 and max(loads.values()) < n // 6
+    none = spark.range(1000).select(F.col("id").alias("k"))
+    assert joins.heavy_hitters(none, ["k"]) == [] and "__salt" not in joins.skew_join(none, small, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert joins.heavy_hitters(none.limit(0), ["k"]) == []
+    with pytest.raises(ValueError):
+        joins.skew_join(none, small.withColumn("k", F.col("k").cast("string")), ["k"])
+
+
+def test_hot_plan_in_the_rate_join(spark, sf_small):
+    """X2 with one plan on a third of the rate rows: the same rows with its key salted."""
+    from grainline import catalog
+    from grainline.plans import landscape as ls
+    inp = catalog.Src(spark, sf_small).inputs()
+    plan = inp.rate.where((F.col("business_year") == catalog.YEAR) & (F.col("age") == "21")).orderBy("row_key").first().plan_id
+    n = inp.rate.count()
+    more = inp.rate.where((F.col("plan_id") == plan) & (F.col("age") == "21")).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(400))))
+    more = more.withColumn("row_key", F.concat("row_key", F.lit("/"), "copy")).drop("copy")
+    inp.rate = inp.rate.unionByName(more)
+    assert inp.rate.count() > 1.2 * n
+    salted = ls.summary(inp, catalog.Params(catalog.YEAR), ls.Options(salt_buckets=8))
+    assert "__salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+    want = ls.summary(inp, catalog.Params(catalog.YEAR))
+    assert salted.count() == want.count() and salted.exceptAll(want).count() == 0

@@ -1,3 +1,4 @@
+import contextlib
 from decimal import Decimal
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from grainline import catalog
 from grainline.plans import landscape as ls
 from grainline.plans.params import Params
+from grainline.sources.steps import LIVE, Steps, file_system, release_all
 
 FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython",
              "ArrowEvalPython", "FlatMapGroupsInPandas")
@@ -86,14 +88,14 @@ def test_tiny_landscape(tiny):
 
 def test_duplicate_enrollment_takes_the_largest_number(tiny):
     rk = ls.ranking(ls.summary(tiny, Params(2024)))
-    o = [r for r in ls.overall_rank(rk, tiny).collect() if r.metal_level == "Silver"]
+    o = [r for r in ls.overall_rank(ls.entrants(rk, tiny)).collect() if r.metal_level == "Silver"]
     assert sorted(r.issuer_overall_rank for r in o if r.fips == "01001") == [1, 2]
-    best = ls.overall_rank(ls.winners(ls.summary(tiny, Params(2024))), tiny)
-    assert sorted(best.collect(), key=str) == sorted(ls.overall_rank(rk, tiny).collect(), key=str)
+    best = ls.overall_rank(ls.entrants(ls.winners(ls.summary(tiny, Params(2024))), tiny))
+    assert sorted(best.collect(), key=str) == sorted(ls.overall_rank(ls.entrants(rk, tiny)).collect(), key=str)
     # '9' and '10' as numbers; a number beats the sentinel; only a sentinel is NULL
     assert {(r.issuer_id, r.fips): r.issuer_avg_monthly_enrollment for r in o} == {
         (1, "01001"): 10.0, (1, "01003"): 7.0, (2, "01001"): None}
-    written = [r for r in ls.overall_rank(rk, tiny, ls.Options(enrollment="as_written")).collect() if r.metal_level == "Silver"]
+    written = [r for r in ls.overall_rank(ls.entrants(rk, tiny, ls.Options(enrollment="as_written"))).collect() if r.metal_level == "Silver"]
     # the raw rows repeat issuer 1's winner and push issuer 2 down
     assert sorted((r.issuer_overall_rank, r.issuer_avg_monthly_enrollment) for r in written if r.fips == "01001") == [
         (1, "10"), (2, "9"), (3, "NULL")]
@@ -142,14 +144,83 @@ def test_ranking_windows_share_one_exchange(spark, sf_small):
     assert not any("Exchange" in line for line in lines[idx[0]:idx[1]])
 
 
-def test_no_step_runs_a_job_before_an_action(spark, sf_small):
-    inputs = catalog.Src(spark, sf_small).inputs()
-    spark.sparkContext.setJobGroup("lazy", "lazy")
-    run = ls.Landscape(inputs, Params(None, "All"))
-    for step in (run.summary, run.ranking, run.diffs, run.overall_rank, run.final):
-        step()
-    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")) == []
-    spark.sparkContext._jsc.sc().clearJobGroup()
+@contextlib.contextmanager
+def _largest_input(spark):
+    """Plans as they are when no side may be broadcast for its size, and nothing is planned anew at run time."""
+    for k, v in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(k, v)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_rates_are_scanned_once_and_later_steps_read_stored_rows(spark, sf_small):
+    run = catalog._run(spark, sf_small)
+    with _largest_input(spark):
+        x2 = _plan(ls.summary(run.inp, run.params, run.opts))
+        plans = {"ranking": _plan(run.ranking()), "overall_rank": _plan(run.overall_rank()), "final": _plan(run.final())}
+    scans = lambda plan, table: sum(table in line for line in plan.splitlines() if "FileScan" in line)
+    assert scans(x2, "st_rate/") + scans(x2, "st_rate]") == 1
+    for name, plan in plans.items():
+        assert "st_rate" not in plan.replace("st_rating", ""), name
+        assert "grainline-steps" in plan, name
+    exchanges = {name: plan.count("Exchange hashpartitioning") for name, plan in plans.items()}
+    # one for X3's windows; X7 reads its stored entrants; the final join's four sides, and the distinct of X0
+    assert exchanges["ranking"] == 1 and exchanges["overall_rank"] == 1 and exchanges["final"] <= 7
+    assert plans["final"].count("SortMergeJoin") == 2
+
+
+def test_a_failed_run_goes_on_from_its_stored_steps(spark, tiny, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    want = sorted(ls.Landscape(tiny, Params(2024)).final().collect(), key=str)
+    built, plain = [], ls.summary
+    monkeypatch.setattr(ls, "summary", lambda *a: built.append(1) or plain(*a))
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ls, "final", broken)
+    run = Steps(spark, "recovery-test")
+    with pytest.raises(RuntimeError):
+        ls.Landscape(tiny, Params(2024), steps=run).write(path)
+    folder, fs = file_system(spark, run.root)
+    assert built == [1] and fs.exists(folder) and "recovery-test" in LIVE
+    # an unfinished table is not taken over
+    unfinished, _ = file_system(spark, f"{run.root}/{[k for k in run._tables if k.startswith('entrants')][0]}/_SUCCESS")
+    fs.delete(unfinished, False)
+    monkeypatch.undo()
+    monkeypatch.setattr(ls, "summary", lambda *a: built.append(2) or plain(*a))
+    again = Steps(spark, "recovery-test")                       # as a new process would name it
+    ls.Landscape(tiny, Params(2024), steps=again).write(path)
+    assert built == [1]                                         # X2 was not computed a second time
+    back = spark.read.parquet(path).select(*ls.FINAL_COLUMNS).collect()
+    assert sorted(back, key=str) == want
+    assert not fs.exists(folder) and "recovery-test" not in LIVE
+
+
+def test_views_end_with_their_run(spark):
+    with Steps(spark) as run:
+        run.view("grainline_step_view", lambda: spark.range(3).toDF("x"))
+        assert spark.sql("SELECT sum(x) FROM grainline_step_view").first()[0] == 3
+        calls = []
+        assert run.table("grainline_step_view", lambda: calls.append(1)).count() == 3 and not calls
+    assert not spark.catalog.tableExists("grainline_step_view")
+    Steps(spark).table("x", lambda: spark.range(1))
+    release_all()
+    assert not LIVE
+
+
+def test_x7_cuts_a_hot_group(spark, tiny):
+    rows = spark.range(3000).select(
+        F.lit(2024).alias("business_year"), F.lit("AA").alias("state_code"), F.when(F.col("id") % 3 == 0, F.lit("Hot")).otherwise(F.concat(F.lit("C"), F.col("id") % 50)).alias("county"),
+        F.lit("Silver").alias("metal_level"), F.col("id").alias("issuer_id"), F.col("id").cast("string").alias("fips"), F.lit(7).alias(ls.RATE),
+        F.lit("p").alias("plan_id"), F.col("id").cast("string").alias("row_key"), F.lit(1.0).alias("avg_enrollment"))
+    cut = ls.overall_rank(rows, ls.Options(cell_rows=100))
+    whole = ls.overall_rank(rows)
+    assert sorted(cut.collect(), key=str) == sorted(whole.collect(), key=str)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "row_number()" in line]
+    assert windows and all("__cell" in line for line in windows)
 
 
 def test_small_lookups_are_broadcast_and_rows_are_not_shuffled_for_them(spark, sf_small):

@@ -2,6 +2,7 @@ from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -110,21 +111,37 @@ def _plain_numbers(df, keys):
     return {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
 
 
-def test_banded_row_number_equals_window(spark):
+def test_split_row_numbers_equal_windows(spark):
     df = _rn_frame(spark)
-    # one band, some bands, a band for every rate: always the same numbers, and no job before an action
-    for width in (10_000, 60, 1):
-        out = rank.banded_row_number(df, {"rn": ["g"], "fine": ["g", "metal"]}, ["rate", "id"],
-                                     F.floor(F.col("rate") / width)).collect()
+    # no cut, a few cells, a cell a row; from the whole table and from a sample
+    for cell_rows, sample in ((10_000, 10_000), (60, 10_000), (7, 10_000), (1, 10_000), (40, 200)):
+        out = rank.split_row_numbers(df, {"rn": ["g"], "fine": ["g", "metal"], "by_rate": ["g", "rate"]}, ["rate", "id"], cell_rows, sample).collect()
+        assert len(out) == 400
         assert {r.id: r.rn for r in out} == _plain_numbers(df, ["g"])
         assert {r.id: r.fine for r in out} == _plain_numbers(df, ["g", "metal"])
-
-
-def test_banded_windows_never_hold_a_hot_group(spark):
-    out = rank.banded_row_number(_rn_frame(spark), {"rn": ["g"]}, ["rate", "id"], F.floor(F.col("rate") / 50))
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    rows = [line for line in plan.splitlines() if "row_number()" in line]
-    assert rows and all("__band" in line for line in rows)
+        assert {r.id: r.by_rate for r in out} == _plain_numbers(df, ["g", "rate"])
+    empty = rank.split_row_numbers(df.limit(0), {"rn": ["g"]}, ["rate", "id"], 1)
+    assert empty.count() == 0 and "rn" in empty.columns
+    with pytest.raises(ValueError):
+        rank.split_row_numbers(df, {"rn": ["g", "metal"], "coarse": ["g"]}, ["rate", "id"])
+
+
+@pytest.mark.parametrize("most_sample", [100_000, 4_000])
+def test_a_hot_group_at_one_rate_spreads_over_many_cells(spark, most_sample):
+    n = 30_000                                                  # a third of the rows in one group, all at one rate
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 100)).alias("g"),
+                               F.lit("Silver").alias("metal"), F.lit(Decimal(5)).cast("decimal(12,2)").alias("rate"), F.col("id"))
+    cuts = {r.g: len(r["__cuts"]) for r in rank.learn_splitters(df, ["g"], ["rate", "id"], 500, most_sample).collect()}
+    assert set(cuts) == {"hot"} and cuts["hot"] >= 8
+    out = rank.split_row_numbers(df, {"rn": ["g"]}, ["rate", "id"], 500, most_sample)
+    assert out.where(F.col("rn") != F.when(F.col("g") == "hot", F.floor(F.col("id") / 3) + 1).otherwise(F.col("rn"))).count() == 0
+    assert out.groupBy("g").agg((F.max("rn") - F.count("*")).alias("d"), F.count_distinct("rn").alias("k"), F.count("*").alias("n")).where("d <> 0 OR k <> n").count() == 0
+    # every window over rows is inside a cell, and the largest cell holds a small part of the group
+    windows = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "row_number()" in line]
+    assert windows and all("__cell" in line for line in windows)
+    cut = rank.learn_splitters(df, ["g"], ["rate", "id"], 500, most_sample)
+    cells = df.join(cut, "g").withColumn("c", rank._cell(F.col("__cuts"), rank.order_struct(["rate", "id"], ()), cuts["hot"]))
+    assert cells.groupBy("c").count().agg(F.max("count")).first()[0] < n / 3 / 4
 
 
 def test_rank_by_counts_equals_windows(spark):
