@@ -8,6 +8,7 @@ money (decimal) leaves as double and dates as ISO text, in Spark and in the SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,9 @@ from . import oracle
 from .functions import clean
 from .operators import coverage, joins, lookups, pivot, profile, rank
 from .plans import landscape as ls
+from .plans import refresh
 from .plans.params import Params
-from .sources import sink, standins, tables
+from .sources import published, sink, standins, tables
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -1239,6 +1241,28 @@ def q_sink_pruned_read(spark, d):
     return sink.read_partitioned(spark, path, YEAR, STATE).select(*ls.FINAL_COLUMNS)
 
 
+@register("published_read", landscape_sql(f"SELECT * FROM ({_FINAL_SELECT}) x WHERE state_code = '{STATE}'", year=None))
+def q_published_read(spark, d):
+    """All years published whole, one year's partitions then replaced, one state read from the current manifest."""
+    table = published.Published(spark, sink.shared_path(spark, "landscape_published", d))
+    table.publish(_run(spark, d, year=None).final())
+    table.publish(_run(spark, d).final(), [{"business_year": YEAR}])
+    return portable(table.read(state_code=STATE))
+
+
+@register("landscape_refreshed", landscape_sql(_FINAL_SELECT, year=None))
+def q_landscape_refreshed(spark, d):
+    """A landscape published from older rates of one year and without another year's plans, then refreshed: whole again."""
+    inp = _run(spark, d).inp
+    older = replace(inp, rate=inp.rate.withColumn("individual_rate", F.when(
+        F.col("business_year") == YEAR, F.col("individual_rate") + 1).otherwise(F.col("individual_rate")).cast(inp.rate.schema["individual_rate"].dataType)),
+        plan=inp.plan.where(F.col("business_year") != YEAR - 1))
+    path = sink.shared_path(spark, "landscape_refreshed", d)
+    refresh.refresh(older, Params(None), path)
+    refresh.refresh(inp, Params(None), path)
+    return portable(published.Published(spark, path).read())
+
+
 def queries() -> dict[str, Builder]:
     return {k: fn for k, (fn, _) in REGISTRY.items()}
 
