@@ -22,6 +22,7 @@ from .plans import landscape as ls
 from .plans import refresh
 from .plans.params import Params
 from .sources import published, sink, standins, tables
+from .sources.steps import Steps
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -745,7 +746,7 @@ def q_sa_expanded_state(spark, d):
 def q_lookup_temp_table(spark, d):
     """The lookup stored once, then read by SQL text through its temp view."""
     look = lookups.distinct_lookup(Src(spark, d).zip_ra, ["fips", "state", "rate_area"])
-    lookups.temp_table(look, "fips_ra_lookup", sink.shared_path(spark, "fips_ra_lookup", d))
+    lookups.temp_table(look, "fips_ra_lookup", Steps(spark))
     return spark.sql("SELECT rate_area, count(*) AS places FROM fips_ra_lookup GROUP BY rate_area")
 
 

@@ -6,16 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from ..sources.steps import Steps
+
 
 def distinct_lookup(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct rows of ``cols``, lazily."""
     return df.select(*cols).distinct()
 
 
-def temp_table(df: DataFrame, name: str, path: str) -> DataFrame:
-    """Compute ``df`` once, store it at ``path`` (shared storage) and register it as the session temp view
-    ``name``, so that later SQL text reads the stored rows and not the query behind them."""
-    df.write.mode("overwrite").parquet(path)
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    stored.createOrReplaceTempView(name)
-    return stored
+def temp_table(df: DataFrame, name: str, steps: Steps) -> DataFrame:
+    """Compute ``df`` once and register its stored rows as the session temp view ``name``, so that later SQL text reads
+    them and not the query behind them. Rows and view last until ``steps`` are released."""
+    return steps.view(name, lambda: df)

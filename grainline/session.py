@@ -2,8 +2,7 @@
 
 Library code never creates a session; it takes the caller's. ``local_session`` is
 for tests and ``bench.py`` only. ``checkpoint_dir`` reads the cluster's shared
-``spark.checkpoint.dir`` and only falls back to a scratch folder when it is unset
-(local runs).
+``spark.checkpoint.dir`` and only gives a session on a local master a scratch folder when it is unset.
 """
 
 from __future__ import annotations
@@ -31,7 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "grainline") -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "8g"))
+               .config("spark.driver.memory", "8g")
+               .config("spark.checkpoint.dir", scratch_dir()))
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -40,24 +40,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def scratch_dir() -> str:
+    """A new local folder, for sessions on a local master only."""
+    return tempfile.mkdtemp(prefix="grainline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names (``spark.checkpoint.dir``, or the
-    SparkContext's checkpoint directory); a scratch folder only when neither is set."""
+    """The shared folder that the cluster names (``spark.checkpoint.dir``, or the SparkContext's checkpoint directory).
+    A session on a local master that names none gets a scratch folder, as its context's checkpoint directory."""
     current = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-        sc_dir = sc.getCheckpointDir()
-    except Exception:  # noqa: BLE001  (remote sessions manage this themselves)
-        sc, sc_dir = None, None
-    if not current and sc_dir:
-        current = sc_dir
+    sc = spark.sparkContext
+    if not current:
+        current = sc.getCheckpointDir()
     if not current:
-        master = spark.conf.get("spark.master", "local")
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             # a machine-local folder is invisible to executors on other hosts
             raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
-        current = tempfile.mkdtemp(prefix="grainline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    if sc is not None and sc_dir is None:
+        current = scratch_dir()
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current

@@ -13,16 +13,19 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    from grainline.session import DEFAULT_CONF, checkpoint_dir
+    from grainline.session import DEFAULT_CONF, checkpoint_dir, scratch_dir
+    from grainline.sources.steps import release_all
     b = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
-         .config("spark.driver.memory", "4g"))
+         .config("spark.driver.memory", "4g")
+         .config("spark.checkpoint.dir", scratch_dir()))
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)
     yield s
+    release_all()
     s.stop()
 
 
