@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 
 from . import oracle
 from .functions import clean
-from .operators import coverage, joins, lookups, pivot, profile, rank
+from .operators import coverage, joins, keys, lookups, pivot, profile, rank
 from .plans import landscape as ls
 from .plans import refresh
 from .plans.params import Params
@@ -322,6 +323,47 @@ def q_grain_report(spark, d):
     return profile.grain_report(Src(spark, d).rate, GRAIN_CANDIDATES)
 
 
+def _keys_sql(table: str, cols: list[str], most: int) -> str:
+    """Every column set counted, then the unique ones that hold no smaller unique one."""
+    sets = [c for n in range(1, most + 1) for c in combinations(cols, n)]
+    parts = [f"SELECT {list(c)} AS names FROM t HAVING count(*) = (SELECT count(*) FROM (SELECT DISTINCT {', '.join(c)} FROM t) d)" for c in sets]
+    return oracle.sql("SELECT array_to_string(names, ',') AS key_columns, len(names)::INTEGER AS n_columns FROM found f WHERE NOT EXISTS ("
+                      "SELECT 1 FROM found g WHERE len(g.names) < len(f.names) AND list_has_all(f.names, g.names))", table,
+                      ctes=(("t", f"SELECT {', '.join(cols)} FROM {table}"), ("found", "\nUNION ALL ".join(parts)),))
+
+
+T0A_KEY_COLUMNS = ["business_year", "plan_id", "rating_area_id", "age", "tobacco", "metal_level", "individual_rate", "row_key"]
+RATE_KEY_COLUMNS = ["business_year", "plan_id", "rating_area_id", "age", "tobacco", "rate_effective_date", "individual_rate"]
+
+
+@register("keys_of_t0a", _keys_sql("st_t0a", T0A_KEY_COLUMNS, 4))
+def q_keys_of_t0a(spark, d):
+    return keys.key_report(Src(spark, d).t0a, T0A_KEY_COLUMNS, 4)
+
+
+@register("keys_of_rate", _keys_sql("st_rate", RATE_KEY_COLUMNS, 6))
+def q_keys_of_rate(spark, d):
+    """Without the surrogate key: which business columns identify a rate, if any do."""
+    return keys.key_report(Src(spark, d).rate, RATE_KEY_COLUMNS, 6)
+
+
+@register("keys_of_service_area", _keys_sql("st_service_area", ["business_year", "state_code", "issuer_id", "service_area_id", "county"], 5))
+def q_keys_of_service_area(spark, d):
+    return keys.key_report(Src(spark, d).sa, ["business_year", "state_code", "issuer_id", "service_area_id", "county"], 5)
+
+
+@register("grain_top20_sketch", oracle.sql(_present(_grain_sql(GRAIN_GUESS_2), texts=("rate_effective_date",)), "st_rate"))
+def q_grain_top20_sketch(spark, d):
+    """The grain check's largest groups from a frequent-items sketch, or in full where it proves nothing."""
+    return portable(profile.frequent_groups(Src(spark, d).rate, GRAIN_GUESS_2, 20)[0])
+
+
+@register("frequent_state_years", oracle.sql(_grain_sql(["business_year", "state_code"], 5), "st_rate"))
+def q_frequent_state_years(spark, d):
+    """Few groups with many rows each: the sketch's proposals are the answer."""
+    return profile.frequent_groups(Src(spark, d).rate, ["business_year", "state_code"], 5)[0]
+
+
 # ---------------------------------------------------------------- filters & functions
 
 CURATED = ["business_year", "state_code", "standard_component_id", "plan_id", "service_area_id",
@@ -615,6 +657,34 @@ SELECT s.step_no, s.step, s.joined_rows FROM (
 ) s""".format(y=YEAR)
 
 
+SIZED_JOINS = {
+    "rate_plan": ("st_rate", "st_plan_attr", [("plan_id", "standard_component_id")]),
+    "rate_plan_year": ("st_rate", "st_plan_attr", [("plan_id", "standard_component_id"), ("business_year", "business_year")]),
+    "rate_state": ("st_rate", "st_service_area", [("state_code", "state_code")]),
+    "rate_parent": ("st_rate", "st_parent", [("issuer_id", "hios_issuer_id")]),
+    "area_enrollment": ("st_service_area", "st_enrollment", [("issuer_id", "issuer_hios_id"), ("business_year", "year")]),
+}
+
+
+@register("join_size_estimates", oracle.sql("\nUNION ALL ".join(
+    f"SELECT '{name}' AS join_name, count(*) AS joined_rows, true AS within_bound FROM {a} l JOIN {b} r ON "
+    + " AND ".join(f"l.{x} = r.{y}" for x, y in on) for name, (a, b, on) in SIZED_JOINS.items()),
+    *{t for a, b, _ in SIZED_JOINS.values() for t in (a, b)}))
+def q_join_size_estimates(spark, d):
+    """The exact size of each join, and whether the sketches' estimate is within its own stated error of it."""
+    s = Src(spark, d)
+    out = None
+    for name, (a, b, on) in SIZED_JOINS.items():
+        left, right = s._b(a), s._b(b)
+        exact = joins.audit(left, right, on).select("joined_rows")
+        one = (exact.unionByName(joins.estimate_size(left, right, on), allowMissingColumns=True)
+               .agg(*[F.max(c).alias(c) for c in ("joined_rows", "estimated_rows", "error_bound")]))
+        one = one.select(F.lit(name).alias("join_name"), "joined_rows",
+                         (F.abs(F.col("estimated_rows") - F.col("joined_rows")) <= F.col("error_bound")).alias("within_bound"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("join_filter_steps", oracle.sql(_STEPS_SQL, "st_rate", "st_plan_attr"))
 def q_join_filter_steps(spark, d):
     s = Src(spark, d)
