@@ -24,22 +24,15 @@ LOWER[65:91] += 32
 _BYTE_CODE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: dict[str, np.ndarray] = {}
+_LOW = 1 << 16
+#: base**i and base**-i modulo 2**64 for i < _LOW; greater powers are a product of two entries.
+_LOW_POWERS = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(_LOW - 1, x, np.uint64)]), dtype=np.uint64) for x in (_BASE, _BASE_INVERSE)]
 
 
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i <= n; kept for the usual block size only."""
-    if "up" in _powers and len(_powers["up"]) > n:
-        return _powers["up"], _powers["down"]
-    size = 1 << max(16, n.bit_length())
-    tables = []
-    for base in (_BASE, _BASE_INVERSE):
-        t = np.full(size, base, np.uint64)
-        t[0] = 1
-        tables.append(np.cumprod(t, dtype=np.uint64))
-    if size <= 8 << 20:
-        _powers["up"], _powers["down"] = tables
-    return tables[0], tables[1]
+def _high_powers(n: int) -> list[np.ndarray]:
+    """base**(i * _LOW) and its inverse for i <= n // _LOW."""
+    return [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n // _LOW, pow(x, _LOW, 1 << 64), np.uint64)]), dtype=np.uint64)
+            for x in (_BASE, _BASE_INVERSE)]
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
@@ -91,12 +84,14 @@ class Hasher:
     """Hashes of any byte ranges of one block, from one prefix sum."""
 
     def __init__(self, data: np.ndarray):
-        up, self.down = _power_table(len(data))
+        high, self.high = _high_powers(len(data))
+        up = (high[:, None] * _LOW_POWERS[0][None, :min(_LOW, max(len(data), 1))]).reshape(-1)[:len(data)]
         self.prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE_CODE[data] * up[:len(data)], dtype=np.uint64, out=self.prefix[1:])
+        np.cumsum(_BYTE_CODE[data] * up, dtype=np.uint64, out=self.prefix[1:])
 
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix64((self.prefix[end] - self.prefix[start]) * self.down[start])
+        down = _LOW_POWERS[1][start & (_LOW - 1)] * self.high[start >> 16]
+        return mix64((self.prefix[end] - self.prefix[start]) * down)
 
 
 @dataclass

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,9 +47,34 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker goes on to other tasks, and what its pools keep would stay."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def slices(batch: pa.RecordBatch, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch, of at most ``rows`` rows and about ``size`` bytes of strings (one row at least)."""
+    if not batch.num_rows:
+        return
+    upto = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            upto += pc.fill_null(pc.binary_length(column), 0).to_numpy()
+    upto = np.cumsum(upto)
+    at = 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size, "right"))
+        end = min(max(end, at + 1), at + rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def add_columns(df: DataFrame, added: dict[str, str], compute: Callable[[pa.RecordBatch], list], drop: Sequence[str] = (),
-                rows: int = 2048) -> DataFrame:
-    """``df`` with columns computed batch by batch (at most ``rows`` rows at once); its own columns of these names give way.
+                rows: int = 2048, size: int = 4 << 20) -> DataFrame:
+    """``df`` with columns computed batch by batch (at most ``rows`` rows and about ``size`` bytes at once); its own columns of
+    these names give way.
 
     ``added``: name -> Spark type; ``compute`` returns their values in this order. ``drop`` leaves out input columns."""
     kept = [c for c in df.columns if c not in added and c not in drop]
@@ -57,9 +85,9 @@ def add_columns(df: DataFrame, added: dict[str, str], compute: Callable[[pa.Reco
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, rows):
-                batch = whole.slice(at, rows)
+            for batch in slices(whole, rows, size):
                 new = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(compute(batch), types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *new], names)
+        give_back()
 
     return df.mapInArrow(run, schema)
