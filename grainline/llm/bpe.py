@@ -24,6 +24,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .store import give_back, small_batches
+
 #: Pieces of at most so many bytes are merged in batches.
 SHORT = 64
 #: Pieces that a task remembers.
@@ -218,6 +220,7 @@ def _read(path: str) -> bytes:
 def encode(docs: DataFrame, path: str, pattern: str, ids: bool = True, digests: bool = True, text: str = "text") -> DataFrame:
     """All columns but the text, and n_tokens; ``ids``: the ids (array of int); ``digests``: SHA-256 of the ids and of the
     bytes that the ids decode to. The rank file (a vocabulary of fixed size) is read by the driver and broadcast."""
+    small_batches(docs.sparkSession)
     raw = docs.sparkSession.sparkContext.broadcast(_read(path))
     added = {"n_tokens": (pa.int64(), "long")}
     if ids:
@@ -246,6 +249,7 @@ def encode(docs: DataFrame, path: str, pattern: str, ids: bool = True, digests:
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(got[k], t) for k, (t, _) in added.items())],
                                                  [*names, *added])
         tok.cache.clear()       # the worker may go on to other tasks
+        give_back()
 
     return docs.mapInArrow(run, schema)
 

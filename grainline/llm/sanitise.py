@@ -1,29 +1,33 @@
 """Personal data: patterns for direct identifiers, and information-theoretic sanitisation of the terms around them.
 
 Direct identifiers (email, ip, card, phone) are found by pattern and check rules; they are the protected entities. A term
-near an entity may reveal it as well (a name that always stands by one address). Corpus co-occurrence estimates how much:
-with N lines, n(t), n(e) and n(t,e) of them holding the term, the entity, and both within CONTEXT_WORDS words,
+near an entity may reveal it as well (a name that always stands by one address). Corpus co-occurrence estimates how much,
+over the occurrences of terms: with N positions in the corpus, n(t) of them holding the term, n(e) standing near the entity
+(among the CONTEXT_TERMS terms on either side of it, on whatever lines) and n(t,e) doing both,
 
     disclosure(t, e) = PMI(t; e) / IC(e) = log2(N n(t,e) / (n(t) n(e))) / log2(N / n(e)).
 
-1 means that the term determines the entity. A term of at least MOST_DISCLOSURE is removed, one of at least DISCLOSURE
-generalised. There is nothing to learn from one passage that is copied around, with or without changes: an entity whose
-contexts agree in most of their terms gives no estimate, nor does one that fewer than SUPPORT different lines hold, nor
-a term with fewer different lines by the entity.
+1 means that the term stands nowhere else. A term that reaches DISCLOSURE for some entity is marked wherever it occurs in the
+corpus, near the entity or not: one of at least MOST_DISCLOSURE is removed, others are generalised. There is nothing to learn
+from one passage that is copied around. So an entity needs SUPPORT different contexts, and so does a term beside it; and an
+entity gives no estimate if PASSAGE_TERMS or more terms stand in over half of its different contexts, as in copies of a
+passage with small changes. A name and a few words that always stand by an address are fewer.
 
-Scale: the first pass writes only what stands near entities. Candidate terms go to the corpus as a Bloom filter of a fixed
-size, so that counting n(t) sends one row a task and candidate; the exact join afterwards drops the filter's errors.
+Scale: the first pass writes only what stands near entities. Candidate terms go to the corpus as a Bloom filter whose size
+follows their number up to a fixed bound, so that counting n(t) sends one row a task and candidate; so do the terms to mark.
+The exact joins afterwards drop the filter's errors.
 
 Defined results. Null and empty texts: no spans, counts 0, the digest of the empty string; sanitised text stays as it is.
-Repeated rows: the same spans each. Very long texts are whole. Empty table: no rows. Own columns named like results give way.
+Repeated rows: the same spans each. Very long texts are whole, on one line or many; work is linear in their length. Empty
+table: no rows. Own columns named like results, or like the working columns __id, __hash, __more and __text, give way.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
-from math import log2
+from bisect import bisect_right
+from collections import Counter, deque
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +38,11 @@ from pyspark.sql import functions as F
 from .store import add_columns, row_key, written
 
 KINDS = ["email", "ip", "card", "phone"]
-CONTEXT_WORDS = 12
-SUPPORT = 3
+CONTEXT_TERMS = 12
+SUPPORT, PASSAGE_TERMS = 3, 8
 DISCLOSURE, MOST_DISCLOSURE = 0.8, 0.95
-FILTER_BITS = 1 << 20
+#: Bits of a Bloom filter: so many a term, between these bounds (16 MB at most).
+TERM_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 27
 
 # patterns fixed by the contract
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -48,7 +53,6 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGIT = re.compile(r"[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,}")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def luhn(digits: str) -> bool:
@@ -101,31 +105,63 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
+def _last_terms(text: str, begin: int, end: int) -> list[tuple[int, int]]:
+    """The last CONTEXT_TERMS terms of a stretch, looked for from its end."""
+    reach = 256
+    while True:
+        at = max(begin, end - reach)
+        found = [m.span() for m in _TERM.finditer(text, at, end)]
+        if at == begin:
+            return found[-CONTEXT_TERMS:]
+        if len(found) > CONTEXT_TERMS:                      # the first one may be cut
+            return found[-CONTEXT_TERMS:]
+        reach *= 4
+
+
 def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """Per span: its value, the hash of its line, and the terms within CONTEXT_WORDS words."""
-    out, covered = [], sorted((s, e) for _, s, e in spans)
-    for kind, s, e in spans:
-        begin, end = text.rfind("\n", 0, s) + 1, text.find("\n", e)
-        end = len(text) if end < 0 else end
-        left, right = list(_WORD.finditer(text, begin, s))[-CONTEXT_WORDS:], []
-        for m in _WORD.finditer(text, e, end):
-            right.append(m)
-            if len(right) == CONTEXT_WORDS:
+    """Per span: its value, the hash of its context (the CONTEXT_TERMS terms on either side of it outside of all spans), and
+    those of these terms that stand near no earlier span of that value."""
+    blocks: list[list[int]] = []                            # stretches covered by spans
+    for _, s, e in sorted(spans, key=lambda x: x[1:]):
+        if blocks and s <= blocks[-1][1]:
+            blocks[-1][1] = max(blocks[-1][1], e)
+        else:
+            blocks.append([s, e])
+    edges = [0, *(x for b in blocks for x in b), len(text)]
+    gaps = list(zip(edges[::2], edges[1::2], strict=True))
+    before, after = [], []
+    near: deque = deque(maxlen=CONTEXT_TERMS)
+    for gap in gaps[:-1]:
+        near.extend(_last_terms(text, *gap))
+        before.append(list(near))
+    near = deque(maxlen=CONTEXT_TERMS)
+    for begin, end in reversed(gaps[1:]):
+        first = []
+        for m in _TERM.finditer(text, begin, end):
+            first.append(m.span())
+            if len(first) == CONTEXT_TERMS:
                 break
-        near = (left[0].start() if left else s), (right[-1].end() if right else e)
-        terms = [m for m in _TERM.finditer(text, *near) if not any(a < m.end() and m.start() < b for a, b in covered)]
-        out.append({"value": f"{kind}:{text[s:e].lower()}", "line": _hash(text[begin:end]),
-                    "terms": [{"term": m.group().lower(), "from": m.start(), "to": m.end()} for m in terms]})
+        near.extendleft(reversed(first))
+        after.append(list(near))
+    after.reverse()
+    starts, out, seen = [b[0] for b in blocks], [], {}
+    for kind, s, e in spans:
+        i = bisect_right(starts, s) - 1
+        value = f"{kind}:{text[s:e].lower()}"
+        terms = [(text[a:b].lower(), a, b) for a, b in before[i] + after[i]]
+        known = seen.setdefault(value, set())
+        out.append({"value": value, "context": _hash("\n".join(t for t, _, _ in terms)),
+                    "terms": [t for t, a, _ in terms if a not in known]})
+        known.update(a for _, a, _ in terms)
     return out
 
 
-_NEAR = "array<struct<value:string,line:bigint,terms:array<struct<term:string,from:int,to:int>>>>"
-_NEAR_ARROW = pa.list_(pa.struct([("value", pa.string()), ("line", pa.int64()), ("terms", pa.list_(pa.struct([
-    ("term", pa.string()), ("from", pa.int32()), ("to", pa.int32())])))]))
+_NEAR = "array<struct<value:string,context:bigint,terms:array<string>>>"
+_NEAR_ARROW = pa.list_(pa.struct([("value", pa.string()), ("context", pa.int64()), ("terms", pa.list_(pa.string()))]))
 
 
 def _look(batch: pa.RecordBatch) -> list:
-    counts, digest, spans, lines, near = [[] for _ in KINDS], [], [], [], []
+    counts, digest, spans, places, near = [[] for _ in KINDS], [], [], [], []
     for text in batch.column("text").to_pylist():
         found = base_spans(text or "")
         n = Counter(k for k, _, _ in found)
@@ -133,97 +169,172 @@ def _look(batch: pa.RecordBatch) -> list:
             c.append(n[k])
         spans.append(render(found))
         digest.append(hashlib.sha256(spans[-1].encode()).hexdigest())
-        lines.append((text or "").count("\n") + 1)
+        places.append(positions(text))
         near.append(contexts(text, found) if found else [])
-    return [*counts, digest, spans, lines, pa.array(near, _NEAR_ARROW)]
+    return [*counts, digest, spans, places, pa.array(near, _NEAR_ARROW)]
+
+
+def bare(text: str | None) -> str:
+    """The text with its emails blanked, the only identifiers that hold letters: what is left are its terms."""
+    spans = _emails(text) if text and "@" in text else []
+    edges = [0, *(x for s in spans for x in s), len(text or "")]
+    parts = [text[a:b] if i % 2 == 0 else " " * (b - a) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))] if spans else [text or ""]
+    return "".join(parts)
+
+
+def positions(text: str | None) -> int:
+    """A text's part of N: its blanks and line breaks, and one."""
+    return text.count(" ") + text.count("\n") + 1 if text else 0
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """doc_id and, per row: n_email, n_ip, n_card, n_phone, base_sha256, spans (base and terms), n_terms, and the row's key."""
-    found, extra = _find(docs)
-    spans = F.concat_ws(",", F.when(F.col("spans") != "", F.col("spans")), F.array_join(F.transform("more", lambda m: F.concat_ws(":", F.lit("term"), m["from"], m["to"])), ","))
-    return (found.join(extra, "uid", "left")
-            .select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", F.when(F.col("more").isNull(), F.col("spans")).otherwise(spans).alias("spans"),
-                    F.coalesce(F.size("more"), F.lit(0)).cast("long").alias("n_terms")))
-
-
-def _find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The written findings of every row (with uid), and uid -> more: the spans of disclosing terms."""
-    added = {**{f"n_{k}": "long" for k in KINDS}, "base_sha256": "string", "spans": "string", "n_lines": "long", "near": _NEAR}
-    rows = add_columns(docs.select("doc_id", *row_key(docs), "text"), added, _look, drop=["text"])
-    rows = written(rows.withColumn("uid", F.monotonically_increasing_id()), "findings")
-    near = rows.where(F.size("near") > 0).select("uid", F.explode("near").alias("x")).select("uid", "x.*")
-    near = near.withColumn("names", F.array_distinct(F.transform("terms", lambda t: t["term"])))
-    entity = (near.groupBy("value").agg(F.count_distinct("line").alias("lines"), F.count("*").alias("n_value"), F.sum(F.size("names")).alias("names"))
-              .where(F.col("lines") >= SUPPORT).drop("lines"))
-    near = written(near.join(entity.select("value"), "value"), "repeated")
-    both = (near.select("value", "line", F.explode("names").alias("term")).groupBy("value", "term")
-            .agg(F.count("*").alias("n_both"), F.count_distinct("line").alias("lines")).join(entity, "value"))
-    both = written(both, "joint")
-    # contexts that share most of their terms are copies of one passage
-    shared = F.sum((F.col("n_both") * 2 > F.col("n_value")).cast("long"))
-    own = both.groupBy("value").agg(shared.alias("shared"), F.first("names").alias("names"), F.first("n_value").alias("n")).where("shared * 2 * n < names")
-    joint = written(both.where(F.col("lines") >= SUPPORT).join(own.select("value"), "value").select("value", "term", "n_both", "n_value"), "candidates")
-    terms = near.select("uid", "value", F.explode("terms").alias("t")).select("uid", "value", "t.*")
-    n_term = term_lines(docs, joint.select("term").distinct())
-    total = max(1, rows.agg(F.sum("n_lines")).first()[0] or 1)
-    pmi = F.log2(F.lit(float(total)) * F.col("n_both") / (F.col("n_term") * F.col("n_value")))
-    told = (joint.join(n_term, "term")
-            .withColumn("disclosure", pmi / F.greatest(F.log2(F.lit(float(total)) / F.col("n_value")), F.lit(1e-9)))
-            .where(F.col("disclosure") >= DISCLOSURE).select("value", "term", "disclosure"))
-    spans = terms.join(told, ["value", "term"]).groupBy("uid", "from", "to").agg(F.max("disclosure").alias("disclosure"))
-    more = F.array_sort(F.collect_list(F.struct("from", "to", "disclosure"))).alias("more")
-    return rows, spans.groupBy("uid").agg(more)
-
-
-def _slots(term: str) -> tuple[int, int, int]:
-    h = xxhash.xxh64_intdigest(term)
-    return h % FILTER_BITS, (h >> 21) % FILTER_BITS, (h >> 42) % FILTER_BITS
-
-
-def term_lines(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """term, n_term: in how many lines of the corpus each of ``terms`` (a column ``term``) occurs."""
-    def bitmap(batches):
-        bits = np.zeros(FILTER_BITS, bool)
-        for b in batches:
-            for term in b.column("term").to_pylist():
-                bits[list(_slots(term))] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()])], ["bits"])
-
-    # a few bitmaps of a fixed size, however many terms there are
-    maps = terms.select("term").coalesce(16).mapInArrow(bitmap, "bits binary").collect()
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for m in maps:
-        bits |= np.frombuffer(m.bits, np.uint8)
-    if not bits.any():
-        return terms.select("term", F.lit(0).cast("long").alias("n_term")).limit(0)
-    shared = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
+    """doc_id and, per row: n_email, n_ip, n_card, n_phone, base_sha256, spans (base and terms), n_terms."""
+    rows, told = _findings(docs.select("doc_id", "text"))
+    columns = [f"n_{k}" for k in KINDS]
+    if told is None:
+        return rows.select("doc_id", *columns, "base_sha256", "spans", F.lit(0).cast("long").alias("n_terms"))
+    spans = F.concat_ws(",", F.when(F.col("spans") != "", F.col("spans")), F.array_join(F.transform("__more", lambda m: F.concat_ws(":", F.lit("term"), m["from"], m["to"])), ","))
+    return (rows.join(occurrences(docs, told), ["__id", "__hash"], "left")
+            .select("doc_id", *columns, "base_sha256", F.when(F.col("__more").isNull(), F.col("spans")).otherwise(spans).alias("spans"),
+                    F.when(F.col("__more").isNull(), 0).otherwise(F.size("__more")).cast("long").alias("n_terms")))
+
+
+def _findings(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The written findings of every row, with its key; and term, disclosure of the disclosing terms (None if there are none)."""
+    added = {**{f"n_{k}": "long" for k in KINDS}, "base_sha256": "string", "spans": "string", "positions": "long", "near": _NEAR}
+    rows = written(add_columns(docs.select("doc_id", *row_key(docs), "text"), added, _look, drop=["text"]), "findings")
+    near = rows.where(F.size("near") > 0).select(F.explode("near").alias("x")).select("x.*")
+    entity = (near.groupBy("value").agg(F.count_distinct("context").alias("contexts"), F.sum(F.size("terms")).alias("n_value"))
+              .where(F.col("contexts") >= SUPPORT))
+    both = (near.select("value", "context", F.explode("terms").alias("term")).groupBy("value", "term")
+            .agg(F.count("*").alias("n_both"), F.count_distinct("context").alias("with_term")).where(F.col("with_term") >= SUPPORT))
+    both = written(both.join(entity, "value"), "joint")
+    copied = (both.groupBy("value").agg(F.sum((F.col("with_term") * 2 > F.col("contexts")).cast("long")).alias("constant"))
+              .where(F.col("constant") >= PASSAGE_TERMS))
+    joint = written(both.join(copied, "value", "left_anti"), "candidates")
+    n_term = term_counts(docs, joint.select("term").distinct())
+    if n_term is None:
+        return rows, None
+    total = F.lit(float(max(1, rows.agg(F.sum("positions")).first()[0] or 1)))
+    pmi = F.log2(total * F.col("n_both") / (F.col("n_term") * F.col("n_value")))
+    told = (joint.join(n_term, "term").select("term", (pmi / F.greatest(F.log2(total / F.col("n_value")), F.lit(1e-9))).alias("disclosure"))
+            .groupBy("term").agg(F.max("disclosure").alias("disclosure")).where(F.col("disclosure") >= DISCLOSURE))
+    return rows, written(told, "told")
+
+
+class TermFilter:
+    """A Bloom filter of terms."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.flags = np.zeros(bits, bool)
+
+    def slots(self, term: str) -> list[int]:
+        h = xxhash.xxh3_128_intdigest(term)
+        return [h % self.bits, (h >> 32) % self.bits, (h >> 64) % self.bits, (h >> 96) % self.bits]
+
+    def __contains__(self, term: str) -> bool:
+        flags = self.flags
+        return all(flags[s] for s in self.slots(term))
+
+    @classmethod
+    def of(cls, terms: DataFrame) -> bytes | None:
+        """Packed filter of a column ``term``; None without terms."""
+        n = terms.count()
+        if not n:
+            return None
+        bits = min(MOST_BITS, max(LEAST_BITS, 1 << (TERM_BITS * n - 1).bit_length()))
+
+        def build(batches):
+            mine = cls(bits)
+            for b in batches:
+                for term in b.column("term").to_pylist():
+                    mine.flags[mine.slots(term)] = True
+            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(mine.flags).tobytes()])], ["bits"])
+
+        # a few filters of a bounded size, however many terms there are
+        out = np.zeros(bits // 8, np.uint8)
+        for m in terms.select("term").coalesce(16).mapInArrow(build, "bits binary").toLocalIterator():
+            out |= np.frombuffer(m.bits, np.uint8)
+        return out.tobytes()
+
+    @classmethod
+    def unpack(cls, packed: bytes) -> TermFilter:
+        out = cls(8)
+        out.flags = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
+        out.bits = len(out.flags)
+        return out
+
+
+class _Known:
+    """Whether a filter holds a term, remembered for the usual ones."""
+
+    def __init__(self, packed: bytes):
+        self.filter, self.known = TermFilter.unpack(packed), {}
+
+    def __call__(self, term: str) -> bool:
+        hit = self.known.get(term)
+        if hit is None:
+            if len(self.known) > 300_000:
+                self.known.clear()
+            hit = self.known[term] = term in self.filter
+        return hit
+
+
+def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame | None:
+    """term, n_term: how often each of ``terms`` (a column ``term``) occurs in the corpus; None if there are none."""
+    packed = TermFilter.of(terms)
+    if packed is None:
+        return None
+    shared = docs.sparkSession.sparkContext.broadcast(packed)
 
     def count(batches):
-        flags = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
-        known: dict[str, bool] = {}
-        found: Counter = Counter()
+        known, found = _Known(shared.value), Counter()
         flush = lambda: pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["term", "n"])
         for b in batches:
             for text in b.column("text").to_pylist():
-                for part in (text or "").split("\n"):
-                    for term in set(_TERM.findall(part.lower())):
-                        hit = known.get(term)
-                        if hit is None:
-                            if len(known) > 500_000:
-                                known.clear()
-                            hit = known[term] = bool(flags[list(_slots(term))].all())
-                        if hit:
-                            found[term] += 1
-            if len(found) > 200_000:
-                yield flush()
-                found.clear()
+                for word, n in Counter(_TERM.findall(bare(text))).items():
+                    if known(term := word.lower()):
+                        found[term] += n
+                if len(found) > 200_000:
+                    yield flush()
+                    found.clear()
         yield flush()
 
     counted = docs.select("text").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
     return counted.join(terms, "term", "left_semi")
 
 
+def occurrences(docs: DataFrame, told: DataFrame) -> DataFrame:
+    """__id, __hash, __more: where the terms of ``told`` (term, disclosure) occur, of every row that holds one."""
+    packed = TermFilter.of(told)
+    if packed is None:
+        return told.sparkSession.createDataFrame([], "__id long, __hash long, __more array<struct<from:int,to:int,disclosure:double>>")
+    shared = docs.sparkSession.sparkContext.broadcast(packed)
+    kind = pa.list_(pa.struct([("term", pa.string()), ("from", pa.int32()), ("to", pa.int32())]))
+
+    def look(batch: pa.RecordBatch) -> list:
+        out = []
+        for text in batch.column("text").to_pylist():
+            found = ((m.group().lower(), *m.span()) for m in _TERM.finditer(bare(text)))
+            out.append([{"term": t, "from": s, "to": e} for t, s, e in found if hit(t)])
+        return [pa.array(out, kind)]
+
+    known: list = []
+
+    def hit(term: str) -> bool:
+        if not known:
+            known.append(_Known(shared.value))
+        return known[0](term)
+
+    found = add_columns(docs.select(*row_key(docs), "text"), {"at": "array<struct<term:string,from:int,to:int>>"}, look, drop=["text"])
+    # repeated rows have one key; their terms are looked up once
+    found = found.where(F.size("at") > 0).groupBy("__id", "__hash").agg(F.first("at").alias("at"))
+    found = found.select("__id", "__hash", F.explode("at").alias("x")).select("__id", "__hash", "x.*").join(told, "term")
+    more = F.array_sort(F.collect_list(F.struct("from", "to", "disclosure"))).alias("__more")
+    return found.groupBy("__id", "__hash").agg(more)
+
+
 def mask(text: str | None, more: list[dict] | None = None) -> str | None:
     """``text`` with identifiers and terms replaced: identifiers and lesser terms by their kind, most disclosing terms by nothing."""
     if not text:
@@ -243,13 +354,16 @@ def mask(text: str | None, more: list[dict] | None = None) -> str | None:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """All columns of ``docs``, the text sanitised. An ``n_chars`` column, where there is one, counts the new text."""
-    found, extra = _find(docs)
-    extra = found.select("uid", "__id", "__hash").join(extra, "uid").groupBy("__id", "__hash").agg(F.first("more").alias("__more"))
-    rows = docs.select("*", *row_key(docs)).join(extra, ["__id", "__hash"], "left")
+    docs = docs.drop("__id", "__hash", "__more", "__text")
+    _, told = _findings(docs.select("doc_id", "text"))
+    rows = docs if told is None else docs.select("*", *row_key(docs)).join(occurrences(docs, told), ["__id", "__hash"], "left")
+
+    marked = told is not None
 
     def cut(batch: pa.RecordBatch) -> list:
-        more = batch.column("__more").to_pylist()
-        return [[mask(t, m) for t, m in zip(batch.column("text").to_pylist(), more, strict=True)]]
+        texts = batch.column("text").to_pylist()
+        more = batch.column("__more").to_pylist() if marked else [None] * len(texts)
+        return [[mask(t, m) for t, m in zip(texts, more, strict=True)]]
 
     rows = add_columns(rows, {"__text": "string"}, cut, drop=["text", "__more", "__id", "__hash"])
     new = [F.col("__text").alias(c) if c == "text" else F.length("__text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]

@@ -23,6 +23,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends in files that outlive executors."""
     spark = df.sparkSession
+    small_batches(spark)
     path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -47,6 +48,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
 
 
+#: Bytes of rows that go to a Python worker at once. Spark's own default (64 MB, doubled while it grows, for every running
+#: task) would hold several hundred megabytes of an executor outside its heap.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let this session send texts to Python workers in batches of BATCH_BYTES, unless it already uses smaller ones."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).removesuffix("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def give_back() -> None:
     """Return freed memory to the system: a Python worker goes on to other tasks, and what its pools keep would stay."""
     pa.default_memory_pool().release_unused()
@@ -77,6 +91,7 @@ def add_columns(df: DataFrame, added: dict[str, str], compute: Callable[[pa.Reco
     these names give way.
 
     ``added``: name -> Spark type; ``compute`` returns their values in this order. ``drop`` leaves out input columns."""
+    small_batches(df.sparkSession)
     kept = [c for c in df.columns if c not in added and c not in drop]
     df = df.select(*kept, *[c for c in drop if c in df.columns])
     kind = {f.name: f.dataType.simpleString() for f in df.schema}

@@ -71,6 +71,115 @@ def test_terms_that_reveal_an_entity(corpus):
     assert [r.n_terms for r in got if r.doc_id == 302] == [by_id[0].n_terms] * 2
 
 
+def plain_disclosure(texts):
+    """term -> largest disclosure for any entity that may give an estimate, by plain counting."""
+    from collections import Counter, defaultdict
+    from math import log2
+    term = re.compile(r"[^\W\d_]{3,}")
+    n_term, total, near, contexts = Counter(), 0, defaultdict(Counter), defaultdict(list)
+    for text in texts:
+        text = text or ""
+        spans = sorted(S.base_spans(text), key=lambda x: x[1:])
+        total += text.count(" ") + text.count("\n") + 1 if text else 0
+        blank = list(text)
+        for _, s, e in spans:
+            blank[s:e] = " " * (e - s)
+        at = [(m.start(), m.group().lower()) for m in term.finditer("".join(blank))]
+        n_term.update(t for _, t in at)
+        seen = set()
+        for k, s, e in spans:
+            value = f"{k}:{text[s:e].lower()}"
+            around = [x for x in at if x[0] < s][-12:] + [x for x in at if x[0] >= e][:12]
+            contexts[value].append(tuple(t for _, t in around))
+            for x in around:
+                if (value, x) not in seen:
+                    seen.add((value, x))
+                    near[value][x[1]] += 1
+    out = {}
+    for value, counts in near.items():
+        different = set(contexts[value])
+        holds = Counter(t for c in different for t in set(c))
+        if len(different) < 3 or sum(2 * holds[t] > len(different) for t in holds if holds[t] >= 3) >= 8:
+            continue
+        n_value = sum(counts.values())
+        for t, n in counts.items():
+            if holds[t] >= 3:
+                d = log2(total * n / (n_term[t] * n_value)) / max(log2(total / n_value), 1e-9)
+                out[t] = max(out.get(t, d), d)
+    return out
+
+
+def test_disclosure_equals_plain_counting(spark):
+    rng = random.Random(9)
+    names, words = ["Quixana", "Doe", "Zed"], ["wrote", "and", "then", "the", "wé", "report", "of", "sales", "to", "Lima", "über", "sent"]
+    words += [f"{a}{b}" for a in ("mar", "tol", "wé", "sun") for b in ("bel", "DOR", "fin", "ga", "x-y", "7th", "ner")]
+    texts = []
+    for i in range(150):
+        words_here = rng.choices(words, k=rng.randint(0, 40))
+        for _ in range(rng.randint(0, 3)):
+            who = rng.randrange(3)
+            words_here.insert(rng.randint(0, len(words_here)), rng.choice([f"{names[who]} <u{who}@x.com>", f"u{who}@x.com", "10.0.0.7", f"{names[who]}\nu{who}@x.com"]))
+        texts.append(rng.choice([" ", "\n", "  "]).join(words_here))
+    texts += [None, "", *texts[:5]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    _, told = S._findings(df)
+    want = {t: d for t, d in plain_disclosure(texts).items() if d >= S.DISCLOSURE}
+    got = {r.term: r.disclosure for r in told.collect()}
+    assert want and got.keys() == want.keys()
+    assert all(abs(got[t] - want[t]) < 1e-9 for t in want)
+    # every occurrence is marked, wherever it stands
+    for r in S.find(df).collect():
+        text = texts[r.doc_id] or ""
+        marks = sorted((m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{3,}", S.bare(text)) if m.group().lower() in want)
+        assert [x for x in r.spans.split(",") if x.startswith("term")] == [f"term:{a}:{b}" for a, b in marks] and r.n_terms == len(marks)
+
+
+def filler(rng, n):
+    return " ".join("v" + "".join(rng.choices("bcdfghklm", k=5)) for _ in range(n))
+
+
+def masked(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    return [r.text for r in S.sanitise(df).orderBy("doc_id").collect()]
+
+
+def test_a_name_beside_an_address_in_few_words(spark):
+    rng = random.Random(2)
+    texts = [f"Jane Doe <j@x.com> {rng.choice(['wrote', 'replied'])} {filler(rng, 2)}" for _ in range(12)]
+    texts += [f"{filler(rng, 30)} wrote and replied {filler(rng, 30)}" for _ in range(60)]
+    out = masked(spark, texts)
+    assert all("Jane" not in t and "Doe" not in t and "@" not in t for t in out)
+    assert out[12:] == texts[12:]
+
+
+def test_a_name_on_another_line_and_in_headers(spark):
+    rng = random.Random(3)
+    texts = [f"{filler(rng, 8)}\nQuixana\nq@x.com\n{filler(rng, 8)}" for _ in range(12)]
+    texts += [f"Zephyr Vole, z@y.org\n{filler(rng, 20)}" for _ in range(40)]           # one header line, word for word
+    texts += [filler(rng, 40) for _ in range(60)]
+    out = masked(spark, texts)
+    assert all("Quixana" not in t and "Zephyr" not in t and "Vole" not in t for t in out)
+    assert out[52:] == texts[52:]
+
+
+def test_every_occurrence_of_a_telling_term(spark):
+    rng = random.Random(4)
+    texts = [f"{filler(rng, 9)} Quixana {filler(rng, 2)} q@x.com {filler(rng, 9)}" for _ in range(12)]
+    texts += [f"{filler(rng, 50)} Quixana {filler(rng, 50)}" for _ in range(2)]          # nowhere near an address
+    texts += [filler(rng, 60) for _ in range(300)]
+    out = masked(spark, texts)
+    assert all("Quixana" not in t for t in out) and out[14:] == texts[14:]
+
+
+def test_long_lines_take_linear_time():
+    import time
+    for text in ("a@b.co " * 20_000, "Name a@b.co, " * 20_000, "1.2.3.4" + "x" * 2_000_000 + " 1.2.3.4", "w " * 500_000 + "a@b.co"):
+        begin = time.monotonic()
+        spans = S.base_spans(text)
+        found = S.contexts(text, spans)
+        assert len(found) == len(spans) and time.monotonic() - begin < 5
+
+
 def test_sanitised_texts(corpus):
     rows, df = corpus
     out = S.sanitise(df)
