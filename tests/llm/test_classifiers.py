@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from grainline.llm import langid, licences, quality, queries, toxicity
@@ -140,7 +141,6 @@ def plain_counts(text):
 
 
 def test_rule_counts_equal_brute_force(spark, sf_small):
-    import pyarrow as pa
     texts = [r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
     texts += [None, "", "\n\n", "a", "é\xa0b c\n" * 9, "x y z " * 40, "same\nsame\n same\nsame", "a b c d e f g h a b c d e f g h"]
     c = quality.rule_counts(pa.array(texts))
@@ -180,10 +180,41 @@ def test_quality_odd_rows(spark):
     df = spark.createDataFrame([(1, None, True), (1, "", True), (None, "w " * 30, False)], "doc_id long, text string, kept boolean")
     f = quality.fit(df, spark.createDataFrame([], "doc_id long, quality int"))
     got = quality.score(df, f).collect()
-    assert [r.base_failed for r in got] == [True] * 3 and f.threshold == quality.DEFAULT_THRESHOLD
+    assert [r.base_failed for r in got] == [True] * 3 and all(p.threshold == quality.DEFAULT_THRESHOLD for _, p in f.parts)
     assert quality.score(df.limit(0), f).count() == 0
 
 
+def test_quality_verdicts_recomputed_one_by_one(spark, sf_small):
+    """The query's verdict from plain counts, tree walks and thresholds; and an id with differing labels counts as its lowest."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_small}/labels.parquet")
+    f = quality.fit(docs, labels)
+    both = quality.fit(docs.union(docs.limit(20)), labels.union(labels.withColumn("quality", 1 + 0 * labels.quality)))
+    assert [p.threshold for _, p in both.parts] == [p.threshold for _, p in f.parts]
+
+    def walk(forest, row):
+        depths = []
+        for at in forest.roots:
+            while forest.child[at] >= 0:
+                at = forest.child[at] + (row[forest.feature[at]] >= forest.cut[at])
+            depths.append(forest.depth[at])
+        return 2 ** (-np.mean(depths) / quality.path_constant(forest.rows)) if depths else 0.5
+
+    got = {r.doc_id: r for r in queries.op1_quality_rules(spark, sf_small).collect()}
+    for r in docs.collect():
+        c = quality.rule_counts(pa.array([r.text], pa.string()))
+        x = quality.statistics(c)[0]
+        n_words, repeat = c["n_words"][0], c["n_repeat_words"][0]
+        failed = n_words < 20 or 100 * repeat > 30 * n_words
+        excess = max(walk(p, x[cols]) - p.threshold for cols, p in f.parts)
+        assert got[r.doc_id].base_failed == failed and got[r.doc_id].anomaly == pytest.approx(excess)
+        assert got[r.doc_id].kept == (not failed and excess <= 0)
+    # no statistic is flat where the counts differ: a text with more repeats always has a greater rate
+    few = {k: np.array([10 if k in ("n_words", "n_lines") else 5] * 8) for k in quality.COUNTS + quality.EXTRA} | {
+        "n_repeat_words": np.arange(8), "n_dup_lines": np.arange(8)}
+    assert (np.diff(quality.statistics(few)[:, 5:], axis=0) > 0).all()
+
+
 def test_licence_wordings(spark):
     scanner = licences.Scanner()
     bsd = licences.TEXTS["BSD-3-Clause-text"]
