@@ -18,11 +18,12 @@ Then, on Spark:
 
 Defined results. Texts without words (null, empty, blank) are in no class but their own. Texts of one to four words have
 one shingle, the whole text. Upper and lower case A-Z are the same. Equal rows share a class; its first row (least
-doc_id, null last) is kept. Very long texts are whole. Empty table: no rows.
+doc_id, null last) is kept; of rows with its id and text but other columns, the one with the least hash of these. Very long
+texts are whole. Empty table: no rows. Own columns named __id or __hash give way; others stay.
 
-Hot groups: copies collapse before anything is shuffled by bucket; a bucket of any size costs one pair a member; hot
-join keys are sort-merge joins that adaptive execution splits; a shingle that many texts of several components have in
-their prefixes is compared in blocks of about BLOCK_TEXTS by BLOCK_TEXTS texts.
+Hot groups: copies collapse before anything is shuffled by bucket; a bucket of any size costs one pair a member; joins by
+bucket and by shingle are dealt over salts for the keys that a frequent-items sketch finds hot; a shingle that many texts of
+several components have in their prefixes is compared in blocks of about BLOCK_TEXTS by BLOCK_TEXTS texts.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grainline.operators.joins import heavy_hitters, skew_join
+
 from . import scan
 from .store import add_columns, row_key, written
 
@@ -47,6 +50,8 @@ ORDER_TEXTS, ORDER_ELEMENTS = 1 << 14, 1 << 18
 BLOCK_TEXTS = 256
 #: Rounds that pair a bucket's members with random ones of other components.
 ROUNDS = 2
+#: Share of the rows that makes a join key hot, and the tasks that it is dealt to.
+HOT, SALTS = 0.002, 32
 #: Hash slots of the filter that spares rows a shuffle; its broadcast holds at most one number a slot.
 FILTER_SLOTS = 1 << 20
 
@@ -214,7 +219,7 @@ def classes(docs: DataFrame) -> DataFrame:
     heads = rows.join(texts.select("uid"), "uid")
     members = written(heads.select("uid", F.explode("bands").alias("band")), "bands")
     buckets = members.groupBy("band").agg(F.min("uid").alias("head"), F.count("*").alias("n")).where("n > 1")
-    members = written(members.join(buckets.select("band", "head"), "band"), "members")
+    members = written(_salted(members, buckets.select("band", "head"), "band"), "members")
     signature, bags = rows.select("uid", "signature"), rows.select("uid", "bag")
     signature = _among(signature, members)
     links = _linked(members.where("uid <> head").select(F.col("head").alias("a"), F.col("uid").alias("b")), signature, bags)
@@ -239,6 +244,11 @@ def classes(docs: DataFrame) -> DataFrame:
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "__id", "__hash")
 
 
+def _salted(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Inner join of many rows to a table with one row a key; keys with more than HOT of the rows go to SALTS tasks."""
+    return skew_join(rows, keys, [key], buckets=SALTS, hot=heavy_hitters(rows, [key], HOT))
+
+
 def _among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """The rows whose uid may be in ``wanted``: those in its hash slots. A later join by uid is exact; this one only keeps
     most other rows out of the shuffle, and broadcasts at most FILTER_SLOTS numbers, however much is wanted."""
@@ -350,7 +360,7 @@ def _in_blocks(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     main = parts.groupBy("element").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"))
     blocks = lambda n: F.ceil(n / BLOCK_TEXTS).cast("int")
     main = main.select("element", F.col("top.label").alias("main"), blocks(F.col("n")).alias("homes"), blocks(F.col("n") - F.col("top.n")).alias("outs"))
-    found = found.join(main.where("outs > 0"), "element")
+    found = _salted(found, main.where("outs > 0"), "element")
     block = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "uid"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = found.where("label <> main").withColumn("out", block(1, "outs")).withColumn("home", every("homes"))
@@ -367,7 +377,7 @@ def _across(bags: DataFrame):
         found = written(_prefixes(near), "prefixes")
         mixed = (found.groupBy("element").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("shorter").alias("paired"))
                  .where("least <> most and paired").select("element"))
-        found = written(found.join(mixed, "element"), "shared")
+        found = written(_salted(found, mixed, "element"), "shared")
         left, right = _in_blocks(found)
         pairs = left.alias("l").join(right.alias("r"), ["element", "out", "home"])
         need = F.ceil(F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("l.size") + F.col("r.size")) - 1e-6)
@@ -380,6 +390,10 @@ def _across(bags: DataFrame):
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: the first row of every class, all columns."""
+    docs = docs.drop("__id", "__hash")
     kept = classes(docs).where("kept").select("__id", "__hash")
     keyed = docs.select("*", *row_key(docs))
-    return keyed.join(kept, ["__id", "__hash"]).dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+    others = [f.name for f in docs.schema if f.name != "text" and "map<" not in f.dataType.simpleString()]
+    # rows of one id and text: the same one on every run
+    one = F.min_by(F.struct(*docs.columns), F.xxhash64(*others)).alias("x")
+    return keyed.join(kept, ["__id", "__hash"]).groupBy("__id", "__hash").agg(one).select(*[F.col("x")[c].alias(c) for c in docs.columns])

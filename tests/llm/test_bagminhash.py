@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from grainline.llm import bagminhash as B
 
@@ -146,3 +147,23 @@ def test_blocks_bound_both_sides(spark):
     pairs = left.alias("l").join(right.alias("r"), ["element", "out", "home"])
     assert pairs.where("element = 1").selectExpr("l.uid", "r.uid").distinct().count() == (n - 1) * n
     assert pairs.where("element = 2").isEmpty()
+
+
+def test_kept_rows_are_the_same_on_every_run(spark):
+    rows = [(1, "one two three four five six", lang, source) for lang in ("a", "b", None) for source in ("x", "y")] + [(2, "other words", "a", "x")]
+    got = set()
+    for seed in range(3):
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3).orderBy(F.rand(seed))
+        out = B.keep_first(df.withColumn("__id", F.lit("mine")))
+        assert out.columns == ["doc_id", "text", "lang", "source"]
+        got.add(tuple(sorted(map(tuple, out.collect()), key=str)))
+    assert len(got) == 1 and len(got.pop()) == 2
+
+
+def test_hot_elements_are_dealt_over_salts(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).alias("element"), F.col("id").alias("uid"))
+    keys = rows.select("element").distinct().where("element % 3 <> 0")
+    out = B._salted(rows, keys, "element")
+    assert "__salt" in out._jdf.queryExecution().optimizedPlan().toString() and out.columns == ["element", "uid"]
+    want = rows.join(keys, "element")
+    assert out.count() == want.count() and out.exceptAll(want).count() == 0
