@@ -153,11 +153,14 @@ class Scanner:
             # at least this many bigrams, of which the borders give two
             if len(at) + 2 >= self.sizes[i] * self.ratio - 1e-9:
                 found += [(-shared, -score, self.names[i], start, end) for shared, score, start, end in self.stretches(i, at, words)]
-        taken: list[tuple[int, int]] = []
+        starts: list[int] = []              # of the stretches taken, ascending; they don't overlap
+        ends: list[int] = []
         out = []
         for _, score, name, start, end in sorted(found):
-            if all(end <= s or e <= start for s, e in taken):
-                taken.append((start, end))
+            i = bisect_left(starts, start)
+            if (i == 0 or ends[i - 1] <= start) and (i == len(starts) or end <= starts[i]):
+                starts.insert(i, start)
+                ends.insert(i, end)
                 out.append((name, -score))
         return out
 

@@ -12,7 +12,8 @@ shared folder, and every block of queries meets every tree; a query's best of al
 trees grows with the table, each task's memory does not. Equal vectors, however many, spread over all shards.
 
 Defined results. Vectors that are null or empty, or hold null or non-finite components, and rows without an id take no part.
-Vectors of different lengths are not compared. A repeated id: one query (its least vector); as candidates, rows with the
+Scaled components are
+limited to +-LIMIT, so that inner products of up to 512 components fit in 64 bits. Vectors of different lengths are not compared. A repeated id: one query (its least vector); as candidates, rows with the
 query's id are its own, other repeated rows count each. Fewer than k candidates: all. Ties go to the smaller id.
 """
 
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from .store import written
 
 SHARD_ROWS = 8192
+LIMIT = 1 << 27
 QUERY_ROWS = 4096
 PAGE_ROWS, FANOUT = 256, 16
 
@@ -128,7 +130,7 @@ def usable(table: DataFrame, scale: int = 256) -> DataFrame:
     """vec_id, v (array of long: floor(scale * component)), n (length), of the rows that take part."""
     whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     t = table.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0)).where(whole)
-    return t.select(F.col("vec_id").cast("long"), F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"),
+    return t.select(F.col("vec_id").cast("long"), F.transform("embedding", lambda x: F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.floor(x.cast("double") * scale).cast("long")))).alias("v"),
                     F.size("embedding").alias("n"))
 
 

@@ -43,6 +43,50 @@ def test_language_scores_equal_a_plain_sum():
     assert model.predict(text)[0] == "ab"[int(np.argmax(total))]
 
 
+def test_language_fit_and_scores_equal_plain_counting(spark, sf_small):
+    """The fitted matrix and the query's scores, text by text and gram by gram."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text", "lang")
+    train = docs.where(langid.fold(docs.doc_id, 3) != 1)
+    model = langid.fit(train)
+    counts, sizes = {}, {}
+    for r in train.collect():
+        if r.lang is not None and r.text is not None:
+            sizes[r.lang] = sizes.get(r.lang, 0) + 1
+            text = "".join(c if c.isalpha() else " " for c in r.text.lower())
+            if not text.strip():
+                continue
+            text = " " + " ".join(text.split()) + " "
+            mine = counts.setdefault(r.lang, [0] * langid.BUCKETS)
+            for n in (1, 2, 3):
+                for i in range(len(text) - n + 1):
+                    h = 0
+                    for k in range(n):
+                        h = (h * 0x01000193 + ord(text[i + k]) + k + 1) % (1 << 32)
+                    mine[(h * 0x9E3779B1) % (1 << 32) >> 17] += 1
+    assert model.languages == sorted(sizes)
+    for k, lang in enumerate(model.languages):
+        want = np.array(counts[lang]) + langid.SMOOTHING
+        assert np.allclose(model.log_probability[:, k], np.log(want / want.sum()), atol=1e-5)
+        assert model.prior[k] == pytest.approx(np.log(sizes[lang] / sum(sizes.values())))
+    texts = [r.text for r in docs.collect()] + [None, "", "12 ?!", "a", "x" * 500_000]
+    names, score = model.predict_batch(texts)
+    for t, name, p in zip(texts, names, score, strict=True):
+        g = langid.grams(t)
+        if g is None:
+            assert (name, p) == ("und", 0.0)
+            continue
+        total = model.prior + model.log_probability[g].astype(float).sum(0)
+        assert name == model.languages[int(np.argmax(total))] and p == pytest.approx(1 / np.exp(total - total.max()).sum(), rel=1e-3)
+
+
+def test_licence_notices_on_one_line_take_linear_time():
+    import time
+    scanner = licences.Scanner()
+    begin = time.monotonic()
+    assert "MIT-short" in scanner.scan("Released under the MIT License. And so on, with other words. " * 16_000)
+    assert time.monotonic() - begin < 25
+
+
 def test_toxicity_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}

@@ -55,3 +55,11 @@ def test_shards_blocks_and_odd_rows(spark):
     assert mtree.search(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
     few = mtree.search(df.where("vec_id IN (0, 1, 2)"), F.col("vec_id") % 50 == 0)
     assert [r.rank for r in few.orderBy("rank").collect()] == [1, 2]
+
+
+def test_very_large_components_are_limited(spark):
+    rows = [(0, [1e300, 1.0]), (1, [-1e300, 2.0]), (2, [600_000.0, 3.0]), (50, [2.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in mtree.search(df, F.col("vec_id") % 50 == 0, 5).collect()}
+    most = mtree.LIMIT
+    assert got[0, 2] == most * most + 256 * 768 and got[0, 1] == -most * most + 256 * 512 and got[50, 0] == 512 * most + 512 * 256
