@@ -13,9 +13,10 @@ from one passage that is copied around. So an entity needs SUPPORT different con
 entity gives no estimate if PASSAGE_TERMS or more terms stand in over half of its different contexts, as in copies of a
 passage with small changes. A name and a few words that always stand by an address are fewer.
 
-Scale: the first pass writes only what stands near entities. Candidate terms go to the corpus as a Bloom filter whose size
-follows their number up to a fixed bound, so that counting n(t) sends one row a task and candidate; so do the terms to mark.
-The exact joins afterwards drop the filter's errors.
+Scale: the first pass writes only what stands near entities. n(t) is at least the number of t's occurrences near any entity,
+which these rows tell; a term that cannot reach DISCLOSURE even so is no candidate, which rules out the corpus's common words.
+Candidate terms go to the corpus as a Bloom filter whose size follows their number up to a fixed bound, so that counting n(t)
+sends one row a task and candidate; so do the terms to mark. The exact joins afterwards drop the filter's errors.
 
 Defined results. Null and empty texts: no spans, counts 0, the digest of the empty string; sanitised text stays as it is.
 Repeated rows: the same spans each. Very long texts are whole, on one line or many; work is linear in their length. Empty
@@ -118,9 +119,9 @@ def _last_terms(text: str, begin: int, end: int) -> list[tuple[int, int]]:
         reach *= 4
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
+def contexts(text: str, spans: list[tuple[str, int, int]]) -> tuple[list[dict], list[str]]:
     """Per span: its value, the hash of its context (the CONTEXT_TERMS terms on either side of it outside of all spans), and
-    those of these terms that stand near no earlier span of that value."""
+    those of these terms that stand near no earlier span of that value. And the terms near any span, each occurrence once."""
     blocks: list[list[int]] = []                            # stretches covered by spans
     for _, s, e in sorted(spans, key=lambda x: x[1:]):
         if blocks and s <= blocks[-1][1]:
@@ -144,7 +145,7 @@ def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
         near.extendleft(reversed(first))
         after.append(list(near))
     after.reverse()
-    starts, out, seen = [b[0] for b in blocks], [], {}
+    starts, out, seen, every = [b[0] for b in blocks], [], {}, {}
     for kind, s, e in spans:
         i = bisect_right(starts, s) - 1
         value = f"{kind}:{text[s:e].lower()}"
@@ -153,7 +154,8 @@ def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
         out.append({"value": value, "context": _hash("\n".join(t for t, _, _ in terms)),
                     "terms": [t for t, a, _ in terms if a not in known]})
         known.update(a for _, a, _ in terms)
-    return out
+        every.update((a, t) for t, a, _ in terms)
+    return out, list(every.values())
 
 
 _NEAR = "array<struct<value:string,context:bigint,terms:array<string>>>"
@@ -161,7 +163,7 @@ _NEAR_ARROW = pa.list_(pa.struct([("value", pa.string()), ("context", pa.int64()
 
 
 def _look(batch: pa.RecordBatch) -> list:
-    counts, digest, spans, places, near = [[] for _ in KINDS], [], [], [], []
+    counts, digest, spans, places, near, around = [[] for _ in KINDS], [], [], [], [], []
     for text in batch.column("text").to_pylist():
         found = base_spans(text or "")
         n = Counter(k for k, _, _ in found)
@@ -170,8 +172,10 @@ def _look(batch: pa.RecordBatch) -> list:
         spans.append(render(found))
         digest.append(hashlib.sha256(spans[-1].encode()).hexdigest())
         places.append(positions(text))
-        near.append(contexts(text, found) if found else [])
-    return [*counts, digest, spans, places, pa.array(near, _NEAR_ARROW)]
+        mine, terms = contexts(text, found) if found else ([], [])
+        near.append(mine)
+        around.append(terms)
+    return [*counts, digest, spans, places, pa.array(near, _NEAR_ARROW), pa.array(around, pa.list_(pa.string()))]
 
 
 def bare(text: str | None) -> str:
@@ -201,7 +205,7 @@ def find(docs: DataFrame) -> DataFrame:
 
 def _findings(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """The written findings of every row, with its key; and term, disclosure of the disclosing terms (None if there are none)."""
-    added = {**{f"n_{k}": "long" for k in KINDS}, "base_sha256": "string", "spans": "string", "positions": "long", "near": _NEAR}
+    added = {**{f"n_{k}": "long" for k in KINDS}, "base_sha256": "string", "spans": "string", "positions": "long", "near": _NEAR, "around": "array<string>"}
     rows = written(add_columns(docs.select("doc_id", *row_key(docs), "text"), added, _look, drop=["text"]), "findings")
     near = rows.where(F.size("near") > 0).select(F.explode("near").alias("x")).select("x.*")
     entity = (near.groupBy("value").agg(F.count_distinct("context").alias("contexts"), F.sum(F.size("terms")).alias("n_value"))
@@ -211,15 +215,22 @@ def _findings(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     both = written(both.join(entity, "value"), "joint")
     copied = (both.groupBy("value").agg(F.sum((F.col("with_term") * 2 > F.col("contexts")).cast("long")).alias("constant"))
               .where(F.col("constant") >= PASSAGE_TERMS))
-    joint = written(both.join(copied, "value", "left_anti"), "candidates")
+    total = F.lit(float(max(1, rows.agg(F.sum("positions")).first()[0] or 1)))
+
+    def disclosure(n_term):
+        pmi = F.log2(total * F.col("n_both") / (n_term * F.col("n_value")))
+        return pmi / F.greatest(F.log2(total / F.col("n_value")), F.lit(1e-9))
+
+    least = rows.where(F.size("around") > 0).select(F.explode("around").alias("term")).groupBy("term").agg(F.count("*").alias("n_least"))
+    joint = both.join(copied, "value", "left_anti").join(least, "term").where(disclosure(F.col("n_least")) >= DISCLOSURE)
+    joint = written(joint.select("value", "term", "n_both", "n_value"), "candidates")
     n_term = term_counts(docs, joint.select("term").distinct())
     if n_term is None:
         return rows, None
-    total = F.lit(float(max(1, rows.agg(F.sum("positions")).first()[0] or 1)))
-    pmi = F.log2(total * F.col("n_both") / (F.col("n_term") * F.col("n_value")))
-    told = (joint.join(n_term, "term").select("term", (pmi / F.greatest(F.log2(total / F.col("n_value")), F.lit(1e-9))).alias("disclosure"))
+    told = (joint.join(n_term, "term").select("term", disclosure(F.col("n_term")).alias("disclosure"))
             .groupBy("term").agg(F.max("disclosure").alias("disclosure")).where(F.col("disclosure") >= DISCLOSURE))
-    return rows, written(told, "told")
+    told = written(told, "told")
+    return rows, None if told.isEmpty() else told
 
 
 class TermFilter:

@@ -176,7 +176,7 @@ def test_long_lines_take_linear_time():
     for text in ("a@b.co " * 20_000, "Name a@b.co, " * 20_000, "1.2.3.4" + "x" * 2_000_000 + " 1.2.3.4", "w " * 500_000 + "a@b.co"):
         begin = time.monotonic()
         spans = S.base_spans(text)
-        found = S.contexts(text, spans)
+        found, _ = S.contexts(text, spans)
         assert len(found) == len(spans) and time.monotonic() - begin < 5
 
 
