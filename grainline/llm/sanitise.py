@@ -10,8 +10,9 @@ over the occurrences of terms: with N positions in the corpus, n(t) of them hold
 1 means that the term stands nowhere else. A term that reaches DISCLOSURE for some entity is marked wherever it occurs in the
 corpus, near the entity or not: one of at least MOST_DISCLOSURE is removed, others are generalised. There is nothing to learn
 from one passage that is copied around. So an entity needs SUPPORT different contexts, and so does a term beside it; and an
-entity gives no estimate if PASSAGE_TERMS or more terms stand in over half of its different contexts, as in copies of a
-passage with small changes. A name and a few words that always stand by an address are fewer.
+entity gives no estimate if the terms that stand in over half of its different contexts are those of a passage copied with
+small changes: PASSAGE_TERMS of them, or so many that they make up COPIED of the contexts. A name and a few words that always
+stand by an address are fewer.
 
 Scale: the first pass writes only what stands near entities. n(t) is at least the number of t's occurrences near any entity,
 which these rows tell; a term that cannot reach DISCLOSURE even so is no candidate, which rules out the corpus's common words.
@@ -40,7 +41,7 @@ from .store import add_columns, row_key, written
 
 KINDS = ["email", "ip", "card", "phone"]
 CONTEXT_TERMS = 12
-SUPPORT, PASSAGE_TERMS = 3, 8
+SUPPORT, PASSAGE_TERMS, COPIED = 3, 8, 0.8
 DISCLOSURE, MOST_DISCLOSURE = 0.8, 0.95
 #: Bits of a Bloom filter: so many a term, between these bounds (16 MB at most).
 TERM_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 27
@@ -211,10 +212,12 @@ def _findings(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     entity = (near.groupBy("value").agg(F.count_distinct("context").alias("contexts"), F.sum(F.size("terms")).alias("n_value"))
               .where(F.col("contexts") >= SUPPORT))
     both = (near.select("value", "context", F.explode("terms").alias("term")).groupBy("value", "term")
-            .agg(F.count("*").alias("n_both"), F.count_distinct("context").alias("with_term")).where(F.col("with_term") >= SUPPORT))
+            .agg(F.count("*").alias("n_both"), F.count_distinct("context").alias("with_term")))
     both = written(both.join(entity, "value"), "joint")
-    copied = (both.groupBy("value").agg(F.sum((F.col("with_term") * 2 > F.col("contexts")).cast("long")).alias("constant"))
-              .where(F.col("constant") >= PASSAGE_TERMS))
+    constant = F.col("with_term") * 2 > F.col("contexts")
+    copied = (both.groupBy("value").agg(F.count(F.when(constant, 1)).alias("constant"), F.sum(F.when(constant, F.col("with_term"))).alias("inside"),
+                                        F.sum("with_term").alias("all")).where((F.col("constant") >= PASSAGE_TERMS) | (F.col("inside") >= COPIED * F.col("all"))))
+    both = both.where(F.col("with_term") >= SUPPORT)
     total = F.lit(float(max(1, rows.agg(F.sum("positions")).first()[0] or 1)))
 
     def disclosure(n_term):
