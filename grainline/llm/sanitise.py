@@ -16,8 +16,9 @@ stand by an address are fewer.
 
 Scale: the first pass writes only what stands near entities. n(t) is at least the number of t's occurrences near any entity,
 which these rows tell; a term that cannot reach DISCLOSURE even so is no candidate, which rules out the corpus's common words.
-Candidate terms go to the corpus as a Bloom filter whose size follows their number up to a fixed bound, so that counting n(t)
-sends one row a task and candidate; so do the terms to mark. The exact joins afterwards drop the filter's errors.
+Candidate terms go to the corpus as one automaton if there are at most FEW_TERMS, beyond that as a Bloom filter whose size
+follows their number up to a fixed bound; counting n(t) sends one row a task and candidate. So do the terms to mark. The exact
+joins afterwards drop the filter's errors.
 
 Defined results. Null and empty texts: no spans, counts 0, the digest of the empty string; sanitised text stays as it is.
 Repeated rows: the same spans each. Very long texts are whole, on one line or many; work is linear in their length. Empty
@@ -30,7 +31,9 @@ import hashlib
 import re
 from bisect import bisect_right
 from collections import Counter, deque
+from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -45,6 +48,8 @@ SUPPORT, PASSAGE_TERMS, COPIED = 3, 8, 0.8
 DISCLOSURE, MOST_DISCLOSURE = 0.8, 0.95
 #: Bits of a Bloom filter: so many a term, between these bounds (16 MB at most).
 TERM_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 27
+#: Terms that are broadcast as they are.
+FEW_TERMS = 50_000
 
 # patterns fixed by the contract
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -252,11 +257,8 @@ class TermFilter:
         return all(flags[s] for s in self.slots(term))
 
     @classmethod
-    def of(cls, terms: DataFrame) -> bytes | None:
-        """Packed filter of a column ``term``; None without terms."""
-        n = terms.count()
-        if not n:
-            return None
+    def of(cls, terms: DataFrame, n: int) -> bytes:
+        """Packed filter of a column of ``n`` terms."""
         bits = min(MOST_BITS, max(LEAST_BITS, 1 << (TERM_BITS * n - 1).bit_length()))
 
         def build(batches):
@@ -280,13 +282,26 @@ class TermFilter:
         return out
 
 
-class _Known:
-    """Whether a filter holds a term, remembered for the usual ones."""
+class Finder:
+    """Where some terms occur in texts, whole and in any case: by an automaton of them, or by a filter (which may err)."""
 
-    def __init__(self, packed: bytes):
-        self.filter, self.known = TermFilter.unpack(packed), {}
+    def __init__(self, packed: bytes | list[str]):
+        self.filter = TermFilter.unpack(packed) if isinstance(packed, bytes) else frozenset(packed)
+        self.known: dict[str, bool] = {}
+        self.automaton = None
+        if not isinstance(packed, bytes):
+            self.automaton = ahocorasick.Automaton()
+            for term in packed:
+                self.automaton.add_word(term, term)
+            self.automaton.make_automaton()
 
-    def __call__(self, term: str) -> bool:
+    @classmethod
+    def packed(cls, terms: DataFrame) -> bytes | list[str] | None:
+        """What makes a finder of a column of different terms: of a bounded size. None without terms."""
+        few = [r.term for r in terms.select("term").limit(FEW_TERMS + 1).collect()]
+        return None if not few else sorted(few) if len(few) <= FEW_TERMS else TermFilter.of(terms, terms.count())
+
+    def _may(self, term: str) -> bool:
         hit = self.known.get(term)
         if hit is None:
             if len(self.known) > 300_000:
@@ -294,22 +309,40 @@ class _Known:
             hit = self.known[term] = term in self.filter
         return hit
 
+    def spans(self, text: str | None) -> Iterator[tuple[str, int, int]]:
+        """(term, start, end) of the terms of a text outside of emails."""
+        text = bare(text)
+        # lower case may move places (a dotted capital I) or depend on what follows (a capital sigma)
+        low = text.lower() if self.automaton and "\u03a3" not in text else ""
+        if not self.automaton or len(low) != len(text):
+            for m in _TERM.finditer(text):
+                if self._may(term := m.group().lower()):
+                    yield term, *m.span()
+            return
+        for last, term in self.automaton.iter(low):
+            start, end = last + 1 - len(term), last + 1
+            if not (start and _letter(low[start - 1]) or end < len(low) and _letter(low[end])):
+                yield term, start, end
+
+
+def _letter(c: str) -> bool:
+    """As a term's characters."""
+    return c.isalnum() and not c.isdecimal()
+
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame | None:
     """term, n_term: how often each of ``terms`` (a column ``term``) occurs in the corpus; None if there are none."""
-    packed = TermFilter.of(terms)
+    packed = Finder.packed(terms)
     if packed is None:
         return None
     shared = docs.sparkSession.sparkContext.broadcast(packed)
 
     def count(batches):
-        known, found = _Known(shared.value), Counter()
+        finder, found = Finder(shared.value), Counter()
         flush = lambda: pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["term", "n"])
         for b in batches:
             for text in b.column("text").to_pylist():
-                for word, n in Counter(_TERM.findall(bare(text))).items():
-                    if known(term := word.lower()):
-                        found[term] += n
+                found.update(t for t, _, _ in finder.spans(text))
                 if len(found) > 200_000:
                     yield flush()
                     found.clear()
@@ -321,25 +354,17 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame | None:
 
 def occurrences(docs: DataFrame, told: DataFrame) -> DataFrame:
     """__id, __hash, __more: where the terms of ``told`` (term, disclosure) occur, of every row that holds one."""
-    packed = TermFilter.of(told)
+    packed = Finder.packed(told)
     if packed is None:
         return told.sparkSession.createDataFrame([], "__id long, __hash long, __more array<struct<from:int,to:int,disclosure:double>>")
     shared = docs.sparkSession.sparkContext.broadcast(packed)
     kind = pa.list_(pa.struct([("term", pa.string()), ("from", pa.int32()), ("to", pa.int32())]))
+    made: list[Finder] = []                                 # one a task
 
     def look(batch: pa.RecordBatch) -> list:
-        out = []
-        for text in batch.column("text").to_pylist():
-            found = ((m.group().lower(), *m.span()) for m in _TERM.finditer(bare(text)))
-            out.append([{"term": t, "from": s, "to": e} for t, s, e in found if hit(t)])
-        return [pa.array(out, kind)]
-
-    known: list = []
-
-    def hit(term: str) -> bool:
-        if not known:
-            known.append(_Known(shared.value))
-        return known[0](term)
+        if not made:
+            made.append(Finder(shared.value))
+        return [pa.array([[{"term": t, "from": s, "to": e} for t, s, e in made[0].spans(text)] for text in batch.column("text").to_pylist()], kind)]
 
     found = add_columns(docs.select(*row_key(docs), "text"), {"at": "array<struct<term:string,from:int,to:int>>"}, look, drop=["text"])
     # repeated rows have one key; their terms are looked up once

@@ -110,7 +110,9 @@ def plain_disclosure(texts):
     return out
 
 
-def test_disclosure_equals_plain_counting(spark):
+@pytest.mark.parametrize("few", [S.FEW_TERMS, 2])
+def test_disclosure_equals_plain_counting(spark, monkeypatch, few):
+    monkeypatch.setattr(S, "FEW_TERMS", few)                            # as an automaton, and as a filter
     rng = random.Random(9)
     names, words = ["Quixana", "Doe", "Zed"], ["wrote", "and", "then", "the", "wé", "report", "of", "sales", "to", "Lima", "über", "sent"]
     words += [f"{a}{b}" for a in ("mar", "tol", "wé", "sun") for b in ("bel", "DOR", "fin", "ga", "x-y", "7th", "ner")]
@@ -144,6 +146,16 @@ def masked(spark, texts):
     return [r.text for r in S.sanitise(df).orderBy("doc_id").collect()]
 
 
+def test_finder_equals_the_plain_pattern():
+    rng = random.Random(11)
+    terms = ["abc", "abcd", "ünt", "οδος", "i̇st", "xyz", "²³¹"]
+    finder = S.Finder(terms)
+    for _ in range(4000):
+        text = "".join(rng.choices(["abc", "ABCD", "Ünt", "ΟΔΟΣ", "İst", "xyz", "²³¹", "_", "1", " ", "'", "q", "-", "abc@x.co", "\n"], k=9))
+        want = [(m.group().lower(), *m.span()) for m in re.finditer(r"[^\W\d_]{3,}", S.bare(text)) if m.group().lower() in terms]
+        assert list(finder.spans(text)) == want, text
+
+
 def test_a_name_beside_an_address_in_few_words(spark):
     rng = random.Random(2)
     texts = [f"Jane Doe <j@x.com> {rng.choice(['wrote', 'replied'])} {filler(rng, 2)}" for _ in range(12)]
