@@ -147,7 +147,8 @@ def test_ranking_windows_share_one_exchange(spark, sf_small):
 @contextlib.contextmanager
 def _largest_input(spark):
     """Plans as they are when no side may be broadcast for its size, and nothing is planned anew at run time."""
-    for k, v in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+    for k, v in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false"),
+                 ("spark.sql.maxMetadataStringLength", "2000")):        # whole paths
         spark.conf.set(k, v)
     yield
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
