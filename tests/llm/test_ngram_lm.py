@@ -27,13 +27,18 @@ def test_trie_mapped_and_from_file(tmp_path):
     pairs = sorted({(int(v), int(w)) for v, w in zip(rng.integers(0, 40, 5000) * 10**17, rng.integers(0, 900, 5000), strict=True)})
     v, w = (np.array(c, np.uint64) for c in zip(*pairs, strict=True))
     codes = rng.integers(1, 65536, len(v)).astype(np.uint16)
-    made = L.Trie.arrays(v, w, codes)
+    contexts = np.append(np.unique(v), np.uint64(10**19))          # one context without continuations
+    weights = rng.integers(1, 65535, len(contexts)).astype(np.uint16)
+    made = L.Trie.arrays(contexts, weights, v, w, codes)
     L.Trie.save(made, str(tmp_path / "trie"))
-    ask = sorted({*pairs[::3], *((int(a), 901) for a in v[::50]), (7, 7)})
+    ask = sorted({*pairs[::3], *((int(a), 901) for a in v[::50]), (7, 7), (10**19, 3)})
     av, aw = (np.array(c, np.uint64) for c in zip(*ask, strict=True))
-    held = dict(zip(pairs, codes.tolist(), strict=True))
+    held, weight = dict(zip(pairs, codes.tolist(), strict=True)), dict(zip(contexts.tolist(), weights.tolist(), strict=True))
     for trie in (L.Trie.mapped(made), L.Trie.load(str(tmp_path / "trie"))):
-        assert trie.lookup(av, aw).tolist() == [held.get(p, 0) for p in ask]
+        got, back_off = trie.lookup(av, aw)
+        assert got.tolist() == [held.get(p, 0) for p in ask]
+        assert back_off.tolist() == [weight.get(p[0], 65535) for p in ask]
+        assert np.array_equal(trie.pointer[np.arange(len(contexts) + 1)], np.searchsorted(v, np.append(contexts, np.uint64(2**64 - 1))))
 
 
 def test_packing_and_codes():
@@ -79,6 +84,39 @@ def test_scores_equal_brute_force_in_one_shard_and_many(spark, sf_small, monkeyp
     compare(L.score(df).collect(), want)
     monkeypatch.setattr(L, "SHARD_TOKENS", 9000)      # frequent contexts are split over shards
     compare(L.score(df).collect(), want)
+    monkeypatch.setattr(L, "BLOCK_BYTES", 20_000)     # many blocks, three hops
+    monkeypatch.setattr(L, "FAN_BITS", 2)
+    compare(L.score(df).collect(), want)
+
+
+def test_probabilities_after_a_context_add_up_to_one():
+    count = np.array([40, 7, 1, 1])
+    share, weight = count / (count.sum() + L.MU), L.MU / (count.sum() + L.MU)
+    total = 10**6
+    code, back = L.quantise(share, total), L.quantise(np.array([weight]), total)
+    assert L.dequantise(code, total).sum() + L.dequantise(back, total)[0] == pytest.approx(1, rel=1e-3)
+
+
+def test_packets_of_a_block_and_of_a_node_do_not_grow_with_the_shards():
+    rng = np.random.default_rng(5)
+    v, w = np.sort(rng.integers(0, 2**63, 30_000, dtype=np.uint64) * np.uint64(2)), rng.integers(0, 1 << 40, 30_000, dtype=np.uint64)
+    for bits, blocks in ((0, 1), (5, 40), (7, 200), (13, 12_000), (20, 1 << 21)):
+        r = L.Routes(bits, blocks)
+        shard = r.shard(v, w, np.zeros(0, np.uint64))
+        sent = r.packets(0, 12345, v, w, np.ones(len(v), np.int64), shard)
+        assert len(sent) <= 1 << L.FAN_BITS
+        assert all(r.upto[j + 1] - r.upto[j] <= L.FAN_BITS for j in range(r.hops))
+        # a node takes in about as many packets as a block sends
+        sources = [blocks, *r.batches[1:]]
+        assert all(sources[j] / r.batches[j + 1] <= (4 << L.FAN_BITS) for j in range(r.hops))
+        # keys reach the node of their shard
+        for level in range(1, r.hops):
+            source, node, payload = sent[-1]
+            m = L._Merged([payload, payload])
+            assert (r.shard(m.v, m.w, np.zeros(0, np.uint64)) >> (bits - r.upto[level]) == r.prefix(node, level)).all()
+            assert m.count.sum() == 2 * L.unpack(payload)[3].astype(int).sum()
+            sent = r.packets(level, node, m.v, m.w, m.count, r.shard(m.v, m.w, np.zeros(0, np.uint64)))
+            assert len(sent) <= 1 << L.FAN_BITS
 
 
 def test_model_beats_the_base_on_held_out_texts_and_handles_no_training(spark):
