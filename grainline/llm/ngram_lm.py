@@ -53,7 +53,7 @@ END = np.uint64(0x9D39247E33776D41)
 START = np.uint64(0x2AF7398005AAA5C7)
 _W_BITS = 40
 #: A block or node sends at most 2^FAN_BITS packets in a hop.
-FAN_BITS = 7
+FAN_BITS = 12
 
 
 class EliasFano:

@@ -100,7 +100,7 @@ def test_probabilities_after_a_context_add_up_to_one():
 def test_packets_of_a_block_and_of_a_node_do_not_grow_with_the_shards():
     rng = np.random.default_rng(5)
     v, w = np.sort(rng.integers(0, 2**63, 30_000, dtype=np.uint64) * np.uint64(2)), rng.integers(0, 1 << 40, 30_000, dtype=np.uint64)
-    for bits, blocks in ((0, 1), (5, 40), (7, 200), (13, 12_000), (20, 1 << 21)):
+    for bits, blocks in ((0, 1), (5, 40), (7, 200), (13, 12_000), (20, 1 << 21), (26, 1 << 27)):
         r = L.Routes(bits, blocks)
         shard = r.shard(v, w, np.zeros(0, np.uint64))
         sent = r.packets(0, 12345, v, w, np.ones(len(v), np.int64), shard)
