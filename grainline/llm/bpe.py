@@ -6,7 +6,8 @@ on ties) merges until no pair has a rank. A segment tree over the byte positions
 one that dies and the live neighbour before) by point updates of logarithmic length.
 
 Short pieces are merged many at a time: their trees are rows of one numpy array and every step advances all of them.
-Long pieces use one tree each, O(n log n). Pieces repeat, so a bounded cache keeps what a task has encoded.
+Long pieces use one tree each, O(n log n). Pieces repeat, so a bounded cache keeps what a task has encoded; when it is full, pieces
+that have been asked for again stay, and those seen once go.
 
 Defined results. Null text encodes like an empty one: no ids. Lone or odd bytes cannot occur (Spark strings are
 UTF-8). Texts of any length are encoded whole. Strings of special tokens are ordinary text. Unknown ids in ``decode`` fail.
@@ -15,6 +16,7 @@ UTF-8). Texts of any length are encoded whole. Strings of special tokens are ord
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -50,6 +52,8 @@ class Tokenizer:
         self.pair = np.array([p for p, _ in pairs] or [-1], np.int64)
         self.pair_rank = np.array([r for _, r in pairs] or [size], np.int64)
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.again: set[str] = set()            # pieces of the cache that were asked for again
+        self.latest: set[str] = set()           # those of the texts before
 
     @classmethod
     def from_file(cls, raw: bytes, pattern: str) -> Tokenizer:
@@ -179,20 +183,31 @@ class Tokenizer:
                 part = some[at:at + 20_000]
                 self.cache.update(zip([p for p, _ in part], self.merge_batch([b for _, b in part], width)))
 
+    def make_room(self) -> None:
+        """Leave at most CACHE_PIECES pieces in a cache that holds more, or those of the texts before that were in it already."""
+        if len(self.again) > CACHE_PIECES:
+            self.again = self.latest
+        self.cache = {p: self.cache[p] for p in self.again}
+
+    def forget(self) -> None:
+        self.cache, self.again, self.latest = {}, set(), set()
+
     def encode_batch(self, texts: list[str | None]) -> Iterator[list[int]]:
         """Ids of each text, a few texts at a time."""
         at = 0
         while at < len(texts):
             split, new, size = [], set(), 0
             if len(self.cache) > CACHE_PIECES:
-                self.cache.clear()
+                self.make_room()
             while at < len(texts) and (size < 2_000_000 or not split):
                 text = texts[at] or ""
                 split.append(self.split(text))
                 new.update(split[-1])
                 size += len(text)
                 at += 1
-            self.learn(new.difference(self.cache))
+            self.latest = new.intersection(self.cache)
+            self.again |= self.latest
+            self.learn(new - self.latest)
             get = self.cache.__getitem__
             for pieces in split:
                 yield list(chain.from_iterable(map(get, pieces)))
@@ -234,22 +249,28 @@ def encode(docs: DataFrame, path: str, pattern: str, ids: bool = True, digests:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(raw.value, pattern)
+        gc.disable()                # nothing here is cyclic, and the collector would walk the whole cache again and again
+        try:
+            for batch in batches:
+                for at in range(0, max(batch.num_rows, 1), 256):
+                    yield rows_of(tok, batch.slice(at, 256))
+        finally:
+            gc.enable()
+            tok.forget()            # the worker may go on to other tasks
+            give_back()
+
+    def rows_of(tok: Tokenizer, batch: pa.RecordBatch) -> pa.RecordBatch:
         name = tok.text_id.__getitem__
-        for whole in batches:
-            for at in range(0, max(whole.num_rows, 1), 256):
-                batch = whole.slice(at, 256)
-                got: dict[str, list] = {k: [] for k in added}
-                for found in tok.encode_batch(batch.column(text).to_pylist()):
-                    got["n_tokens"].append(len(found))
-                    if ids:
-                        got["ids"].append(np.array(found, np.int32))
-                    if digests:
-                        got["ids_sha256"].append(hashlib.sha256(",".join(map(name, found)).encode()).hexdigest())
-                        got["decoded_sha256"].append(hashlib.sha256(tok.decode(found)).hexdigest())
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(got[k], t) for k, (t, _) in added.items())],
-                                                 [*names, *added])
-        tok.cache.clear()       # the worker may go on to other tasks
-        give_back()
+        got: dict[str, list] = {k: [] for k in added}
+        for found in tok.encode_batch(batch.column(text).to_pylist()):
+            got["n_tokens"].append(len(found))
+            if ids:
+                got["ids"].append(np.array(found, np.int32))
+            if digests:
+                got["ids_sha256"].append(hashlib.sha256(",".join(map(name, found)).encode()).hexdigest())
+                got["decoded_sha256"].append(hashlib.sha256(tok.decode(found)).hexdigest())
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(got[k], t) for k, (t, _) in added.items())],
+                                          [*names, *added])
 
     return docs.mapInArrow(run, schema)
 

@@ -61,3 +61,15 @@ def test_operator_against_library_on_given_documents(spark, sf_small, reference)
         assert got[r.doc_id].n_tokens == len(ids)
         assert got[r.doc_id].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert got[r.doc_id].decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+
+
+def test_a_full_cache_keeps_what_repeats(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 40)
+    own = bpe.Tokenizer.from_file(bpe._read(PATH), public_tokenizers.PATTERN)
+    for k in range(30):
+        text = "zqxjk vwxyzq " + " ".join(f"q{chr(97 + (k * 7 + i) % 26)}z{k}w{i}" for i in range(12))
+        assert next(own.encode_batch([text])) == reference.encode_ordinary(text)
+        assert len(own.cache) < 300 and own.again <= set(own.cache)
+    assert "zqxjk" in own.cache
+    own.forget()
+    assert not own.cache and not own.again
