@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from grainline.llm import langid, licences, quality, queries, toxicity
 
@@ -259,6 +260,27 @@ def test_quality_verdicts_recomputed_one_by_one(spark, sf_small):
     assert (np.diff(quality.statistics(few)[:, 5:], axis=0) > 0).all()
 
 
+def test_quality_learns_from_every_document(spark):
+    """Bad documents that stand last in any order by hash of the id, behind 12,800 good ones, still set the threshold; and trees
+    hold every document."""
+    rng = np.random.default_rng(3)
+    ids = [r.id for r in spark.range(13_000).orderBy(F.xxhash64(F.lit(7), "id")).collect()]
+    words = [f"w{i}" for i in range(500)]
+    rows = []
+    for place, i in enumerate(ids):
+        w = list(rng.choice(words, 30, replace=False))
+        rows.append((i, " ".join(w if place < 12_800 else [x + "#$|<>&" * int(rng.integers(1, 4)) for x in w]), int(place < 12_800)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    f = quality.fit(table.select("doc_id", "text"), table.select("doc_id", "quality"))
+    assert f.parts[0][1].threshold != quality.DEFAULT_THRESHOLD and f.parts[0][1].rows == 130
+    kept = {r.doc_id: r.kept for r in quality.score(table.select("doc_id", "text"), f).collect()}
+    assert not any(kept[i] for i in ids[12_800:]) and np.mean([kept[i] for i in ids[:12_800]]) > 0.99
+    key = rng.integers(0, 2**63, 5000).astype(np.uint64)
+    for share in (0.01, 128 / 5000, 1.0):
+        row, tree = quality._members(key, share)
+        assert set(row) == set(range(5000)) and abs(len(row) / 5000 / quality.TREES - share) < 0.002
+
+
 def test_licence_wordings(spark):
     scanner = licences.Scanner()
     bsd = licences.TEXTS["BSD-3-Clause-text"]
