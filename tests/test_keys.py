@@ -82,3 +82,18 @@ def test_join_size_estimates_keep_their_bound(spark, kind):
     assert abs(got.estimated_rows - exact) <= got.error_bound
     assert got.error_bound < max(0.1 * exact, 4_000)
     assert tuple(joins.estimate_size(left.limit(0), right, [("k", "q")]).first()) == (0, 0)
+
+
+def test_repeats_are_found_in_a_slice_or_by_hash(spark):
+    """Few repeated keys, in whatever slice; nulls agree; different keys are no repeat."""
+    rows = [(i, f"p{i % 50}", None if i % 7 == 0 else i // 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "a long, b string, c long")
+    assert keys._twice(df, ["a", "b"]) == []
+    for i in (1, 7, 200):
+        again = df.union(spark.createDataFrame([rows[i]], df.schema))
+        found = keys._twice(again, ["a", "b", "c"])
+        assert [(r.a, r.b, r.c) for r in found] == [rows[i]]
+        one, other = keys._pair(again, again.columns, ["a", "b", "c"])
+        assert tuple(one) == tuple(other) == rows[i]
+    zeros = spark.createDataFrame([(0.0,), (-0.0,)], "x double")
+    assert len(keys._twice(zeros, ["x"])) == 1
