@@ -378,3 +378,14 @@ def test_sink_read_prunes_partitions(spark, sf_small):
     want = df.where(F.col("state_code") == catalog.STATE)
     assert back.select(*df.columns).exceptAll(want).count() == 0
     assert want.exceptAll(back.select(*df.columns)).count() == 0
+
+
+def test_rates_are_laid_out_before_their_texts_are_made(spark, sf_small):
+    """The exchange and the sort of the stored rates hold the source's numbers only; the stored rows are the derived ones."""
+    from grainline.sources import standins
+    plan = standins._laid_out(spark, sf_small, "st_rate")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    place = {what: next(i for i, line in enumerate(plan) if what in line) for what in ("AS row_key", "AS plan_id", "Sort [", "RebalancePartitions")}
+    assert max(place["AS row_key"], place["AS plan_id"]) < place["Sort ["] < place["RebalancePartitions"]
+    stored, derived = standins.materialized(spark, sf_small, "st_rate"), standins.build(spark, sf_small, "st_rate")
+    assert stored.columns == derived.columns and stored.count() == derived.count()
+    assert stored.exceptAll(derived).count() == 0
