@@ -84,8 +84,10 @@ def test_join_size_estimates_keep_their_bound(spark, kind):
     assert tuple(joins.estimate_size(left.limit(0), right, [("k", "q")]).first()) == (0, 0)
 
 
-def test_repeats_are_found_in_a_slice_or_by_hash(spark):
+@pytest.mark.parametrize("few", [1, 1000])
+def test_repeats_are_found_in_a_slice_or_by_hash(spark, monkeypatch, few):
     """Few repeated keys, in whatever slice; nulls agree; different keys are no repeat."""
+    monkeypatch.setattr(keys, "FEW", few)
     rows = [(i, f"p{i % 50}", None if i % 7 == 0 else i // 2) for i in range(400)]
     df = spark.createDataFrame(rows, "a long, b string, c long")
     assert keys._twice(df, ["a", "b"]) == []
