@@ -389,3 +389,20 @@ def test_rates_are_laid_out_before_their_texts_are_made(spark, sf_small):
     stored, derived = standins.materialized(spark, sf_small, "st_rate"), standins.build(spark, sf_small, "st_rate")
     assert stored.columns == derived.columns and stored.count() == derived.count()
     assert stored.exceptAll(derived).count() == 0
+
+
+def test_plans_meet_rates_as_one_row_and_x7_reads_stored_standings(spark, sf_small):
+    run = catalog._run(spark, sf_small)
+    x2 = ls.summary(run.inp, run.params, run.opts)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    rates = next(i for i, line in enumerate(x2) if "row_key" in line and "Relation" in line)
+    spread = next(i for i, line in enumerate(x2) if "Generate explode(s_counties" in line)
+    # the counties are spread above (after) the join with the rates
+    assert spread < rates and any("Join Inner" in line for line in x2[spread:rates])
+    run.final()
+    names = sorted(k.split("-")[0] for k in run.steps._tables)
+    assert names == ["entrants", "standings", "summary"]
+    kept = next(df for k, df in run.steps._tables.items() if k.startswith("standings"))
+    assert kept.where("issuer_rank = 1 AND row_key IS NULL OR issuer_rank > 1 AND row_key IS NOT NULL").count() == 0
+    assert kept.count() == run.summary().count() > 0
+    best = {tuple(r) for r in ls.entrants(kept, run.inp, run.opts).collect()}
+    assert best == {tuple(r) for r in ls.entrants(ls.winners(run.summary(), run.opts), run.inp, run.opts).collect()}
