@@ -173,3 +173,35 @@ def test_bounded_groups_broadcast_the_statistics(spark):
     assert plan.count("Exchange hashpartitioning") == 2
     u = rank.rank_flags(df, ["g"], "rate", "m", [("f", 1, "rank", None)])
     assert {r.id: r.f for r in t.collect()} == {r.id: r.f for r in u.collect()}
+
+
+def _splits(spark, df, cell_rows):
+    """The plan of split row numbers, when no side may be broadcast for its size."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = rank.split_row_numbers(df, {"rn": ["g"], "fine": ["g", "metal"]}, ["rate", "id"], cell_rows)
+        return out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_split_rows_are_not_joined_after_their_windows(spark):
+    plan = _splits(spark, _rn_frame(spark), 7)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == plan.count("BroadcastExchange")
+
+
+def test_no_rows_are_sampled_if_no_group_is_large(spark, monkeypatch):
+    df = spark.range(400).select((F.col("id") % 50).alias("g"), F.lit("Silver").alias("metal"), F.lit(1).alias("rate"), F.col("id"))
+    monkeypatch.setattr(rank, "order_struct", None)             # the sample's
+    assert rank.learn_splitters(df, ["g"], ["rate", "id"], 8) is None
+
+
+@pytest.mark.parametrize("n", [0, 5, 16, 17, 300])
+def test_cells_count_the_cuts_at_or_below(spark, n):
+    cuts = F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: F.struct((i * 10).cast("bigint").alias("x")))
+    df = spark.range(-15, n * 10 + 25, 5).withColumn("c", rank._cell(cuts, F.struct(F.col("id").alias("x")), n + 1))
+    for r in df.collect():
+        assert r.c == sum(i * 10 <= r.id for i in range(n + 1))
+    assert spark.range(1).select(rank._cell(F.lit(None).cast("array<struct<x:bigint>>"), F.struct(F.col("id").alias("x")), n + 1)).first()[0] == 0
